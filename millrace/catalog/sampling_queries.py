@@ -78,7 +78,9 @@ def split_hash(spark, sf_dir):
 
 @query("page_batch", """
     WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)
-    SELECT o_orderkey, o_totalprice, 1 AS batch_number, 1000 AS start_row, 2000 AS end_row, 1000 AS batch_size
+    SELECT o_orderkey, o_totalprice, 1 AS batch_number, 1000 AS start_row,
+        CAST((SELECT least(2000, count(*)) FROM orders) AS INTEGER) AS end_row,
+        CAST((SELECT least(2000, count(*)) - 1000 FROM orders) AS INTEGER) AS batch_size
     FROM r WHERE i >= 1000 AND i < 2000""")
 def page_batch(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

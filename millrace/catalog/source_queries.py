@@ -138,7 +138,7 @@ def tbl_create(spark, sf_dir):
 def sink_overwrite(spark, sf_dir):
     orders, path = table(spark, sf_dir, "orders"), scratch_path(spark, "replaced")
     tables.replace_table(orders.select("o_orderkey"), path)
-    written = tables.replace_table(orders, path)
+    written = tables.replace_table(orders, path, expected=orders.count())
     stored = spark.read.schema(orders.schema).parquet(path)
     return stored.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n"), rounded(F.sum("o_totalprice"), 2).alias("total"), F.lit(written).cast("bigint").alias("written")

@@ -49,19 +49,19 @@ def stream_ingest(spark, sf_dir):
 
 
 @query("stream_throttle", """
-    WITH RECURSIVE seconds AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key, CAST(floor(epoch(ts)) AS BIGINT) AS at,
+    WITH RECURSIVE seconds AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key, CAST(floor(epoch(ts)) AS BIGINT) AS at_second,
             event_type = 'signup' AS is_reset FROM events),
-        numbered AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY at, is_reset) AS i FROM seconds),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY at_second, is_reset) AS i FROM seconds),
         walk AS (
-            SELECT key, at, is_reset, i, CASE WHEN is_reset THEN 0 ELSE at END AS last, CASE WHEN is_reset THEN -1 ELSE 1 END AS n,
+            SELECT key, at_second, is_reset, i, CASE WHEN is_reset THEN 0 ELSE at_second END AS last, CASE WHEN is_reset THEN -1 ELSE 1 END AS n,
                 NOT is_reset AS advanced FROM numbered WHERE i = 1
             UNION ALL
-            SELECT s.key, s.at, s.is_reset, s.i,
-                CASE WHEN s.is_reset THEN 0 WHEN w.n < 10 AND s.at - w.last > 60 THEN s.at ELSE w.last END,
-                CASE WHEN s.is_reset THEN -1 WHEN w.n < 10 AND s.at - w.last > 60 THEN CASE w.n WHEN -1 THEN 1 ELSE w.n + 1 END ELSE w.n END,
-                NOT s.is_reset AND w.n < 10 AND s.at - w.last > 60
+            SELECT s.key, s.at_second, s.is_reset, s.i,
+                CASE WHEN s.is_reset THEN 0 WHEN w.n < 10 AND s.at_second - w.last > 60 THEN s.at_second ELSE w.last END,
+                CASE WHEN s.is_reset THEN -1 WHEN w.n < 10 AND s.at_second - w.last > 60 THEN CASE w.n WHEN -1 THEN 1 ELSE w.n + 1 END ELSE w.n END,
+                NOT s.is_reset AND w.n < 10 AND s.at_second - w.last > 60
             FROM walk w JOIN numbered s ON s.key = w.key AND s.i = w.i + 1)
-    SELECT key, at, is_reset, CAST(n AS INTEGER) AS batch_number, advanced FROM walk""")
+    SELECT key, at_second, is_reset, CAST(n AS INTEGER) AS batch_number, advanced FROM walk""")
 def stream_throttle(spark, sf_dir):
     counted = throttle.throttle(stream_of(spark, sf_dir, "events"), "user_id", "ts", F.col("event_type") == "signup")
     return drain(spark, counted, "throttle")

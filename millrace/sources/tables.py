@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,34 +38,36 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def replace_table(df: DataFrame, path: str) -> int:
-    """Overwrite the table at `path`; return its row count, checked against the rows written."""
-    return _write_counted(df, path, "overwrite")
+def replace_table(df: DataFrame, path: str, expected: int | None = None) -> int:
+    """Overwrite the table at `path`; return its row count, checked against `expected`."""
+    df.write.mode("overwrite").parquet(path)
+    return _verified(_stored_rows(df.sparkSession, path, df.schema), expected, path)
 
 
-def append_table(df: DataFrame, path: str) -> int:
-    """Append to the table at `path`; return the number of rows written."""
-    return _write_counted(df, path, "append")
+def append_table(df: DataFrame, path: str, expected: int | None = None) -> int:
+    """Append to the table at `path`; return the number of rows added, checked against `expected`.
 
-
-def _write_counted(df: DataFrame, path: str, mode: str) -> int:
-    """Count the rows while they are written (no second pass over the input), then compare."""
+    Row counts come from the file footers, not from reading the rows.
+    """
     spark = df.sparkSession
-    before = 0 if mode == "overwrite" else _rows_at(spark, path, df.schema)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
-    written = seen.get["n"]
-    stored = _rows_at(spark, path, df.schema) - before
-    if stored != written:
-        raise RuntimeError(f"{path}: {written} rows written, {stored} stored")
-    return written
-
-
-def _rows_at(spark: SparkSession, path: str, schema: T.StructType) -> int:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        return 0
-    return spark.read.schema(schema).parquet(path).count()
+    before = _stored_rows(spark, path, df.schema)
+    df.write.mode("append").parquet(path)
+    return _verified(_stored_rows(spark, path, df.schema) - before, expected, path)
+
+
+def _verified(stored: int, expected: int | None, path: str) -> int:
+    if expected is not None and stored != expected:
+        raise RuntimeError(f"{path}: expected {expected} rows, stored {stored}")
+    return stored
+
+
+def _stored_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    try:
+        return spark.read.schema(schema).parquet(path).count()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
 
 
 def skip_empty_rows(df: DataFrame, token: str = "?", ignore: Sequence[str] = ()) -> DataFrame:

@@ -19,7 +19,7 @@ from millrace.functions.cleaning import q
 GAP_SECONDS = 60
 LIMIT = 10
 START = (0, -1)  # last advance, count
-OUTPUT = "key string, at bigint, is_reset boolean, batch_number int, advanced boolean"
+OUTPUT = "key string, at_second bigint, is_reset boolean, batch_number int, advanced boolean"
 STATE = "last_at bigint, count int"
 
 
@@ -35,16 +35,16 @@ def step(state: tuple[int, int], at: int, is_reset: bool, gap: int = GAP_SECONDS
 
 def _advance(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     current = state.get if state.exists else START
-    rows = pd.concat(list(frames)).sort_values(["at", "is_reset"], kind="stable")
+    rows = pd.concat(list(frames)).sort_values(["at_second", "is_reset"], kind="stable")
     counts, advanced = [], []
-    for at, is_reset in zip(rows["at"], rows["is_reset"]):
+    for at, is_reset in zip(rows["at_second"], rows["is_reset"]):
         after = step(current, int(at), bool(is_reset))
         advanced.append(not is_reset and after != current)
         counts.append(after[1])
         current = after
     state.update(current)
     yield rows.assign(batch_number=pd.Series(counts, index=rows.index, dtype="int32"), advanced=advanced)[
-        ["key", "at", "is_reset", "batch_number", "advanced"]
+        ["key", "at_second", "is_reset", "batch_number", "advanced"]
     ]
 
 
@@ -60,11 +60,11 @@ def throttle(events: DataFrame, key: str, ts: str, is_reset: Column, watermark:
         q(key).cast("string").alias("key"),
         q(ts).cast("timestamp").alias("event_time"),
         is_reset.alias("is_reset"),
-    ).withColumn("at", F.unix_timestamp("event_time"))
+    ).withColumn("at_second", F.unix_timestamp("event_time"))
     return (
         timed.withWatermark("event_time", watermark)
-        .dropDuplicatesWithinWatermark(["key", "at", "is_reset"])
-        .select("key", "at", "is_reset")
+        .dropDuplicatesWithinWatermark(["key", "at_second", "is_reset"])
+        .select("key", "at_second", "is_reset")
         .groupBy("key")
         .applyInPandasWithState(_advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
     )
