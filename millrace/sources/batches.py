@@ -49,7 +49,7 @@ def read_records(spark: SparkSession, path: str, record: T.StructType, whole_fil
 
     One document per line, or per file with `whole_file`. An empty list gives no rows.
     """
-    text = spark.read.option("wholetext", whole_file).text(path)
+    text = spark.read.text(path, wholetext=whole_file)
     return parse_records(text, "value", record)
 
 
@@ -108,14 +108,17 @@ def read_landing(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with `source_file`, quarantined text with `source_file`).
 
-    A file that cannot be parsed does not fail the read.
+    One JSON object per line, or per file with `multiline`. Text that does not fit the
+    schema does not fail the read. The whole object is always parsed, so what counts
+    as broken does not depend on the columns selected later.
     """
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = (
-        spark.read.schema(wide).option("multiLine", multiline).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-        .withColumn("source_file", F.col("_metadata.file_path"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = (
+        spark.read.text(path, wholetext=multiline)
+        .filter(F.trim("value") != "")
+        .select(F.col("_metadata.file_path").alias("source_file"), "value", F.from_json("value", wide, options).alias("r"))
     )
-    good = rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = rows.filter(F.col("_corrupt_record").isNotNull()).select("source_file", F.col("_corrupt_record").alias("text"))
-    return good, bad
+    broken = F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()
+    good = parsed.filter(~broken).select(*[F.col("r").getField(c).alias(c) for c in schema.names], "source_file")
+    return good, parsed.filter(broken).select("source_file", F.col("value").alias("text"))

@@ -39,12 +39,16 @@ def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_checked(
     spark: SparkSession, path: str, schema: T.StructType, null_value: str = "NA"
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed rows with their text). One declared schema, no inference."""
+    """(good rows, malformed rows with their text). One declared schema, no inference.
+
+    All columns are parsed whatever is selected later, so a row is malformed or not
+    independently of the query.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(wide)
         .option("header", True).option("nullValue", null_value).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).option("columnPruning", False)
         .csv(path)
     )
     good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
