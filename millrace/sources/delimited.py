@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import NA_TOKENS, q
 from millrace.spec import require_columns
 
-CORRUPT = "_corrupt_record"
+def _present(name: str, na_tokens: Sequence[str]) -> Column:
+    return F.when(~q(name).isin(list(na_tokens)), q(name))
+
+
+def _typed(field: T.StructField, na_tokens: Sequence[str]) -> Column:
+    text = _present(field.name, na_tokens)
+    return text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
 
 
 def read_csv(
@@ -24,35 +30,27 @@ def read_csv(
     no number becomes NULL as well.
     """
     raw = require_columns(read_csv_raw(spark, path), schema.names, path)
-    cells = []
-    for f in schema.fields:
-        value = F.when(~q(f.name).isin(list(na_tokens)), q(f.name))
-        cells.append((value if isinstance(f.dataType, T.StringType) else value.try_cast(f.dataType)).alias(f.name))
-    return raw.select(*cells)
-
-
-def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text under its header name, nothing inferred."""
-    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+    return raw.select(*[_typed(f, na_tokens).alias(f.name) for f in schema.fields])
 
 
 def read_csv_checked(
-    spark: SparkSession, path: str, schema: T.StructType, null_value: str = "NA"
+    spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed rows with their text). One declared schema, no inference.
+    """(typed good rows, malformed rows as text): malformed when any present value does not fit its type.
 
-    All columns are parsed whatever is selected later, so a row is malformed or not
-    independently of the query.
+    The test names every declared column, so it does not depend on the columns selected later.
     """
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(wide)
-        .option("header", True).option("nullValue", null_value).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).option("columnPruning", False)
-        .csv(path)
-    )
-    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, rows.filter(F.col(CORRUPT).isNotNull())
+    raw = require_columns(read_csv_raw(spark, path), schema.names, path)
+    malformed = F.lit(False)
+    for f in schema.fields:
+        malformed = malformed | (_present(f.name, na_tokens).isNotNull() & _typed(f, na_tokens).isNull())
+    good = raw.filter(~malformed).select(*[_typed(f, na_tokens).alias(f.name) for f in schema.fields])
+    return good, raw.filter(malformed)
+
+
+def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Every column as text under its header name, nothing inferred."""
+    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
 
 
 def write_csv(df: DataFrame, path: str, drop: Iterable[str] = ()) -> None:
