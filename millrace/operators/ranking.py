@@ -17,16 +17,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import q
-from millrace.session import materialise
+from millrace.session import fetch_bounded, materialise
 
-PREFIX_DIGITS = 3          # 4096 hash buckets per refinement step
+PREFIX_DIGITS = 2          # 256 hash buckets per refinement step
 BINS = 4096                # key bins per refinement step
-SORT_ROWS = 200_000        # rows one task may sort
+SORT_ROWS = 1_000_000      # narrow rows one task may sort
 MAX_GROUPS = 64            # groups whose thresholds are written as literals; more use `hash_rank`
 
 
@@ -35,135 +36,127 @@ def order_hash(seed: int | str, *keys: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[q(k).cast("string") for k in keys]))
 
 
-def _group_column(group: str | None) -> Column:
-    return q(group) if group is not None else F.lit(0)
+@dataclass(frozen=True)
+class HashHistogram:
+    """Rows per group and hash prefix of a table, for one seed."""
 
+    buckets: dict[object, list[tuple[str, int]]]  # group -> [(prefix, rows)] in prefix order
 
-def hash_cutoffs(
-    df: DataFrame, key: str, seed: int | str, quotas: Mapping[object, int], group: str | None = None
-) -> dict[object, tuple[str, object] | None]:
-    """For each group the (hash, key) of its quota-th row in hash order.
+    @property
+    def counts(self) -> dict[object, int]:
+        return {g: sum(n for _, n in cells) for g, cells in self.buckets.items()}
 
-    None means that no row is wanted (quota <= 0); a quota beyond the group gives
-    its last row. The number of groups is the caller's checked bound.
-    """
-    digest = order_hash(seed, key)
-    base = df.select(_group_column(group).alias("g"), digest.alias("h"), q(key).alias("k"))
-    wanted = {g: int(n) for g, n in quotas.items() if n > 0}
-    result: dict[object, tuple[str, object] | None] = {g: None for g in quotas}
-    # group -> (known prefix, rows before that prefix, rows under it or None when unknown)
-    active: dict[object, tuple[str, int, int | None]] = {g: ("", 0, None) for g in wanted}
-    depth = 0
-    while any(n is None or n > SORT_ROWS for _, _, n in active.values()) and depth < 30:
-        pending = {g: a for g, a in active.items() if a[2] is None or a[2] > SORT_ROWS}
-        hist = (
-            _under_prefix(base, pending)
-            .groupBy("g", F.substring("h", 1, depth + PREFIX_DIGITS).alias("p"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        found = _crossing(hist, {g: wanted[g] - a[1] for g, a in pending.items()})
-        for g, prefix, before, n in found:
-            active[g] = (prefix, active[g][1] + before, n)
-        for g in pending:
-            if active[g][2] is None:      # group without rows
-                active.pop(g)
-        depth += PREFIX_DIGITS
-    if not active:
-        return result
-    rank = F.row_number().over(Window.partitionBy("g").orderBy("h", "k"))
-    local = {g: min(wanted[g] - a[1], a[2]) for g, a in active.items()}
-    rows = (
-        _under_prefix(base, active)
-        .withColumn("r", rank)
-        .filter(_per_group(local, "r"))
-        .select("g", "h", "k")
-        .collect()
-    )
-    result.update({row["g"]: (row["h"], row["k"]) for row in rows})
-    return result
+    @property
+    def total(self) -> int:
+        return sum(self.counts.values())
 
 
-def _group_is(g: object) -> Column:
-    return F.col("g").isNull() if g is None else F.col("g") == F.lit(g)
+def _hashed(df: DataFrame, key: str, seed: int | str, group: str | None) -> DataFrame:
+    member = q(group) if group is not None else F.lit(0)
+    return df.select(member.alias("g"), order_hash(seed, key).alias("h"))
 
 
-def _under_prefix(base: DataFrame, active: Mapping) -> DataFrame:
-    """Rows of the active groups whose hash starts with the group's known prefix."""
-    by_prefix: dict[str, list] = {}
-    for g, state in active.items():
-        by_prefix.setdefault(state[0], []).append(g)
-    keep = F.lit(False)
-    for prefix, members in by_prefix.items():
-        hit = F.col("g").isin([g for g in members if g is not None])
-        if None in members:
-            hit = F.coalesce(hit, F.lit(False)) | F.col("g").isNull()
-        keep = keep | (hit & F.col("h").startswith(prefix) if prefix else hit)
-    return base.filter(keep)
+def _histogram(base: DataFrame, digits: int) -> HashHistogram | None:
+    counts = base.groupBy("g", F.substring("h", 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    rows = fetch_bounded(counts, MAX_GROUPS * 16**PREFIX_DIGITS)
+    if rows is None:
+        return None
+    buckets: dict[object, list[tuple[str, int]]] = {}
+    for row in sorted(rows, key=lambda r: r["p"]):
+        buckets.setdefault(row["g"], []).append((row["p"], row["n"]))
+    return HashHistogram(buckets) if len(buckets) <= MAX_GROUPS else None
 
 
-def _per_group(ranks: Mapping[object, int], rank: str) -> Column:
-    keep = F.lit(False)
-    by_rank: dict[int, list] = {}
-    for g, r in ranks.items():
-        by_rank.setdefault(r, []).append(g)
-    for r, members in by_rank.items():
-        hit = F.lit(False)
-        for g in members:
-            hit = hit | _group_is(g)
-        keep = keep | ((F.col(rank) == F.lit(r)) & hit)
-    return keep
+def hash_histogram(df: DataFrame, key: str, seed: int | str, group: str | None = None) -> HashHistogram | None:
+    """Group sizes and hash distribution in one job, or None with more than MAX_GROUPS groups.
 
+    At most MAX_GROUPS * 256 counts reach the driver, whatever the size of the table.
+    """
+    return _histogram(_hashed(df, key, seed, group), PREFIX_DIGITS)
 
-def _crossing(hist: DataFrame, targets: Mapping[object, int]) -> list[tuple[object, str, int, int]]:
-    """Per group the bucket in which the running count reaches the target.
 
-    The window sorts at most 16^PREFIX_DIGITS counts per group. When the target lies
-    beyond the group, its last bucket is taken.
+def hash_cutoffs(
+    df: DataFrame,
+    key: str,
+    seed: int | str,
+    quotas: Mapping[object, int],
+    group: str | None = None,
+    histogram: HashHistogram | None = None,
+) -> dict[object, str | None]:
+    """For each group the hash of its quota-th row in hash order.
+
+    None means that no row is wanted (quota <= 0, or an empty group); a quota beyond
+    the group gives its last row. Only the bucket in which the quota falls is looked
+    at again: first counted by longer prefixes, then, when short, sorted.
     """
-    order = Window.partitionBy("g").orderBy("p")
-    cum = hist.withColumn("cum", F.sum("n").over(order))
-    reach = F.lit(False)
-    by_target: dict[int, list] = {}
-    for g, t in targets.items():
-        by_target.setdefault(t, []).append(g)
-    for t, members in by_target.items():
-        hit = F.lit(False)
-        for g in members:
-            hit = hit | _group_is(g)
-        reach = reach | (hit & (F.col("cum") >= F.lit(t)))
-    rows = (
-        cum.groupBy("g")
-        .agg(
-            F.min_by(F.struct("p", "cum", "n"), F.when(reach, F.col("p"))).alias("first"),
-            F.max_by(F.struct("p", "cum", "n"), "p").alias("last"),
-        )
-        .collect()
-    )
-    out = []
-    for row in rows:
-        hit = row["first"] or row["last"]
-        out.append((row["g"], hit["p"], hit["cum"] - hit["n"], hit["n"]))
-    return out
+    base = _hashed(df, key, seed, group)
+    if histogram is None:
+        histogram = _histogram(base, PREFIX_DIGITS)
+        if histogram is None:
+            raise ValueError(f"more than {MAX_GROUPS} groups: use hash_rank")
+    result: dict[object, str | None] = {g: None for g in quotas}
+    left = {g: int(n) for g, n in quotas.items() if n > 0 and histogram.buckets.get(g)}
+    prefix: dict[object, str] = {}
+    digits = PREFIX_DIGITS
+    step = histogram
+    while left:
+        size: dict[object, int] = {}
+        for g in step.buckets:
+            if g in left and len(prefix.get(g, "")) < digits:
+                prefix[g], before, size[g] = _crossing(step.buckets[g], left[g])
+                left[g] = min(left[g] - before, size[g])
+        wide = {g: prefix[g] for g, n in size.items() if n > SORT_ROWS}
+        if not wide or digits >= 32:
+            break
+        digits += PREFIX_DIGITS
+        step = _histogram(_under(base, wide), digits)
+    if not left:
+        return result
+    rank = F.row_number().over(Window.partitionBy("g").orderBy("h"))
+    rows = _under(base, prefix).withColumn("r", rank).filter(F.col("r") == _by_group(left)).select("g", "h").collect()
+    result.update({row["g"]: row["h"] for row in rows})
+    return result
 
 
-def within_cutoff(
-    key: str, seed: int | str, cutoffs: Mapping[object, tuple[str, object] | None], group: str | None = None
-) -> Column:
-    """True for rows at or before their group's cutoff; a plain row expression."""
-    digest = order_hash(seed, key)
-    out = F.lit(False)
-    for g, cut in cutoffs.items():
-        if cut is None:
-            continue
-        inside = (digest < F.lit(cut[0])) | ((digest == F.lit(cut[0])) & (q(key) <= F.lit(cut[1])))
-        if group is not None:
-            member = q(group).isNull() if g is None else q(group).eqNullSafe(F.lit(g))
-            inside = member & inside
-        out = out | inside
+def _crossing(cells: Sequence[tuple[str, int]], target: int) -> tuple[str, int, int]:
+    """(prefix, rows before it, rows in it) of the bucket where the running count reaches the target.
+
+    When the target lies beyond the group, its last bucket is taken.
+    """
+    before = 0
+    for prefix, n in cells:
+        if before + n >= target:
+            return prefix, before, n
+        before += n
+    prefix, n = cells[-1]
+    return prefix, before - n, n
+
+
+def _by_group(values: Mapping[object, object], column: Column | None = None) -> Column:
+    """The value of a row's group as one CASE; NULL for other groups."""
+    column = F.col("g") if column is None else column
+    out = F.lit(None)
+    for g, value in values.items():
+        hit = column.isNull() if g is None else column == F.lit(g)
+        out = F.when(hit, F.lit(value)).otherwise(out)
     return out
 
 
-def prefix_length(n: int, rows_per_bucket: int = SORT_ROWS // 4) -> int:
+def _under(base: DataFrame, prefix: Mapping[object, str]) -> DataFrame:
+    """Rows whose hash starts with the prefix of their group."""
+    return base.filter(F.startswith(F.col("h"), _by_group(prefix).cast("string")))
+
+
+def within_cutoff(key: str, seed: int | str, cutoffs: Mapping[object, str | None], group: str | None = None) -> Column:
+    """True for rows at or before their group's cutoff: one hash and one comparison per row."""
+    known = {g: cut for g, cut in cutoffs.items() if cut is not None}
+    if not known:
+        return F.lit(False)
+    cut = F.lit(next(iter(known.values()))) if group is None else _by_group(known, q(group))
+    return F.coalesce(order_hash(seed, key) <= cut, F.lit(False))
+
+
+def prefix_length(n: int, rows_per_bucket: int = 50_000) -> int:
     """Hex digits so that a hash bucket of an n-row group holds about `rows_per_bucket` rows."""
     return max(1, math.ceil(math.log(max(n, 1) / rows_per_bucket, 16))) if n > rows_per_bucket else 1
 
@@ -196,7 +189,15 @@ def hash_rank(
     )
 
 
-def key_at_ranks(df: DataFrame, key: str, ranks: Sequence[int]) -> dict[int, int]:
+def key_bounds(df: DataFrame, key: str) -> tuple[int | None, int | None, int]:
+    """(smallest, largest, number) of the keys."""
+    k = q(key).cast("bigint")
+    return tuple(df.agg(F.min(k), F.max(k), F.count(k)).first())
+
+
+def key_at_ranks(
+    df: DataFrame, key: str, ranks: Sequence[int], bounds: tuple[int | None, int | None, int] | None = None
+) -> dict[int, int]:
     """The value of a unique integer key at each wanted 1-based rank in key order.
 
     Every pass counts the keys in at most BINS equal bins of each interval still
@@ -204,7 +205,7 @@ def key_at_ranks(df: DataFrame, key: str, ranks: Sequence[int]) -> dict[int, int
     keys is ever sorted. The number of ranks is small (page bounds, slice bounds).
     """
     base = df.select(q(key).cast("bigint").alias("k"))
-    low, high, n = base.agg(F.min("k"), F.max("k"), F.count("k")).first()
+    low, high, n = bounds or key_bounds(base, "k")
     ranks = [r for r in sorted(set(ranks)) if 1 <= r <= n]
     # rank -> (first key, last key, rows before the interval, rows in it)
     open_ = {r: (low, high, 0, n) for r in ranks}
@@ -286,92 +287,139 @@ def global_positions(df: DataFrame, order: Sequence[Column], out: str = "positio
 
 
 def exact_quantiles(
-    df: DataFrame, names: Sequence[str], probs: Sequence[float], small: int = 1_000_000, accuracy: int = 2_000
+    df: DataFrame, names: Sequence[str], probs: Sequence[float], small: int = 100_000, accuracy: int = 2_000
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, for many columns at once.
 
     Up to `small` rows the built-in exact percentile is used (its value map is then
-    bounded). Above, approximate percentiles bracket each wanted rank and only the
-    bracketed values are looked at, again and again until few distinct values remain.
+    bounded). Above, approximate percentiles bracket each wanted rank, the brackets are
+    counted, and only the values of the bracket holding the rank are looked at again.
+    All columns share every pass.
     """
+    if not names:
+        return {}
     base = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
-    base = base.select(*[F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")).alias(f"c{i}") for i in range(len(names))])
-    counts = base.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(names))]).first()
-    if max(counts, default=0) <= small:
-        row = base.agg(*[
-            F.percentile(f"c{i}", F.array(*[F.lit(float(p)) for p in probs])).alias(f"c{i}") for i in range(len(names))
-        ]).first()
-        return {c: list(row[f"c{i}"]) if row[f"c{i}"] is not None else [None] * len(probs) for i, c in enumerate(names)}
+    base = base.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in base.columns])
+    slack = 2.0 / accuracy
+    near = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
+    row = base.agg(
+        *[F.count(c).alias(f"n_{c}") for c in base.columns],
+        *[F.percentile_approx(c, near, accuracy).alias(f"q_{c}") for c in base.columns],
+    ).first()
+    counts = {c: row[f"n_{c}"] for c in base.columns}
+    if max(counts.values()) <= small:
+        exact = F.array(*[F.lit(float(p)) for p in probs])
+        row = base.agg(*[F.percentile(c, exact).alias(c) for c in base.columns]).first()
+        return {name: list(row[c] or [None] * len(probs)) for name, c in zip(names, base.columns)}
+    open_: list[_Bracket] = []
+    wanted: dict[str, list[float]] = {}
+    for c in base.columns:
+        n = counts[c]
+        wanted[c] = [p * (n - 1) for p in probs] if n else []
+        ranks = sorted({r for at in wanted[c] for r in (math.floor(at), math.ceil(at))})
+        if ranks:
+            open_.append(_Bracket(c, float("-inf"), float("inf"), 0, n, tuple(ranks), tuple(row[f"q_{c}"])))
+    values = _values_at(base, open_, accuracy)
     out: dict[str, list[float | None]] = {}
-    for i, c in enumerate(names):
-        n = counts[f"c{i}"]
-        if n == 0:
-            out[c] = [None] * len(probs)
-            continue
-        at = [p * (n - 1) for p in probs]
-        ranks = sorted({r for a in at for r in (math.floor(a), math.ceil(a))})
-        values = _values_at(base.select(F.col(f"c{i}").alias("v")).filter("v is not null"), ranks, n, accuracy)
-        out[c] = [
-            values[math.floor(a)] + (values[math.ceil(a)] - values[math.floor(a)]) * (a - math.floor(a)) for a in at
-        ]
+    for name, c in zip(names, base.columns):
+        found = []
+        for at in wanted[c]:
+            low, high = values[c, math.floor(at)], values[c, math.ceil(at)]
+            found.append(low + (high - low) * (at - math.floor(at)))
+        out[name] = found or [None] * len(probs)
     return out
 
 
-def _values_at(base: DataFrame, ranks: Sequence[int], n: int, accuracy: int) -> dict[int, float]:
-    """Values at 0-based ranks (ties share a value)."""
-    open_ = {r: (float("-inf"), float("inf"), 0, n) for r in ranks}  # bracket, rows below it, rows in it
-    done: dict[int, float] = {}
+@dataclass(frozen=True)
+class _Bracket:
+    """Values of one column in [low, high]: rows below it, rows in it, ranks sought, cut points."""
+
+    column: str
+    low: float
+    high: float
+    before: int
+    rows: int
+    ranks: tuple[int, ...]
+    cuts: tuple[float, ...]
+
+
+def _tagged(base: DataFrame, cells: Sequence[tuple[Column, Column, Column]]) -> DataFrame:
+    """(i, p, v) for each (condition, piece, value) that holds, numbered by position."""
+    rows = F.array(*[
+        F.when(cond, F.struct(F.lit(i).alias("i"), piece.alias("p"), value.alias("v")))
+        for i, (cond, piece, value) in enumerate(cells)
+    ])
+    return base.select(F.explode(rows).alias("r")).filter("r IS NOT NULL").select("r.*")
+
+
+def _values_at(base: DataFrame, open_: Sequence[_Bracket], accuracy: int) -> dict[tuple[str, int], float]:
+    """Values at 0-based ranks of each bracket's column (ties share a value)."""
+    done: dict[tuple[str, int], float] = {}
+    short: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
     while open_:
-        brackets = sorted({s for s in open_.values()})
-        aggs = []
-        asked: list[tuple[tuple, list[float]]] = []
-        for b, (lo, hi, before, m) in enumerate(brackets):
-            mine = [r for r, s in open_.items() if s == (lo, hi, before, m)]
-            slack = 2.0 / accuracy
-            ps = sorted({min(1.0, max(0.0, (r - before) / max(m - 1, 1) + d)) for r in mine for d in (-slack, slack)})
-            inside = F.when((F.col("v") >= lo) & (F.col("v") <= hi), F.col("v"))
-            aggs.append(F.percentile_approx(inside, ps, accuracy).alias(f"b{b}"))
-            asked.append(((lo, hi, before, m), mine))
-        cuts = base.agg(*aggs).first()
-        counted = []
-        plan: list[int] = []  # bracket of every counted piece
-        for b, (state, mine) in enumerate(asked):
-            edges = sorted({state[0], *cuts[f"b{b}"], state[1]})
-            for lo, hi in zip(edges, edges[1:]):
-                # the open interval between two cuts, and each cut value on its own
-                for cond in ((F.col("v") > lo) & (F.col("v") < hi), F.col("v") == hi):
-                    i = len(plan)
-                    hit = F.when(cond, F.col("v"))
-                    counted += [F.count(hit).alias(f"n{i}"), F.min(hit).alias(f"l{i}"), F.max(hit).alias(f"h{i}")]
-                    plan.append(b)
-            i = len(plan)
-            hit = F.when(F.col("v") == state[0], F.col("v"))
-            counted += [F.count(hit).alias(f"n{i}"), F.min(hit).alias(f"l{i}"), F.max(hit).alias(f"h{i}")]
-            plan.append(b)
-        row = base.agg(*counted).first()
-        nxt: dict[int, tuple[float, float, int, int]] = {}
-        for b, (state, mine) in enumerate(asked):
-            pieces = sorted(
-                (row[f"l{i}"], row[f"h{i}"], row[f"n{i}"]) for i, p in enumerate(plan) if p == b and row[f"n{i}"]
-            )
-            for r in mine:
-                before = state[2]
-                for lo, hi, m in pieces:
-                    if r < before + m:
-                        if lo == hi:
-                            done[r] = lo
-                        elif m <= SORT_ROWS:
-                            done[r] = _value_in(base, lo, hi, r - before)
-                        else:
-                            nxt[r] = (lo, hi, before, m)
+        cells = []
+        for b in open_:
+            v = F.col(b.column)
+            # even pieces are open intervals between cuts, odd pieces a cut value itself
+            piece = sum((((v >= e).cast("int") + (v > e).cast("int")) for e in sorted(set(b.cuts))), F.lit(0))
+            cells.append((v.between(b.low, b.high), piece, v))
+        counted = (
+            _tagged(base, cells).groupBy("i", "p")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .collect()
+        )
+        narrowed: dict[tuple, list[int]] = {}
+        for i, b in enumerate(open_):
+            pieces = sorted((r["p"], r["low"], r["high"], r["n"]) for r in counted if r["i"] == i)
+            for rank in b.ranks:
+                before = b.before
+                for _, low, high, n in pieces:
+                    if rank < before + n:
                         break
-                    before += m
-        open_ = nxt
+                    before += n
+                if low == high:
+                    done[b.column, rank] = low
+                elif n <= SORT_ROWS:
+                    short.setdefault((b.column, low, high), []).append((rank, rank - before))
+                else:
+                    narrowed.setdefault((b.column, low, high, before, n), []).append(rank)
+        open_ = _recut(base, narrowed, accuracy)
+    if short:
+        done |= _values_in(base, short)
     return done
 
 
-def _value_in(base: DataFrame, lo: float, hi: float, rank: int) -> float:
-    """Value at a 0-based rank among the (at most SORT_ROWS) rows of one bracket."""
-    counts = base.filter(F.col("v").between(lo, hi)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    cum = counts.withColumn("cum", F.sum("n").over(Window.orderBy("v")))
-    return cum.filter(F.col("cum") > rank).agg(F.min("v")).first()[0]
+def _recut(base: DataFrame, narrowed: Mapping[tuple, Sequence[int]], accuracy: int) -> list[_Bracket]:
+    """New cut points, close around the wanted ranks, for brackets that are still large."""
+    if not narrowed:
+        return []
+    slack = 2.0 / accuracy
+    aggs = []
+    for j, ((column, low, high, before, n), ranks) in enumerate(narrowed.items()):
+        at = [(r - before) / max(n - 1, 1) for r in ranks]
+        near = sorted({min(1.0, max(0.0, p + d)) for p in at for d in (-slack, slack)})
+        inside = F.when(F.col(column).between(low, high), F.col(column))
+        aggs.append(F.percentile_approx(inside, near, accuracy).alias(f"q{j}"))
+    row = base.agg(*aggs).first()
+    return [
+        _Bracket(*state, tuple(ranks), tuple(row[f"q{j}"])) for j, (state, ranks) in enumerate(narrowed.items())
+    ]
+
+
+def _values_in(
+    base: DataFrame, short: Mapping[tuple[str, float, float], Sequence[tuple[int, int]]]
+) -> dict[tuple[str, int], float]:
+    """Values at local ranks of brackets of at most SORT_ROWS rows, all in one job."""
+    cells = [(F.col(c).between(low, high), F.lit(0), F.col(c)) for c, low, high in short]
+    counts = _tagged(base, cells).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    cum = counts.withColumn("cum", F.sum("n").over(Window.partitionBy("i").orderBy("v")))
+    hit = F.lit(False)
+    for i, ranks in enumerate(short.values()):
+        for _, local in ranks:
+            hit = hit | ((F.col("i") == i) & (F.col("cum") > local) & (F.col("cum") - F.col("n") <= local))
+    found = sorted((r["i"], r["cum"], r["v"]) for r in cum.filter(hit).collect())
+    out: dict[tuple[str, int], float] = {}
+    for i, ((column, _, _), ranks) in enumerate(short.items()):
+        for rank, local in ranks:
+            out[column, rank] = next(v for j, total, v in found if j == i and total > local)
+    return out

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import q
 from millrace.operators.ranking import (
-    MAX_GROUPS,
     global_positions,
     hash_cutoffs,
+    hash_histogram,
     hash_rank,
     key_at_ranks,
+    key_bounds,
     order_hash,
     within_cutoff,
 )
-from millrace.session import fetch_bounded, materialise
+from millrace.session import materialise
 
 PAGE_SIZE = 15_000
 
@@ -30,12 +31,6 @@ def share(n: int, fraction: float, how: str = "ceil") -> int:
     return {"ceil": math.ceil, "floor": math.floor, "round": round}[how](exact)
 
 
-def class_counts(df: DataFrame, label: str) -> dict[object, int] | None:
-    """Rows per class, or None when there are too many classes to hold on the driver."""
-    rows = fetch_bounded(df.groupBy(q(label).alias("g")).agg(F.count(F.lit(1)).alias("n")), MAX_GROUPS)
-    return None if rows is None else {r["g"]: r["n"] for r in rows}
-
-
 def largest_remainder(counts: Mapping[object, int], total: int) -> dict[object, int]:
     """Quotas per class in proportion to its size, summing to `total`.
 
@@ -53,19 +48,27 @@ def largest_remainder(counts: Mapping[object, int], total: int) -> dict[object,
     return quotas
 
 
+def _first_rows(
+    df: DataFrame, key: str, seed: int | str, quota: Callable[[int], int]
+) -> Column:
+    """True for the first quota(n) of the n rows in hash order."""
+    histogram = hash_histogram(df, key, seed)
+    quotas = {0: quota(histogram.total)}
+    return within_cutoff(key, seed, hash_cutoffs(df, key, seed, quotas, histogram=histogram))
+
+
 def random_split(df: DataFrame, key: str, test: float, seed: int | str = 42, out: str = "is_test") -> DataFrame:
     """Add a flag that is true for exactly ceil(n*test) rows."""
-    cut = hash_cutoffs(df, key, seed, {0: share(df.count(), test)})
-    return df.withColumn(out, within_cutoff(key, seed, cut))
+    return df.withColumn(out, _first_rows(df, key, seed, lambda n: share(n, test)))
 
 
 def _stratified_flag(df: DataFrame, key: str, label: str, test: float, seed: int | str) -> Column | None:
     """The test flag as a row expression, or None when there are too many classes for that."""
-    counts = class_counts(df, label)
-    if counts is None:
+    histogram = hash_histogram(df, key, seed, label)
+    if histogram is None:
         return None
-    quotas = largest_remainder(counts, share(sum(counts.values()), test))
-    return within_cutoff(key, seed, hash_cutoffs(df, key, seed, quotas, label), label)
+    quotas = largest_remainder(histogram.counts, share(histogram.total, test))
+    return within_cutoff(key, seed, hash_cutoffs(df, key, seed, quotas, label, histogram), label)
 
 
 def stratified_split(
@@ -137,12 +140,12 @@ def three_way_split(
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
     """Exactly n rows (all of them when the table has fewer)."""
-    return df.filter(within_cutoff(key, seed, hash_cutoffs(df, key, seed, {0: n})))
+    return df.filter(_first_rows(df, key, seed, lambda _: n))
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int | str = 42) -> DataFrame:
     """Exactly round(n*fraction) rows, half to even."""
-    return sample_rows(df, key, share(df.count(), fraction, "round"), seed)
+    return df.filter(_first_rows(df, key, seed, lambda n: share(n, fraction, "round")))
 
 
 def undersample_quota(counts: Mapping[object, int], strategy: str | float = 1.0) -> tuple[object, int]:
@@ -164,12 +167,12 @@ def undersample(
     df: DataFrame, key: str, label: str, strategy: str | float = 1.0, seed: int | str = 42
 ) -> DataFrame:
     """Keep every minority row and the first rows of the majority in hash order."""
-    counts = class_counts(df, label)
-    if counts is None:
+    histogram = hash_histogram(df, key, seed, label)
+    if histogram is None:
         raise ValueError("undersampling needs two classes")
-    majority, quota = undersample_quota(counts, strategy)
-    cut = hash_cutoffs(df.filter(q(label) == F.lit(majority)), key, seed, {0: quota})
-    return df.filter((q(label) != F.lit(majority)) | within_cutoff(key, seed, cut))
+    majority, quota = undersample_quota(histogram.counts, strategy)
+    cut = hash_cutoffs(df, key, seed, {majority: quota}, label, histogram)
+    return df.filter((q(label) != F.lit(majority)) | within_cutoff(key, seed, cut, label))
 
 
 def hash_split(key: str, seed: int | str = 42, train: int = 2, evaluate: int = 1) -> Column:
@@ -202,13 +205,14 @@ def page(
     """
     if number < 0:
         raise ValueError("page number must not be negative")
-    n = df.count()
+    bounds = key_bounds(df, key)
+    n = bounds[2]
     start, end = number * size, min((number + 1) * size, n)
     if start >= n:
         raise PageNotFound(number, max(page_count(n, size) - 1, 0))
     if limit is not None and 0 < limit < end - start:
         end = start + limit
-    at = key_at_ranks(df, key, [start + 1, end])
+    at = key_at_ranks(df, key, [start + 1, end], bounds)
     rows = df.filter(q(key).between(at[start + 1], at[end]))
     return rows, {"batch_number": number, "start_row": start, "end_row": end, "batch_size": end - start}
 
@@ -220,11 +224,11 @@ def slice_sample(
 
     Rows beyond slices*size (the remainder of the division) belong to no slice.
     """
-    n = df.count()
-    size = n // slices
+    bounds = key_bounds(df, key)
+    size = bounds[2] // slices
     if size == 0:
         return df.withColumn("slice", F.lit(0)).filter(F.lit(False))
-    at = key_at_ranks(df, key, [size * (i + 1) for i in range(slices)])
+    at = key_at_ranks(df, key, [size * (i + 1) for i in range(slices)], bounds)
     number = F.lit(None).cast("int")
     for i in reversed(range(slices)):
         number = F.when(q(key) <= F.lit(at[size * (i + 1)]), F.lit(i)).otherwise(number)

@@ -33,7 +33,7 @@ def test_many_classes_use_the_table_path_with_equal_result(spark, monkeypatch):
     df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 37).alias("y"))
     literal = rows(sampling.three_way_split(df, "k", "y"))
     flagged = rows(sampling.stratified_split(df, "k", "y", 0.3))
-    monkeypatch.setattr(sampling, "MAX_GROUPS", 5)
+    monkeypatch.setattr(ranking, "MAX_GROUPS", 5)
     assert rows(sampling.stratified_split(df, "k", "y", 0.3)) == flagged
     assert rows(sampling.three_way_split(df, "k", "y").select("k", "y", "split")) == literal
 
