@@ -106,7 +106,7 @@ def score_log(spark, sf_dir):
 
 @query("balanced_svm_quality")
 def balanced_svm_quality(spark, sf_dir):
-    processed = processed_orders(spark, sf_dir)
+    processed = processed_orders(spark, sf_dir).store(scratch_path(spark, "processed"))
     model = encounters.train(processed, components=16)
     rows = [(part, *encounters.measure(model, processed.part(part)).values()) for part in ("validation", "test")]
     names = ("accuracy", "precision", "recall", "f1_score", "roc_auc")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from math import cos, log, pi, sqrt
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -21,35 +22,60 @@ from millrace.operators.sampling import kfold, stratified_split
 
 FEATURES, LABEL = "features", "label_index"
 RBF_COMPONENTS = 64
+ROWS_PER_TASK = 250_000
 
 
 def assembler(names: Sequence[str], out: str = FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=list(names), outputCol=out, handleInvalid="error")
 
 
+@dataclass(frozen=True)
+class Moments:
+    """Rows of a training table, mean and population variance of its columns."""
+
+    rows: int
+    means: tuple[float, ...]
+    variances: tuple[float, ...]
+
+
+def moments(df: DataFrame, names: Sequence[str]) -> Moments:
+    aggs = [f(q(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(names) for k, f in (("m", F.avg), ("v", F.var_pop))]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
+    return Moments(row["n"], *(tuple(row[f"{k}{i}"] for i in range(len(names))) for k in "mv"))
+
+
+def training_rows(df: DataFrame, names: Sequence[str], label: str, rows: int) -> DataFrame:
+    """Only the inputs and the label, spread over all cores when they would sit in few tasks.
+
+    Every iteration of a solver passes over these rows. A large table keeps the
+    partitions it was read in.
+    """
+    narrow = df.select(*[q(c) for c in dict.fromkeys((*names, label))])
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return narrow.repartition(cores) if rows < ROWS_PER_TASK * cores else narrow
+
+
 def train_logistic(df: DataFrame, names: Sequence[str], label: str = LABEL, max_iter: int = 50) -> PipelineModel:
     """One-vs-rest logistic regression with unit regularisation strength (C = 1)."""
-    base = LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, regParam=1.0 / max(df.count(), 1))
+    n = df.count()
+    base = LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1))
     multi = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label)
-    return Pipeline(stages=[assembler(names), multi]).fit(df)
+    return Pipeline(stages=[assembler(names), multi]).fit(training_rows(df, names, label, n))
 
 
 # --------------------------------------------------------------- RBF SVM
 
 
-def rbf_gamma(df: DataFrame, names: Sequence[str], gamma: str | float = "scale") -> float:
+def rbf_gamma(found: Moments, gamma: str | float = "scale") -> float:
     """'scale' = 1/(d * variance of all feature cells), 'auto' = 1/d, or a number."""
-    d = len(names)
+    d = len(found.means)
     if gamma == "auto":
         return 1.0 / d
     if gamma != "scale":
         return float(gamma)
-    aggs = [f(q(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(names) for k, f in (("m", F.avg), ("v", F.var_pop))]
-    row = df.agg(*aggs).first()
-    means = [row[f"m{i}"] for i in range(d)]
-    grand = sum(means) / d
+    grand = sum(found.means) / d
     # variance over all cells = mean within-column variance + variance of the column means
-    total = sum(row[f"v{i}"] + (means[i] - grand) ** 2 for i in range(d)) / d
+    total = sum(v + (m - grand) ** 2 for m, v in zip(found.means, found.variances)) / d
     return 1.0 / (d * total) if total > 0 else 1.0
 
 
@@ -89,31 +115,33 @@ def train_rbf_svm(
 
     Cost grows with rows * components, not with rows squared as for an exact kernel.
     """
-    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(df.count(), 1)), maxIter=max_iter)
+    found = moments(df, names)
+    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(found.rows, 1)), maxIter=max_iter)
     last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label)
-    mapped = SQLTransformer(statement=rbf_statement(names, rbf_gamma(df, names, gamma), components, seed))
+    mapped = SQLTransformer(statement=rbf_statement(names, rbf_gamma(found, gamma), components, seed))
     cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
-    return Pipeline(stages=[mapped, cells, last]).fit(df)
+    return Pipeline(stages=[mapped, cells, last]).fit(training_rows(df, names, label, found.rows))
 
 
 def train_linear_svm(
     df: DataFrame, names: Sequence[str], label: str = LABEL, c: float = 1.0, max_iter: int = 30
 ) -> PipelineModel:
     """Binary linear SVM whose margin is turned into a probability by a one-feature logistic fit."""
+    n = df.count()
     svc = LinearSVC(
-        featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(df.count(), 1)), maxIter=max_iter,
+        featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(n, 1)), maxIter=max_iter,
         predictionCol="svm_prediction", rawPredictionCol="svm_margins",
     )
     margin = VectorAssembler(inputCols=["svm_margins"], outputCol="svm_margin")
     platt = LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=max_iter)
-    return Pipeline(stages=[assembler(names), svc, margin, platt]).fit(df)
+    return Pipeline(stages=[assembler(names), svc, margin, platt]).fit(training_rows(df, names, label, n))
 
 
 def train_forest(
     df: DataFrame, names: Sequence[str], label: str = LABEL, trees: int = 100, depth: int = 8, seed: int = 42
 ) -> PipelineModel:
     forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[assembler(names), forest]).fit(df)
+    return Pipeline(stages=[assembler(names), forest]).fit(training_rows(df, names, label, df.count()))
 
 
 # ----------------------------------------------------------------- search
@@ -129,7 +157,7 @@ def grid_search_rbf(
     folds: int = 5,
     components: int = RBF_COMPONENTS,
     n_classes: int = 2,
-    parallelism: int = 2,
+    parallelism: int = 4,
     seed: int = 42,
     max_iter: int = 10,
 ) -> CrossValidatorModel:
@@ -137,12 +165,13 @@ def grid_search_rbf(
 
     Candidates differ in the projection statement (gamma) and the regularisation (cost).
     """
-    n = max(df.count(), 1)
+    found = moments(df, names)
+    n = max(found.rows, 1)
     svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter)
     last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label)
     mapped = SQLTransformer()
     cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
-    statements = [rbf_statement(names, rbf_gamma(df, names, g), components, seed) for g in gammas]
+    statements = [rbf_statement(names, rbf_gamma(found, g), components, seed) for g in gammas]
     grid = ParamGridBuilder().addGrid(mapped.statement, statements)
     if n_classes == 2:
         grid = grid.addGrid(svc.regParam, [1.0 / (c * n) for c in costs])
@@ -153,7 +182,7 @@ def grid_search_rbf(
 
 def grid_search_linear(
     df: DataFrame, names: Sequence[str], key: str, label: str = LABEL, costs: Sequence[float] = (0.1, 1.0, 10.0),
-    folds: int = 2, parallelism: int = 2, seed: int = 42, max_iter: int = 10,
+    folds: int = 2, parallelism: int = 4, seed: int = 42, max_iter: int = 10,
 ) -> CrossValidatorModel:
     n = max(df.count(), 1)
     svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter)
@@ -219,17 +248,17 @@ def train_and_evaluate(
     """Stratified split, random forest on the larger part, one metric row on the rest."""
     flagged = stratified_split(df, key, label, test, seed)
     model = train_forest(flagged.filter(~F.col("is_test")), names, label, trees=trees, seed=seed)
-    scored = score_probability(model, flagged.filter("is_test")).select(label, "predicted", "probability").persist()
-    try:
-        metrics = evaluate(scored, label)
-    finally:
-        scored.unpersist()
+    metrics = evaluate(score_probability(model, flagged.filter("is_test")), label)
     schema = ", ".join(f"{name} double" for name in metrics)
     return model, df.sparkSession.createDataFrame([tuple(metrics.values())], schema)
 
 
 def evaluate(scored: DataFrame, label: str, positive: object = 1, probability: str = "probability") -> dict[str, float]:
     """accuracy, precision, recall, f1_score and roc_auc of scored rows."""
-    row = binary_metrics(scored, label, "predicted", positive).first().asDict()
-    row["roc_auc"] = roc_auc(scored, probability, q(label) == F.lit(positive)).first()[0]
+    narrow = scored.select(q(label), "predicted", q(probability)).persist()  # the model runs once for both
+    try:
+        row = binary_metrics(narrow, label, "predicted", positive).first().asDict()
+        row["roc_auc"] = roc_auc(narrow, probability, q(label) == F.lit(positive)).first()[0]
+    finally:
+        narrow.unpersist()
     return row

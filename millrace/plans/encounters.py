@@ -6,7 +6,7 @@ Only three things are stored on the way: raw rows, processed rows, metrics.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -73,6 +73,12 @@ class Processed:
     def part(self, split: str) -> DataFrame:
         return self.rows.filter(F.col("split") == split)
 
+    def store(self, path: str) -> Processed:
+        """The same over a written table, one folder per split, so that a part is read alone."""
+        spark = self.rows.sparkSession
+        self.rows.write.mode("overwrite").partitionBy("split").parquet(path)
+        return replace(self, rows=spark.read.schema(self.rows.schema).parquet(path).select(*self.rows.columns))
+
 
 def process(
     prepared: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str],
@@ -111,8 +117,7 @@ def train(processed: Processed, sample: int | None = None, strategy: str | float
 def measure(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
     """The five metrics of a model on processed rows, positive class YES."""
     labelled = rows.withColumn(training.LABEL, (q(TARGET) == "YES").cast("int"))
-    scored = training.score_probability(model, labelled).select(training.LABEL, "predicted", "probability")
-    return training.evaluate(scored, training.LABEL)
+    return training.evaluate(training.score_probability(model, labelled), training.LABEL)
 
 
 def should_promote(latest: dict[str, float], production: dict[str, float] | None, metric: str = "recall") -> str | None:

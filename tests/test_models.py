@@ -54,9 +54,11 @@ def test_random_features_approximate_the_kernel(spark):
 
 def test_gamma(spark):
     df = spark.createDataFrame([(0.0, 2.0), (2.0, 4.0)], "a double, b double")
-    assert training.rbf_gamma(df, NAMES) == pytest.approx(1 / (2 * np.var([0, 2, 2, 4])))
-    assert (training.rbf_gamma(df, NAMES, "auto"), training.rbf_gamma(df, NAMES, 3)) == (0.5, 3.0)
-    assert training.rbf_gamma(df.limit(1), ["a"]) == 1.0
+    found = training.moments(df, NAMES)
+    assert found.rows == 2
+    assert training.rbf_gamma(found) == pytest.approx(1 / (2 * np.var([0, 2, 2, 4])))
+    assert (training.rbf_gamma(found, "auto"), training.rbf_gamma(found, 3)) == (0.5, 3.0)
+    assert training.rbf_gamma(training.moments(df.limit(1), ["a"])) == 1.0
 
 
 def test_three_classes(three):
@@ -106,12 +108,13 @@ def raw_encounters(spark, n=600):
     return spark.createDataFrame(data, names)
 
 
-def test_encounter_flow(spark):
+def test_encounter_flow(spark, tmp_path):
     prepared = encounters.prepare(encounters.clean_raw(raw_encounters(spark)))
     assert prepared.filter("race = 'Unknown'").count() == 67 and prepared.filter("max_glu_serum = 'Unknown'").count() == 600
     split = sampling.three_way_split(prepared, "encounter_id", encounters.TARGET)
     processed = encounters.process(split, "encounter_id", ENCOUNTER_NUMERIC, ENCOUNTER_CATEGORICAL)
     assert len(processed.features) == 17
+    processed = processed.store(str(tmp_path / "processed"))
     model = encounters.train(processed, components=64)
     quality = encounters.measure(model, processed.part("validation"))
     majority = processed.part("validation").groupBy("target").count().agg(F.max("count")).first()[0] / processed.part("validation").count()
