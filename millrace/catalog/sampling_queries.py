@@ -96,6 +96,12 @@ def page_batch_limited(spark, sf_dir):
     return sampling.page(events, "event_id", 7, 100, limit=50)[0]
 
 
+@query("page_assign", """
+    SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // 150 AS INTEGER) AS batch_number FROM events""")
+def page_assign(spark, sf_dir):
+    return sampling.assign_pages(table(spark, sf_dir, "events").select("event_id"), "event_id", 150)
+
+
 @query("page_count", f"""
     WITH {THREE_WAY} SELECT split, CAST(ceil(count(*) / 1500) AS BIGINT) AS n_pages FROM parts GROUP BY split""")
 def page_count(spark, sf_dir):

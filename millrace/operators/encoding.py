@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.cleaning import drop_missing, q
 from millrace.operators.ranking import global_positions
-from millrace.session import SMALL_ROWS, SmallTable, fetch_bounded, lookup
+from millrace.session import SMALL_ROWS, SmallTable, fetch_bounded, lookup, materialise
 
 UNKNOWN = -1
 LITERAL_VALUES = 64  # vocabularies up to this size become a literal expression
@@ -69,7 +69,8 @@ def fit_vocabularies(df: DataFrame, names: Sequence[str], order: str = "value")
                 mine.sort(key=lambda vn: vn[0])
             out[c] = Vocabulary(c, tuple(v for v, _ in mine))
         return out
-    return {c: _large_vocabulary(df, c, order) for c in names}
+    counts = materialise(counts, "value-counts")
+    return {c: _long_vocabulary(counts, c, types[c], order) for c in names}
 
 
 def _native(text: str, dtype: T.DataType):
@@ -80,16 +81,11 @@ def _native(text: str, dtype: T.DataType):
     return text
 
 
-def _large_vocabulary(df: DataFrame, name: str, order: str) -> Vocabulary:
-    counts = df.filter(q(name).isNotNull()).groupBy(q(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    rows = fetch_bounded(counts, SMALL_ROWS)
-    if rows is not None:
-        pairs = sorted(((r["value"], r["n"]) for r in rows), reverse=order == "frequency")
-        if order == "frequency":
-            pairs.sort(key=lambda vn: -vn[1])
-        return Vocabulary(name, tuple(v for v, _ in pairs))
+def _long_vocabulary(counts: DataFrame, name: str, dtype: T.DataType, order: str) -> Vocabulary:
+    """The vocabulary of one column from the written (column, value, n) table, ranked without a single-task sort."""
+    mine = counts.filter(F.col("column") == name).select(F.col("value").cast(dtype).alias("value"), "n")
     by = [F.desc("n"), F.desc("value")] if order == "frequency" else [F.asc("value")]
-    placed = global_positions(counts, by, "idx", f"vocabulary-{name}")
+    placed = global_positions(mine, by, "idx", "vocabulary")
     return Vocabulary(name, None, SmallTable.of(placed.select("value", F.col("idx").cast("int").alias("idx"))))
 
 

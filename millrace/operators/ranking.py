@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -349,7 +350,8 @@ def _tagged(base: DataFrame, cells: Sequence[tuple[Column, Column, Column]]) ->
         F.when(cond, F.struct(F.lit(i).alias("i"), piece.alias("p"), value.alias("v")))
         for i, (cond, piece, value) in enumerate(cells)
     ])
-    return base.select(F.explode(rows).alias("r")).filter("r IS NOT NULL").select("r.*")
+    inside = reduce(lambda a, b: a | b, [cond for cond, _, _ in cells])
+    return base.filter(inside).select(F.explode(rows).alias("r")).filter("r IS NOT NULL").select("r.*")
 
 
 def _values_at(base: DataFrame, open_: Sequence[_Bracket], accuracy: int) -> dict[tuple[str, int], float]:

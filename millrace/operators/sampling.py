@@ -217,6 +217,15 @@ def page(
     return rows, {"batch_number": number, "start_row": start, "end_row": end, "batch_size": end - start}
 
 
+def assign_pages(df: DataFrame, key: str, size: int = PAGE_SIZE, out: str = "batch_number") -> DataFrame:
+    """Add the page number of every row in key order: one range shuffle for all pages together.
+
+    For writing out all pages; `page` reads a single one without a shuffle.
+    """
+    placed = global_positions(df, [F.asc(key)], "_position", "pages")
+    return placed.withColumn(out, F.expr(f"_position div {size}").cast("int")).drop("_position")
+
+
 def slice_sample(
     df: DataFrame, key: str, slices: int = 10, per_slice: int = 10, seed: int | str = 42
 ) -> DataFrame:

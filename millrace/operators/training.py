@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import q
@@ -177,7 +177,7 @@ def grid_search_rbf(
         grid = grid.addGrid(svc.regParam, [1.0 / (c * n) for c in costs])
     else:
         grid = grid.addGrid(last.classifier, [svc.copy({svc.regParam: 1.0 / (c * n)}) for c in costs])
-    return _cross_validate(df, Pipeline(stages=[mapped, cells, last]), grid.build(), key, label, folds, parallelism, seed)
+    return _cross_validate(df, Pipeline(stages=[mapped, cells, last]), grid.build(), names, key, label, folds, parallelism, seed)
 
 
 def grid_search_linear(
@@ -187,16 +187,17 @@ def grid_search_linear(
     n = max(df.count(), 1)
     svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter)
     grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n) for c in costs]).build()
-    return _cross_validate(df, Pipeline(stages=[assembler(names), svc]), grid, key, label, folds, parallelism, seed)
+    return _cross_validate(df, Pipeline(stages=[assembler(names), svc]), grid, names, key, label, folds, parallelism, seed)
 
 
-def _cross_validate(df, estimator, grid, key, label, folds, parallelism, seed) -> CrossValidatorModel:
+def _cross_validate(df, estimator, grid, names, key, label, folds, parallelism, seed) -> CrossValidatorModel:
     judge = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=judge, numFolds=folds,
         foldCol="fold", parallelism=parallelism,
     )
-    folded = kfold(df, key, label, folds, seed, "fold").persist()
+    narrow = df.select(*[q(c) for c in dict.fromkeys((*names, key, label))])
+    folded = kfold(narrow, key, label, folds, seed, "fold").persist()
     try:
         return search.fit(folded)
     finally:
@@ -242,6 +243,26 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def save_inputs(df: DataFrame, names: Sequence[str], key: str, path: str) -> None:
+    """Store what a model expects beside it: (position, name, type, example), the example from the first row."""
+    types = dict(df.dtypes)
+    first = df.orderBy(q(key)).limit(1)
+    cells = F.array(*[
+        F.struct(
+            F.lit(i).alias("position"), F.lit(c).alias("name"), F.lit(types[c]).alias("type"),
+            q(c).cast("string").alias("example"),
+        )
+        for i, c in enumerate(names)
+    ])
+    first.select(F.explode(cells).alias("r")).select("r.*").coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_inputs(spark: SparkSession, path: str) -> list[tuple[str, str, str | None]]:
+    """(name, type, example) of a model's inputs, in the order the model was trained with."""
+    rows = spark.read.schema("position int, name string, type string, example string").json(path)
+    return [(r["name"], r["type"], r["example"]) for r in rows.orderBy("position").collect()]
+
+
 def train_and_evaluate(
     df: DataFrame, names: Sequence[str], key: str, label: str = LABEL, test: float = 0.3, seed: int = 42, trees: int = 100
 ) -> tuple[PipelineModel, DataFrame]:

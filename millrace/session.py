@@ -84,7 +84,9 @@ def lookup(df: DataFrame, table: SmallTable, on: list[str], how: str = "left") -
     """Join `df` with a lookup table on `on`.
 
     A checked small table is broadcast. A large one is joined by shuffle with the
-    key salted, so a key holding a third of `df` is spread over many tasks.
+    key salted, so a key holding a third of `df` is spread over many tasks. The salt
+    is a hash of the row and not a random number, so a repeated task gives the same
+    one; exact copies of a row share a salt and are left to the adaptive skew join.
     """
     if table.bounded:
         return df.join(F.broadcast(table.df), on, how)

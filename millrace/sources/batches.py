@@ -94,13 +94,14 @@ def to_records(df: DataFrame, names: Sequence[str], batch: Column, size: int) ->
 # ------------------------------------------------------------------- landing
 
 
-def land_groups(df: DataFrame, group: str, path: str) -> None:
-    """Write one JSON folder per group.
+def land_groups(df: DataFrame, group: str, path: str, files_per_group: int = 8) -> None:
+    """Write one JSON folder per group, of at most `files_per_group` files.
 
-    Files are written by the tasks that hold the rows, so a group with very many rows
+    A group's rows are dealt out over several tasks, so a group with very many rows
     becomes several files instead of one large task.
     """
-    df.write.mode("overwrite").partitionBy(group).json(path)
+    salt = F.pmod(F.xxhash64(*[q(c) for c in df.columns]), F.lit(files_per_group))
+    df.repartition(q(group), salt).write.mode("overwrite").partitionBy(group).json(path)
 
 
 def read_landing(

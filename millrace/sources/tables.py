@@ -38,6 +38,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def server_info(spark: SparkSession) -> DataFrame:
+    """One row: time, database, user and version of the engine behind the session."""
+    return spark.range(1).select(
+        F.current_timestamp().alias("now"), F.current_database().alias("database"),
+        F.current_user().alias("user"), F.version().alias("version"),
+    )
+
+
 def replace_table(df: DataFrame, path: str, expected: int | None = None) -> int:
     """Overwrite the table at `path`; return its row count, checked against `expected`."""
     df.write.mode("overwrite").parquet(path)

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import sampling, training, validating
-from millrace.plans import encounters
+from millrace.plans import encounters, penguins
 from millrace.spec import ENCOUNTER_CATEGORICAL, ENCOUNTER_NUMERIC
 from millrace.streaming import scoring
 
@@ -86,6 +86,19 @@ def test_evaluation_and_saved_model(spark, ring, tmp_path):
     assert proba.filter("(probability > 0.5) != (predicted = 1) AND probability != 0.5").count() == 0
 
 
+def test_inputs_are_kept_beside_the_model(spark, ring, tmp_path):
+    training.save_inputs(ring, ["b", "a"], "k", str(tmp_path / "inputs"))
+    first = ring.filter("k = 0").first()
+    assert training.load_inputs(spark, str(tmp_path / "inputs")) == [
+        ("b", "double", str(first["b"])), ("a", "double", str(first["a"]))]
+
+
+def test_penguin_model(three):
+    table = three.withColumn("species", F.col("label_index").cast("int")).drop("label_index")
+    model, scored = penguins.train(table, "k", NAMES, "species")
+    assert scored.count() == 90 and scored.filter("species = predicted").count() > 80
+
+
 def test_platt_probability_follows_the_margin(three):
     two = three.filter("label_index < 2")
     scored = training.score_probability(training.train_linear_svm(two, NAMES), two)

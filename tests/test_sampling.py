@@ -95,6 +95,13 @@ def test_pages(spark):
     assert error.value.last_page == 3
 
 
+def test_all_pages_at_once_agree_with_single_pages(spark):
+    df = spark.range(0, 95, 3).withColumnRenamed("id", "k").repartition(5)
+    pages = sampling.assign_pages(df, "k", 10)
+    assert rows(pages.filter("batch_number = 2").select("k")) == rows(sampling.page(df, "k", 2, 10)[0])
+    assert counts(pages, "batch_number") == {0: 10, 1: 10, 2: 10, 3: 2}
+
+
 def test_a_page_is_a_pushed_down_key_range(spark, tmp_path):
     spark.range(1000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t"))
     page, _ = sampling.page(spark.read.parquet(str(tmp_path / "t")), "k", 2, 100)

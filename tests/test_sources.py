@@ -10,7 +10,7 @@ from millrace import session
 from millrace.operators import combining, registry
 from millrace.plans import encounters
 from millrace.sources import batches, delimited, tables
-from millrace.spec import COVER_BATCH_FIELDS, PENGUIN_SCHEMA, TABLES, prediction_schema, processed_schema
+from millrace.spec import COVER_BATCH_FIELDS, COVER_SPEC, PENGUIN_SCHEMA, TABLES, FeatureSpec, prediction_schema, processed_schema, split_columns
 
 
 def write(path, text):
@@ -127,9 +127,21 @@ def test_jdbc_options():
         tables.jdbc_read_options("jdbc:x", "t", "id")
 
 
+def test_server_info(spark):
+    row = tables.server_info(spark).first()
+    assert row["database"] == "default" and row["version"].startswith("4.") and row["user"] and row["now"]
+
+
 def test_schemas():
     assert processed_schema(2).names == ["feature_0", "feature_1", "target"]
     assert len(prediction_schema()) == 18
+    assert len(COVER_SPEC.features) == 12
+
+
+def test_columns_are_parted_as_declared(spark):
+    df = spark.createDataFrame([(1, "a", 2)], "x int, s string, code int")
+    numeric, categorical = split_columns(df, FeatureSpec(("x",), ("code", "s")))
+    assert (numeric.columns, categorical.columns) == (["x"], ["code", "s"])
 
 
 def test_registry(spark):
