@@ -157,7 +157,7 @@ def within_cutoff(key: str, seed: int | str, cutoffs: Mapping[object, str | None
     return F.coalesce(order_hash(seed, key) <= cut, F.lit(False))
 
 
-def prefix_length(n: int, rows_per_bucket: int = 50_000) -> int:
+def prefix_length(n: int, rows_per_bucket: int = SORT_ROWS) -> int:
     """Hex digits so that a hash bucket of an n-row group holds about `rows_per_bucket` rows."""
     return max(1, math.ceil(math.log(max(n, 1) / rows_per_bucket, 16))) if n > rows_per_bucket else 1
 

@@ -20,7 +20,7 @@ from millrace.operators.ranking import (
     order_hash,
     within_cutoff,
 )
-from millrace.session import materialise
+from millrace.session import SmallTable, lookup, materialise
 
 PAGE_SIZE = 15_000
 
@@ -98,13 +98,14 @@ def _stratified_split_many(
     )
     left = total - quota.agg(F.sum("_q")).first()[0]
     placed = global_positions(quota, [F.desc("_rem"), F.asc_nulls_first("_g")], "_pos", "quotas")
-    quota = placed.select("_g", (F.col("_q") + (F.col("_pos") < F.lit(left)).cast("bigint")).alias("_q"))
-    ranked = hash_rank(df, key, seed, [label], "_rank", n)
-    return (
-        ranked.join(quota, q(label).eqNullSafe(F.col("_g")), "left")
-        .withColumn(out, F.col("_rank") <= F.col("_q"))
-        .drop("_rank", "_g", "_q")
-    )
+    # NULL is a class of its own, so the lookup key is text that is never NULL
+    class_key = lambda c: F.coalesce(c.cast("string"), F.lit("\u0000"))
+    quota = SmallTable.of(placed.select(
+        class_key(F.col("_g")).alias("_class"), (F.col("_q") + (F.col("_pos") < F.lit(left)).cast("bigint")).alias("_q")
+    ), "quotas")
+    ranked = hash_rank(df, key, seed, [label], "_rank", n).withColumn("_class", class_key(q(label)))
+    flagged = lookup(ranked, quota, ["_class"]).withColumn(out, F.col("_rank") <= F.col("_q"))
+    return flagged.select(*[q(c) for c in df.columns], out)
 
 
 def three_way_split(

@@ -66,23 +66,21 @@ def chi2_scores(df: DataFrame, categorical: Sequence[str], label: str) -> DataFr
         .groupBy("i", "feature", "value", "_class")
         .agg(F.count(F.lit(1)).alias("o"))
     )
-    # class sizes: every row occurs once under each feature
-    classes = observed.filter("i = 0").groupBy("_class").agg(F.sum("o").alias("n_class"))
-    shares = classes.withColumn(
-        "share", F.col("n_class") / F.sum("n_class").over(Window.partitionBy(F.lit(1)))
-    ).select(F.col("_class").alias("_c"), "share")
-    totals = observed.groupBy("i", "feature", "value").agg(F.sum("o").alias("n_value"))
+    classes = df.groupBy(q(label).alias("_c")).agg(F.count(F.lit(1)).alias("n_class"))
+    shares = classes.select("_c", (F.col("n_class") / F.lit(max(df.count(), 1))).alias("share"))
+    # the window holds one row per class for each value, and its shuffle serves the sums below
+    same_value = Window.partitionBy("i", "feature", "value")
     joined = (
-        observed.join(shares, F.col("_class").eqNullSafe(F.col("_c")))
-        .join(totals.select(F.col("i").alias("ti"), F.col("value").alias("tv"), "n_value"),
-              (F.col("i") == F.col("ti")) & F.col("value").eqNullSafe(F.col("tv")))
+        observed.filter("value IS NOT NULL")
+        .withColumn("n_value", F.sum("o").over(same_value))
+        .join(shares, F.col("_class").eqNullSafe(F.col("_c")))
         .withColumn("e", F.col("share") * F.col("n_value"))
     )
     missing = F.col("n_value") - F.col("expected_seen")
     return (
-        joined.filter("value is not null")
-        .groupBy("i", "feature", "value", "n_value")
+        joined.groupBy("i", "feature", "value")
         .agg(
+            F.first("n_value").alias("n_value"),
             F.sum(F.pow(F.col("o") - F.col("e"), 2) / F.col("e")).alias("seen"),
             F.sum("e").alias("expected_seen"),
         )

@@ -55,7 +55,7 @@ def test_hash_rank_is_a_permutation_per_group(spark, monkeypatch):
 
 def test_prefix_length_grows_with_rows():
     assert ranking.prefix_length(0) == ranking.prefix_length(10) == 1
-    assert 16 ** ranking.prefix_length(10**12) >= 10**12 / 50_000
+    assert 16 ** ranking.prefix_length(10**12) >= 10**12 / ranking.SORT_ROWS
 
 
 def test_keys_at_ranks_of_gappy_keys(spark, sort_rows):
