@@ -1,3 +1,18 @@
 """Queries over `documents` and `conversations`."""
 
 from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm.packing import pack_documents
+from millrace.llm.queries import query, table
+
+# The ranks of the vocabulary in byte_bpe_50k.json.
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+@query("op1_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
