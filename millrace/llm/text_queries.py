@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.mixing import mix_sources
 from millrace.llm.packing import pack_documents
 from millrace.llm.queries import query, table
 
@@ -16,3 +17,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+@query("op2_mixing")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
