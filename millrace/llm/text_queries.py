@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.mixing import mix_sources
 from millrace.llm.packing import pack_documents
 from millrace.llm.queries import query, table
+from millrace.llm.simhash import simhash_groups
 
 # The ranks of the vocabulary in byte_bpe_50k.json.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -22,3 +23,8 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_mixing")
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op4_simhash")
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
