@@ -9,6 +9,7 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.packing import pack_documents
 from millrace.llm.queries import query, table
 from millrace.llm.simhash import simhash_groups
+from millrace.llm.toxicity import score_toxicity
 
 # The ranks of the vocabulary in byte_bpe_50k.json.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -28,3 +29,9 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simhash")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
