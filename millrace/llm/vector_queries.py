@@ -1,3 +1,13 @@
 """Queries over `embeddings`."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm.embedding_dedup import near_vectors
+from millrace.llm.queries import query, table
+
+
+@query("op7_embedding_dedup")
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
