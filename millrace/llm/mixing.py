@@ -10,10 +10,11 @@ the sampled documents and words of a source keep their expected totals:
   constraints; they move along it, forward or back by a draw that keeps every expected
   value, until one of them reaches 0 or 1 and leaves;
 * the flight runs in cells of about `CELL_ROWS` documents of one source, independently,
-  and leaves at most `LANDING` units for a cell. These run through a second flight, one
-  for each source;
-* landing: of the 0/1 choices for the at most `LANDING` units of a source that then
-  remain, the one is taken whose words, then documents, are nearest to what was expected.
+  and leaves at most `LANDING` units for a cell. These fly again in fewer cells, until
+  a source is one cell;
+* landing: the at most two units of a source that no direction can move any more are
+  rounded, and a few of the last decisions changed, so that its words come nearest to
+  what was expected.
 
 Texts are reduced to sizes before anything is shuffled. Units stream through a task in
 key order with `LANDING` of them in memory, so a source of any size is only many cells.
@@ -29,8 +30,8 @@ Defined cases
 from __future__ import annotations
 
 import random
-from collections import deque
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ from millrace.session import SmallTable, lookup, materialise
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_REPEATS = 3
 # Documents of a source that one flight works on.
-CELL_ROWS = 20_000
-# Units of the landing problem, two of them from the flight; all 2 ** LANDING choices are weighed.
-LANDING = 12
+CELL_ROWS = 4_000
+# Units of a cell that do not fly, and are left for the landing.
+LANDING = 64
 _NEAR = 1e-9
 
 
@@ -91,16 +92,17 @@ class Flight:
     def __init__(self, seed: str):
         self.draw = random.Random(seed)
         self.held: list[list] = []
-        self.waiting: deque[list] = deque()
+        self.waiting: list[list] = []
 
     def add(self, unit: list) -> list[list]:
         """Take in one unit; return those that have come to 0 or 1."""
         if unit[0] < _NEAR or unit[0] > 1 - _NEAR:
             return [_settled(unit)]
         self.waiting.append(unit)
-        if len(self.waiting) <= LANDING - 2:
-            return []
-        self.held.append(self.waiting.popleft())
+        return self._fly(self.waiting.pop(0)) if len(self.waiting) > LANDING else []
+
+    def _fly(self, unit: list) -> list[list]:
+        self.held.append(unit)
         return self._move() if len(self.held) == 3 else []
 
     def left(self) -> list[list]:
@@ -120,14 +122,33 @@ class Flight:
         return done
 
     def land(self) -> list[list]:
-        """Decide the units that are left."""
-        units = self.left()
-        shares, sizes = np.array([u[0] for u in units]), np.array([float(u[1]) for u in units])
-        choices = np.arange(1 << len(units))[:, None] >> np.arange(len(units)) & 1
-        words, documents = np.abs((choices - shares) @ sizes), np.abs((choices - shares).sum(axis=1))
-        best = choices[np.lexsort((documents.round(6), words.round(6)))[0]]
-        for unit, taken in zip(units, best, strict=True):
-            unit[0] = float(taken)
+        """Decide the units that are left.
+
+        Those that waited fly too. Then each way to round the at most two that are left over
+        is mended by changing single decisions and pairs of them as long as the words come
+        nearer to what was expected, and the nearest outcome is taken.
+        """
+        pool = [u for unit in self.waiting for u in self._fly(unit)]
+        sizes = np.array([float(u[1]) for u in pool])
+        best = None
+        for rounded in product((0.0, 1.0), repeat=len(self.held)):
+            surplus = sum((r - u[0]) * u[1] for r, u in zip(rounded, self.held, strict=True))
+            taken = np.array([u[0] for u in pool])
+            while len(pool):
+                change = np.where(taken == 0, sizes, -sizes)
+                one, two = np.abs(surplus + change), np.abs(surplus + change[:, None] + change)
+                np.fill_diagonal(two, np.inf)
+                flips = [int(one.argmin())] if one.min() <= two.min() else list(divmod(int(two.argmin()), len(pool)))
+                after = surplus + change[flips].sum()
+                if abs(after) >= abs(surplus) - _NEAR:
+                    break
+                surplus = after
+                taken[flips] = 1 - taken[flips]
+            if best is None or abs(surplus) < best[0]:
+                best = abs(surplus), rounded, taken
+        units = [*self.held, *pool]
+        for unit, value in zip(units, [*best[1], *best[2]], strict=True):
+            unit[0] = float(value)
         return units
 
 
@@ -183,16 +204,25 @@ def mix_sources(
     mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(mean + F.lit(_NEAR))
     units = lookup(sizes.select("*", flag, filled), targets, ["no_source", "name"]).select(
-        "id", "source", "size", "source_size", "target", whole.cast("int").alias("whole"),
-        F.greatest(mean - whole, F.lit(0.0)).alias("share"),
-        F.pmod(F.xxhash64("id", "size"), F.ceil(F.col("n_rows") / cell_rows).cast("bigint")).alias("cell"))
-    order = ["source", "cell", "id", "size"]
-    flown = materialise(
-        _fly(units.repartition("source", "cell").sortWithinPartitions(*order), f"{seed}:flight", False), "mix-flown")
-    open_units = flown.where((F.col("share") > 0) & (F.col("share") < 1)).withColumn("cell", F.lit(0).cast("bigint"))
-    landed = _fly(open_units.repartition("source").sortWithinPartitions(*order), f"{seed}:landing", True)
-    decided = flown.where((F.col("share") <= 0) | (F.col("share") >= 1)).unionByName(landed)
+        "id", "source", "size", "source_size", "target", "n_rows", whole.cast("int").alias("whole"),
+        F.greatest(mean - whole, F.lit(0.0)).alias("share"))
+    most = sizes.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     copies = F.col("whole") + F.col("share").cast("int")
-    return decided.select(
+    result, rows_left = None, 1.0
+    while True:
+        # a source has cells in proportion to the units it may still have
+        in_cells = F.greatest(F.ceil(F.col("n_rows") * rows_left / cell_rows), F.lit(1)).cast("bigint")
+        last = most * rows_left <= cell_rows
+        dealt = units.withColumn("cell", F.pmod(F.xxhash64("id", "size"), in_cells))
+        flown = materialise(_fly(
+            dealt.repartition("source", "cell").sortWithinPartitions("source", "cell", "id", "size"),
+            f"{seed}:{rows_left}", last), "mix-flown")
+        decided = flown.where((F.col("share") <= 0) | (F.col("share") >= 1))
+        result = decided if result is None else result.unionByName(decided)
+        if last:
+            break
+        units = flown.where((F.col("share") > 0) & (F.col("share") < 1)).drop("cell")
+        rows_left *= LANDING / cell_rows
+    return result.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"))
