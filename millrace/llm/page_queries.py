@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.html_extract import extract_text
 from millrace.llm.queries import query, table
 from millrace.llm.url_filter import ALLOW, BLOCK, judge_urls
 
@@ -37,3 +38,8 @@ FROM parts LEFT JOIN verdicts USING (host, path)
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op9_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
