@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.chat import format_chats
 from millrace.llm.mixing import mix_sources
 from millrace.llm.packing import pack_documents
 from millrace.llm.queries import query, table
@@ -45,3 +46,8 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_chat_formatting")
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))

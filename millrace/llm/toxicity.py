@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Labelled documents the model is fitted on.
-SAMPLE_TOXIC = 1500
-SAMPLE_CLEAN = 3000
+SAMPLE_TOXIC = 1000
+SAMPLE_CLEAN = 2000
 THRESHOLD = 0.7
 SPAN_FLOOR = 0.2
 _WORD = re.compile(r"[^\W\d_]+")
@@ -49,7 +49,7 @@ _PREFIXES = (4, 5, 6)
 _CLEAN_SHARE = 0.002
 _COVER = 3
 _WINDOW = 40
-_STEPS = 120
+_STEPS = 100
 _RIDGE = 0.02
 _TOKENS = 1_000_000
 _CACHE = 300_000
