@@ -137,7 +137,7 @@ def _decide(light: DataFrame) -> DataFrame:
     kind = light.schema["conv"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
 
-    light_types = to_arrow_type(light.schema["conv"].dataType, timezone="UTC")
+    light_types = to_arrow_type(light.schema["conv"].dataType)
     return light.mapInArrow(
         run, f"conv {kind}, row long, position long, part long, role string, action string, last boolean")
 
@@ -156,10 +156,13 @@ def format_chats(
         .repartition("conv").sortWithinPartitions("conv", F.col("turn").asc_nulls_last(), "role", "tie", "row")
         .select("conv", "row", "role")
     )
-    decided = _decide(light)
+    decided = materialise(_decide(light), "decisions")
     opening = F.when(F.col("part") == 0, F.format_string(template[0].replace("{role}", "%s"), "role")).otherwise(F.lit("\n"))
     closing = F.when(F.col("last"), F.lit(template[1])).otherwise(F.lit(""))
     texts = keyed.select("row", "turn", "text")
-    return decided.join(texts, "row", "left").select(
+    # inserted turns have no row; joined by null they would all meet in one task
+    inserted = decided.where("row is null").withColumns({
+        "turn": F.lit(None).cast(texts.schema["turn"].dataType), "text": F.lit(None).cast("string")})
+    return decided.where("row is not null").join(texts, "row").unionByName(inserted).select(
         F.col("conv").alias(conv_col), "position", "part", "role", "action", F.col("turn").alias("source_turn"),
         F.concat(opening, F.coalesce("text", F.lit("")), closing).alias("rendered"))

@@ -474,7 +474,7 @@ def _remove(packets: DataFrame, kept: list[T.StructField]) -> DataFrame:
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    arrow = [to_arrow_type(f.dataType, timezone="UTC") for f in kept]
+    arrow = [to_arrow_type(f.dataType) for f in kept]
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([
         T.StructField("id", T.LongType()), *kept, T.StructField("n_bytes", T.LongType()),
