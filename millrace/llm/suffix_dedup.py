@@ -409,7 +409,7 @@ def _sort(packets: DataFrame, parts: int) -> DataFrame:
         data = np.frombuffer(b"".join(pieces[3]), np.uint8)
         begin = (np.cumsum(length, dtype=np.int64) - length)[np.argsort(number)]
         left, length = (x[np.argsort(number)].astype(np.int64) for x in (left, length))
-        masks_at = np.searchsorted(string, np.arange(len(group) + 1)) if (np.diff(string) >= 0).all() else None
+        occurrences = np.searchsorted(string, np.arange(len(group) + 1))
         # whole groups until a batch is full
         bounds = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         size = np.add.reduceat(length, bounds)
@@ -422,7 +422,7 @@ def _sort(packets: DataFrame, parts: int) -> DataFrame:
             least = smallest_ids(strings, own, smallest[a:b])
             # column k holds the suffix of SPAN + k bytes, whose window begins own - SPAN - k bytes into the string
             offset = own[:, None] - SPAN - np.arange(least.shape[1]) - left[a:b, None] + _WINDOWS - 1
-            low, high = masks_at[a], masks_at[b]
+            low, high = occurrences[a], occurrences[b]
             which = string[low:high] - a
             hit = least[which] < key[low:high, None]
             bits = np.where(hit, np.uint64(1) << np.maximum(offset[which], 0).astype(np.uint64), np.uint64(0))
@@ -445,7 +445,7 @@ def removed_spans(n: int, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], starts[last] + SPAN], axis=1)
 
 
-def _remove(packets: DataFrame, kept: list[T.StructField]) -> DataFrame:
+def _remove(packets: DataFrame, kept: list[T.StructField], as_text: bool) -> DataFrame:
     def work(part: int, found: Iterator) -> Iterator[pa.RecordBatch]:
         given, answers = [[], [], []], None
         for kind, packet in found:
@@ -465,11 +465,12 @@ def _remove(packets: DataFrame, kept: list[T.StructField]) -> DataFrame:
                 if len(own):
                     edges = [0, *own.ravel().tolist(), len(text)]
                     text = b"".join(text[s:e] for s, e in zip(edges[::2], edges[1::2], strict=True))
-                left.append(text)
+                # a cut inside a character leaves bytes that are no text
+                left.append(text.decode("utf-8", "ignore") if as_text else text)
                 spans.append([{"start": int(s), "end": int(e)} for s, e in own])
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, mask=ids == _NO_ID), *(pa.array(o, t) for o, t in zip(others, arrow, strict=True)),
-                pa.array([len(t) for t in texts], pa.int64()), pa.array(left, pa.binary()),
+                pa.array([len(t) for t in texts], pa.int64()), pa.array(left, pa.string() if as_text else pa.binary()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -478,17 +479,17 @@ def _remove(packets: DataFrame, kept: list[T.StructField]) -> DataFrame:
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([
         T.StructField("id", T.LongType()), *kept, T.StructField("n_bytes", T.LongType()),
-        T.StructField("kept", T.BinaryType()), T.StructField("spans", span)])
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("spans", span)])
     names = schema.names
     return _gather(packets).mapInArrow(lambda batches: _by_target(batches, work), schema)
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), as_text: bool = False,
 ) -> DataFrame:
     """Id, the columns `keep`, n_bytes, kept (the remaining bytes) and spans (start, end) of every row.
 
-    Ids are integers.
+    Ids are integers. `as_text` gives what remains as text, without characters that were cut in part.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = parts = partitions * _SLOTS_PER_PARTITION
@@ -500,6 +501,6 @@ def remove_repeats(
     sorted_answers = _sort(grouped.where(F.col("kind") == _GROUPS).unionByName(segments), parts)
     answers = materialise(sorted_answers, "answers").unionByName(grouped.where(F.col("kind") == _ANSWERS))
     fields = [T.StructField(f"keep_{k}", docs.schema[c].dataType) for k, c in enumerate(keep)]
-    found = _remove(answers.unionByName(texts), fields)
+    found = _remove(answers.unionByName(texts), fields, as_text)
     names = [F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep))]
     return found.select(*names, "n_bytes", "kept", "spans")
