@@ -154,7 +154,7 @@ def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
                 covers[feature].add(index)
     chosen: set[str] = set()
     times = np.zeros(len(toxic), np.int64)
-    for cover, least in ((1, max(2, round(0.002 * len(toxic)))), (_COVER, max(3, round(0.02 * len(toxic))))):
+    for cover, least in ((1, max(2, round(0.002 * len(toxic)))), (_COVER, max(5, round(0.02 * len(toxic))))):
         # a longer feature of equal cover is the more exact one
         heap = [(-len(c), common[f], -len(f), f) for f, c in covers.items() if len(c) >= least and f not in chosen]
         heapq.heapify(heap)
