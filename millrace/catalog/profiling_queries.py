@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.catalog import LABELLED, THREE_WAY, hash_order, labelled_orders, query, rounded, table
+from millrace.catalog import LABELLED, THREE_WAY, labelled_orders, query, rounded, table
 from millrace.catalog.cleaning_queries import GAPS, gaps
 from millrace.operators import profiling, sampling
 
@@ -104,13 +105,22 @@ def value_histogram(spark, sf_dir):
     return profiling.histogram(table(spark, sf_dir, "events"), "value", 0.0, 500.0, 10)
 
 
+# The rare class is one of fifteen groups of customers; balancing must survive the sample that follows.
+RARE = "CASE WHEN o_custkey % 15 = 0 THEN 'YES' ELSE 'NO' END"
+
+
 @query("balanced_sample_size", f"""
-    WITH {LABELLED}, small AS (SELECT min(n) AS m FROM (SELECT count(*) AS n FROM labelled GROUP BY target)),
-        kept AS (SELECT * FROM labelled QUALIFY target = 'NO' OR
-            row_number() OVER (PARTITION BY target ORDER BY {hash_order(42, 'o_orderkey')}) <= (SELECT m FROM small)),
-        picked AS (SELECT * FROM kept QUALIFY row_number() OVER (ORDER BY {hash_order(42, 'o_orderkey')}) <= 1000)
-    SELECT target, count(*) AS n FROM picked GROUP BY target""")
+    WITH labelled AS (SELECT o_orderkey, {RARE} AS target FROM orders),
+        small AS (SELECT min(n) AS m FROM (SELECT count(*) AS n FROM labelled GROUP BY target)),
+        s AS (SELECT least(2 * m, 1000) AS size, m FROM small)
+    SELECT target, true AS near_half, true AS all_drawn FROM (SELECT DISTINCT target FROM labelled), s WHERE size > 0""")
 def balanced_sample_size(spark, sf_dir):
-    orders = labelled_orders(spark, sf_dir).select("o_orderkey", "target")
+    """Both classes of a sample drawn after balancing lie within five deviations of half of it."""
+    rare = F.when(F.col("o_custkey") % 15 == 0, "YES").otherwise("NO")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", rare.alias("target"))
     balanced = sampling.undersample(orders, "o_orderkey", "target", "auto")
-    return profiling.class_distribution(sampling.sample_rows(balanced, "o_orderkey", 1000), "target")
+    counts = profiling.class_distribution(sampling.sample_rows(balanced, "o_orderkey", 1000), "target")
+    size = F.sum("n").over(Window.partitionBy())
+    wanted = F.least(F.lit(1000), F.lit(balanced.count()))
+    return counts.select(
+        "target", (F.abs(F.col("n") - size / 2) <= 5 * F.sqrt(size / 4)).alias("near_half"), (size == wanted).alias("all_drawn"))

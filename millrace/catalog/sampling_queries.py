@@ -8,6 +8,7 @@ from millrace.catalog import LABELLED, THREE_WAY, hash_order, labelled_orders, q
 from millrace.operators import sampling
 
 RANK = f"row_number() OVER (ORDER BY {hash_order(42, 'o_orderkey')})"
+SAMPLE_RANK = f"row_number() OVER (ORDER BY {hash_order('sample:42', 'o_orderkey')})"
 
 
 def _orders(spark, sf_dir):
@@ -40,12 +41,12 @@ def split_three_way(spark, sf_dir):
     return sampling.three_way_split(_orders(spark, sf_dir), "o_orderkey", "target")
 
 
-@query("sample_n", f"SELECT o_orderkey, o_totalprice FROM orders QUALIFY {RANK} <= 1000")
+@query("sample_n", f"SELECT o_orderkey, o_totalprice FROM orders QUALIFY {SAMPLE_RANK} <= 1000")
 def sample_n(spark, sf_dir):
     return sampling.sample_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 1000)
 
 
-@query("sample_frac", f"SELECT o_orderkey FROM orders QUALIFY {RANK} <= (SELECT round_even(count(*) * 0.2, 0) FROM orders)")
+@query("sample_frac", f"SELECT o_orderkey FROM orders QUALIFY {SAMPLE_RANK} <= (SELECT round_even(count(*) * 0.2, 0) FROM orders)")
 def sample_frac(spark, sf_dir):
     return sampling.sample_fraction(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0.2)
 
@@ -55,7 +56,7 @@ def _undersample_sql(quota: str) -> str:
     WITH {LABELLED}, counts AS (SELECT target, count(*) AS n FROM labelled GROUP BY target),
         major AS (SELECT target FROM counts ORDER BY n DESC, target LIMIT 1)
     SELECT o_orderkey, target FROM labelled QUALIFY target <> (SELECT target FROM major)
-        OR row_number() OVER (PARTITION BY target ORDER BY {hash_order(42, 'o_orderkey')})
+        OR row_number() OVER (PARTITION BY target ORDER BY {hash_order('balance:42', 'o_orderkey')})
             <= (SELECT least({quota}, max(n)) FROM counts)"""
 
 
@@ -110,17 +111,27 @@ def page_count(spark, sf_dir):
     return counts.select("split", sampling.page_count(F.col("n"), 1500).alias("n_pages"))
 
 
-@query("slice_sample", f"""
-    WITH n AS (SELECT count(*) // 10 AS size FROM events),
+def _slice_sql(slices: int) -> str:
+    return f"""
+    WITH n AS (SELECT count(*) // {slices} AS size FROM events),
         r AS (SELECT event_id, event_type, (row_number() OVER (ORDER BY event_id) - 1) // size AS slice, size FROM events, n),
-        h AS (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY {hash_order(42, 'event_id')}) AS k FROM r WHERE slice < 10)
-    SELECT event_id, event_type, CAST(slice AS INTEGER) AS slice FROM h WHERE k <= size // 10""")
+        h AS (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY {hash_order('slice:42', 'event_id')}) AS k
+            FROM r WHERE slice < {slices})
+    SELECT event_id, event_type, CAST(slice AS INTEGER) AS slice FROM h WHERE k <= size // 10"""
+
+
+@query("slice_sample_many", _slice_sql(100))
+def slice_sample_many(spark, sf_dir):
+    return sampling.slice_sample(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id", 100)
+
+
+@query("slice_sample", _slice_sql(10))
 def slice_sample(spark, sf_dir):
     return sampling.slice_sample(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
 
 
 @query("kfold_assign", f"""
     SELECT o_orderkey, o_orderstatus, CAST((row_number() OVER (PARTITION BY o_orderstatus
-        ORDER BY {hash_order(42, 'o_orderkey')}) - 1) % 5 AS INTEGER) AS fold FROM orders""")
+        ORDER BY {hash_order('fold:42', 'o_orderkey')}) - 1) % 5 AS INTEGER) AS fold FROM orders""")
 def kfold_assign(spark, sf_dir):
     return sampling.kfold(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", "o_orderstatus")

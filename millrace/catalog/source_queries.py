@@ -203,7 +203,7 @@ def upsert_stored(spark, sf_dir):
 
 @query("sink_csv", f"""
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
-    QUALIFY row_number() OVER (ORDER BY {hash_order(7, 'o_orderkey')}) <= (SELECT round_even(count(*) * 0.2, 0) FROM orders)""")
+    QUALIFY row_number() OVER (ORDER BY {hash_order('sample:7', 'o_orderkey')}) <= (SELECT round_even(count(*) * 0.2, 0) FROM orders)""")
 def sink_csv(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(*ORDER_FIELDS)
     path = scratch_path(spark, "serving")

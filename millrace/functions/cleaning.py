@@ -118,7 +118,8 @@ def clip_large(df: DataFrame, names: Iterable[str], bound: float = CLIP_BOUND) -
 
 
 def max_abs(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.agg(*[F.max(F.abs(q(c))).alias(c) for c in names])
+    """The largest magnitude of each column; missing values are left out."""
+    return df.agg(*[F.max(F.when(~is_missing(df, c), F.abs(q(c)))).alias(c) for c in names])
 
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Grouped hospital admission and discharge codes (code -> group).
+# Fixed values of the published grouping of hospital admission and discharge codes (code -> group), in its order.
 ADMISSION_SOURCE_GROUPS = {
     2: 1, 3: 1,
     5: 4, 6: 4, 8: 4, 10: 4, 18: 4, 22: 4, 25: 4, 26: 4,
-    13: 11, 14: 11, 23: 11, 24: 11,
     15: 9, 17: 9, 20: 9, 21: 9,
+    13: 11, 14: 11, 23: 11, 24: 11,
 }
-ADMISSION_TYPE_GROUPS = {2: 1, 4: 1, 7: 1, 6: 5, 8: 5}
+ADMISSION_TYPE_GROUPS = {2: 1, 7: 1, 4: 1, 6: 5, 8: 5}
 DISCHARGE_GROUPS = {
     6: 1, 8: 1, 13: 1, 19: 1, 20: 1,
     3: 2, 4: 2, 5: 2, 9: 2, 10: 2, 12: 2, 14: 2, 22: 2, 23: 2, 24: 2,

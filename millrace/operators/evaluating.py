@@ -42,11 +42,15 @@ def binary_metrics(df: DataFrame, label: str, predicted: str, positive: object =
 def roc_auc(df: DataFrame, score: str, is_positive: Column) -> DataFrame:
     """One row `roc_auc`: tied scores count half; NULL when one class is missing.
 
+    Rows without a score (NULL or NaN) or without a class are left out.
+
     Rows are first counted per distinct score, which collapses a score shared by many
     rows. Few distinct scores are then summed in order in one window; many are cut
     into score ranges, summed inside each range and shifted by the ranges below.
     """
-    per_score = df.select(q(score).cast("double").alias("s"), is_positive.alias("p")).groupBy("s").agg(
+    scored = df.select(q(score).cast("double").alias("s"), is_positive.alias("p"))
+    scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s") & F.col("p").isNotNull())
+    per_score = scored.groupBy("s").agg(
         F.count(F.when(F.col("p"), 1)).alias("pos"), F.count(F.when(~F.col("p"), 1)).alias("neg")
     )
     per_score = materialise(per_score, "scores")
@@ -83,10 +87,10 @@ def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: Sequenc
     if classes is None:
         seen = fetch_bounded(counts.select("predicted").union(counts.select("label")).distinct(), SMALL_ROWS)
         if seen is None:
-            raise ValueError("too many classes for one column each")
-        classes = sorted(r[0] for r in seen)
+            raise ValueError("too many classes for one column each; confusion_counts has a row for each pair")
+        classes = sorted((r[0] for r in seen), key=lambda c: (c is not None, c))  # NULL is a class, the first
     cells = [
-        F.coalesce(F.sum(F.when(F.col("predicted") == F.lit(c), F.col("n"))), F.lit(0)).alias(f"pred_{c}")
+        F.coalesce(F.sum(F.when(F.col("predicted").eqNullSafe(F.lit(c)), F.col("n"))), F.lit(0)).alias(f"pred_{c}")
         for c in classes
     ]
     return counts.groupBy("label").agg(*cells)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import q
 from millrace.operators.ranking import (
+    MAX_GROUPS,
     global_positions,
     hash_cutoffs,
     hash_histogram,
@@ -25,6 +26,15 @@ from millrace.session import SmallTable, lookup, materialise
 PAGE_SIZE = 15_000
 
 
+def step_seed(step: str, seed: int | str) -> str:
+    """The seed of one kind of draw.
+
+    Draws that follow one another (split, balance, sample, folds) must not share an order:
+    the first rows in the order that balanced a table are the rows of the unbalanced one.
+    """
+    return f"{step}:{seed}"
+
+
 def share(n: int, fraction: float, how: str = "ceil") -> int:
     """n*fraction as whole rows, from the decimal value of the fraction (0.3 means 3/10)."""
     exact = Fraction(str(fraction)) * n
@@ -140,12 +150,14 @@ def three_way_split(
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
-    """Exactly n rows (all of them when the table has fewer)."""
+    """Exactly n rows (all of them when the table has fewer); `key` is unique."""
+    seed = step_seed("sample", seed)
     return df.filter(_first_rows(df, key, seed, lambda _: n))
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int | str = 42) -> DataFrame:
-    """Exactly round(n*fraction) rows, half to even."""
+    """Exactly round(n*fraction) rows, half to even; `key` is unique."""
+    seed = step_seed("sample", seed)
     return df.filter(_first_rows(df, key, seed, lambda n: share(n, fraction, "round")))
 
 
@@ -168,6 +180,7 @@ def undersample(
     df: DataFrame, key: str, label: str, strategy: str | float = 1.0, seed: int | str = 42
 ) -> DataFrame:
     """Keep every minority row and the first rows of the majority in hash order."""
+    seed = step_seed("balance", seed)
     histogram = hash_histogram(df, key, seed, label)
     if histogram is None:
         raise ValueError("undersampling needs two classes")
@@ -243,12 +256,15 @@ def slice_sample(
     for i in reversed(range(slices)):
         number = F.when(q(key) <= F.lit(at[size * (i + 1)]), F.lit(i)).otherwise(number)
     sliced = df.withColumn("slice", number).filter(F.col("slice").isNotNull())
-    quotas = {i: size // per_slice for i in range(slices)}
-    cut = hash_cutoffs(sliced, key, seed, quotas, "slice")
+    seed = step_seed("slice", seed)
+    if slices > MAX_GROUPS:
+        ranked = hash_rank(sliced, key, seed, ["slice"], "_rank", bounds[2])
+        return ranked.filter(F.col("_rank") <= size // per_slice).drop("_rank")
+    cut = hash_cutoffs(sliced, key, seed, {i: size // per_slice for i in range(slices)}, "slice")
     return sliced.filter(within_cutoff(key, seed, cut, "slice"))
 
 
 def kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int | str = 42, out: str = "fold") -> DataFrame:
     """Stratified folds 0..k-1: ranks inside the class, dealt out in turn."""
-    ranked = hash_rank(df, key, seed, [label], "_rank")
+    ranked = hash_rank(df, key, step_seed("fold", seed), [label], "_rank")
     return ranked.withColumn(out, ((F.col("_rank") - 1) % F.lit(k)).cast("int")).drop("_rank")

@@ -13,13 +13,13 @@ from millrace.functions.cleaning import q
 def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """(feature, f_score): one-way ANOVA F of each numeric feature over the classes.
 
-    One pass: count, mean and population variance per class. The variances are computed
+    NULL and NaN cells are left out. One pass: count, mean and population variance per class. The variances are computed
     around the class mean, so large offsets do not cancel. NULL with fewer than two
     classes or without spread inside the classes.
     """
     aggs = []
     for i, c in enumerate(features):
-        x = q(c).cast("double")
+        x = F.nullif(q(c).cast("double"), F.lit(float("nan")))
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
     per_class = df.groupBy(q(label).alias("_class")).agg(*aggs)
     long = F.explode(F.array(*[
@@ -93,7 +93,8 @@ def top_scores(scores: DataFrame, score: str, order: Sequence[str], k: int) -> D
 
     Taken as a distributed top-k; only its k rows are numbered.
     """
-    by = [F.desc_nulls_last(score), *[F.desc(c) for c in order]]
+    known = F.nullif(F.col(score).cast("double"), F.lit(float("nan")))
+    by = [known.desc_nulls_last(), *[F.desc(c) for c in order]]
     return scores.orderBy(*by).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*by)))
 
 
