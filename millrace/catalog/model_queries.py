@@ -5,24 +5,32 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog import ORDER_LABEL, labelled_orders, query, rounded, table
-from millrace.catalog.encoding_queries import processed_orders
-from millrace.operators import encoding, evaluating, registry, training
+from millrace.operators import encoding, evaluating, registry, sampling, training
 from millrace.plans import encounters
 from millrace.session import scratch_path
 from millrace.sources import tables
 from millrace.spec import prediction_schema
 from millrace.streaming.scoring import prediction_log
 
-INPUTS = ["feature_0", "feature_1", "feature_2"]
-SMALL_TREES = 20
+# The label of the model queries follows from one input, so the right prediction is known: the middle priority for
+# the models that can bend, the later priorities for the linear ones. A constant model would give other rows.
+INPUTS = ["code", "year"]
+CODE = "CAST(substr(o_orderpriority, 1, 1) AS INTEGER)"
+MIDDLE = f"CASE WHEN {CODE} = 3 THEN 1 ELSE 0 END"
+LATE = f"CASE WHEN {CODE} >= 3 THEN 1 ELSE 0 END"
 
 
-def order_features(spark, sf_dir):
-    """Orders with scaled features and a 0/1 label index."""
-    orders = labelled_orders(spark, sf_dir).withColumn("year", F.year("o_orderdate"))
-    numeric, keep = ["o_totalprice", "o_custkey", "year"], ["o_orderkey", "target"]
-    out = encoding.fit_transform(orders, numeric, [], keep)
-    return out.withColumn(training.LABEL, (F.col("target") == "YES").cast("double"))
+def rule_orders(spark, sf_dir, late: bool = False):
+    """Orders with two coded inputs and the 0/1 label of the rule."""
+    code = F.substring("o_orderpriority", 1, 1).cast("int")
+    rule = code >= 3 if late else code == 3
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", code.alias("code"), F.year("o_orderdate").alias("year"), rule.cast("double").alias(training.LABEL))
+
+
+def scaled_orders(spark, sf_dir, late: bool = False):
+    rows = rule_orders(spark, sf_dir, late)
+    return encoding.scale(rows, encoding.fit_numeric(rows, INPUTS), encoding.standard)
 
 
 def _quality(model, df):
@@ -31,86 +39,143 @@ def _quality(model, df):
     return scored.groupBy(F.col(training.LABEL).cast("int").alias("label"), "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("train_logreg")
+def _quality_sql(label: str, source: str = "orders") -> str:
+    return f"SELECT {label} AS label, {label} AS predicted, count(*) AS n FROM {source} GROUP BY 1, 2"
+
+
+@query("train_logreg", _quality_sql("CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END", "lineitem"))
 def train_logreg(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem")
-    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    coded, _ = encoding.encode_labels(rows.select(*names, "l_returnflag"), ["l_returnflag"])
+    names = ["l_quantity", "l_tax", "is_a", "is_n"]
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_quantity", "l_tax", (F.col("l_returnflag") == "A").cast("double").alias("is_a"),
+        (F.col("l_returnflag") == "N").cast("double").alias("is_n"), "l_returnflag")
+    coded, _ = encoding.encode_labels(rows, ["l_returnflag"])
     scaled = encoding.scale(coded, encoding.fit_numeric(coded, names), encoding.minmax)
     labelled = scaled.withColumn(training.LABEL, F.col("l_returnflag").cast("double"))
-    return _quality(training.train_logistic(labelled, names, max_iter=10), labelled)
+    return _quality(training.train_logistic(labelled, names), labelled)
 
 
-@query("train_rbf_svm")
+@query("train_rbf_svm", _quality_sql(MIDDLE))
 def train_rbf_svm(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    return _quality(training.train_rbf_svm(rows, INPUTS, components=32, max_iter=10), rows)
+    rows = scaled_orders(spark, sf_dir)
+    return _quality(training.train_rbf_svm(rows, INPUTS), rows)
+
+
+def _probabilities(scored):
+    """The prediction, and whether the probability is one and agrees with it."""
+    p = F.col("probability")
+    return scored.select(
+        "o_orderkey", "predicted", p.between(0.0, 1.0).alias("in_range"), ((p >= 0.5).cast("int") == F.col("predicted")).alias("agrees"))
 
 
-@query("train_linear_svm")
+def _probabilities_sql(label: str) -> str:
+    return f"SELECT o_orderkey, {label} AS predicted, true AS in_range, true AS agrees FROM orders"
+
+
+@query("rbf_svm_proba", _probabilities_sql(MIDDLE))
+def rbf_svm_proba(spark, sf_dir):
+    rows = scaled_orders(spark, sf_dir)
+    return _probabilities(training.score_probability(training.train_rbf_svm(rows, INPUTS), rows))
+
+
+@query("train_linear_svm", _probabilities_sql(LATE))
 def train_linear_svm(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    model = training.train_linear_svm(rows, INPUTS, max_iter=10)
-    return training.score_probability(model, rows).select("o_orderkey", "predicted", "probability")
+    rows = scaled_orders(spark, sf_dir, late=True)
+    return _probabilities(training.score_probability(training.train_linear_svm(rows, INPUTS), rows))
 
 
-@query("train_rf")
+@query("train_rf", _quality_sql(MIDDLE))
 def train_rf(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    return _quality(training.train_forest(rows, INPUTS, trees=SMALL_TREES, depth=5), rows)
+    rows = rule_orders(spark, sf_dir)
+    return _quality(training.train_forest(rows, INPUTS), rows)
 
 
-@query("grid_search")
+@query("grid_search", """
+    SELECT CAST(range AS INTEGER) AS candidate, (SELECT count(*) FROM orders) > 0 AS learnt FROM range(4)""")
 def grid_search(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    found = training.grid_search_rbf(
-        rows, INPUTS, "o_orderkey", costs=(1.0, 10.0), gammas=("scale", "auto"), folds=2, components=16, max_iter=5
-    )
-    cells = list(enumerate(float(v) for v in found.avgMetrics))
-    return spark.createDataFrame(cells, "candidate int, accuracy double")
+    """Four candidates, five folds; a constant model is right for four orders in five."""
+    rows = scaled_orders(spark, sf_dir)
+    found = training.grid_search_rbf(rows, INPUTS, "o_orderkey")
+    cells = [(i, float(v) >= 0.95) for i, v in enumerate(found.avgMetrics)]
+    return spark.createDataFrame(cells, "candidate int, learnt boolean")
 
 
-@query("train_evaluate")
+@query("train_evaluate", """
+    SELECT 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1_score, 1.0::DOUBLE AS roc_auc
+    FROM (SELECT count(*) AS n FROM orders) WHERE n > 0""")
 def train_evaluate(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    return training.train_and_evaluate(rows, INPUTS, "o_orderkey", trees=SMALL_TREES)[1]
+    return training.train_and_evaluate(rule_orders(spark, sf_dir), INPUTS, "o_orderkey")[1]
 
 
 def _stored_model(spark, rows):
     path = scratch_path(spark, "model")
-    training.save_model(training.train_forest(rows, INPUTS, trees=SMALL_TREES, depth=5), path)
+    training.save_model(training.train_forest(rows, INPUTS), path)
     return training.load_model(path)
 
 
-@query("score_batch")
+NAMED = f"CASE {MIDDLE} WHEN 1 THEN 'YES' ELSE 'NO' END"
+CLASSES = {0: "NO", 1: "YES"}
+
+
+@query("score_batch", f"SELECT o_orderkey, {NAMED} AS predicted FROM orders")
 def score_batch(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    return training.score(_stored_model(spark, rows), rows, {0: "NO", 1: "YES"}).select("o_orderkey", "target", "predicted")
+    rows = rule_orders(spark, sf_dir)
+    return training.score(_stored_model(spark, rows), rows, CLASSES).select("o_orderkey", "predicted")
 
 
-@query("score_proba")
+@query("score_proba", _probabilities_sql(MIDDLE))
 def score_proba(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    return training.score_probability(_stored_model(spark, rows), rows).select("o_orderkey", "predicted", "probability")
+    rows = rule_orders(spark, sf_dir)
+    return _probabilities(training.score_probability(_stored_model(spark, rows), rows))
 
 
-@query("score_log")
+@query("score_log", f"""
+    SELECT o_orderkey AS id, 'forest' AS model_name, {CODE} AS feature_1, CAST(year(o_orderdate) AS INTEGER) AS feature_2,
+        o_totalprice AS feature_3, {NAMED} AS label FROM orders""")
 def score_log(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    scored = training.score(_stored_model(spark, rows), rows, {0: "NO", 1: "YES"})
-    log = prediction_log(scored, "o_orderkey", "forest", tuple(INPUTS))
+    """The log keeps every input in its own type, a price as a double."""
+    rows = rule_orders(spark, sf_dir)
+    prices = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    scored = training.score(_stored_model(spark, rows), rows.join(prices, "o_orderkey"), CLASSES)
+    log = prediction_log(scored, "o_orderkey", "forest", (*INPUTS, "o_totalprice"))
     path = scratch_path(spark, "predictions")
     tables.append_table(log, path)
-    return spark.read.schema(prediction_schema(len(INPUTS))).parquet(path)
+    return spark.read.schema(prediction_schema(kinds=("int", "int", "double"))).parquet(path)
 
 
-@query("balanced_svm_quality")
+@query("balanced_svm_quality", """
+    SELECT part AS split, true AS accurate, true AS ranks FROM (VALUES ('validation'), ('test')) v(part)
+    WHERE (SELECT count(*) FROM orders) > 0""")
 def balanced_svm_quality(spark, sf_dir):
-    processed = processed_orders(spark, sf_dir).store(scratch_path(spark, "processed"))
-    model = encounters.train(processed, components=16)
-    rows = [(part, *encounters.measure(model, processed.part(part)).values()) for part in ("validation", "test")]
-    names = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
-    return spark.createDataFrame(rows, "split string, " + ", ".join(f"{n} double" for n in names))
+    """The whole flow with a balanced sample; the rare class is one priority of five."""
+    middle = F.when(F.substring("o_orderpriority", 1, 1) == "3", "YES").otherwise("NO")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", middle.alias("target"), F.year("o_orderdate").alias("year"), "o_orderpriority")
+    split = sampling.three_way_split(orders, "o_orderkey", "target")
+    processed = encounters.process(split, "o_orderkey", ["year"], ["o_orderpriority"]).store(scratch_path(spark, "processed"))
+    model = encounters.train(processed, sample=5000)
+    rows = []
+    for part in ("validation", "test"):
+        found = encounters.measure(model, processed.part(part))
+        rows.append((part, found["accuracy"] >= 0.95, found["roc_auc"] >= 0.95))
+    return spark.createDataFrame(rows, "split string, accurate boolean, ranks boolean")
+
+
+@query("registry_flow", """
+    SELECT 'priority' AS name, v AS version, CASE v WHEN 1 THEN 'Production' ELSE 'None' END AS stage,
+        CASE v WHEN 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS recall, 'code,year' AS columns
+    FROM (VALUES (1::BIGINT), (2::BIGINT)) t(v) WHERE (SELECT count(*) FROM orders) > 0""")
+def registry_flow(spark, sf_dir):
+    """Fit, store, log a run, register a version, promote; then a model of the opposite label, which stays behind."""
+    rows = rule_orders(spark, sf_dir)
+    runs, versions, models = (scratch_path(spark, f"registry-{p}") for p in ("runs", "versions", "models"))
+    opposite = rows.withColumn(training.LABEL, 1.0 - F.col(training.LABEL))
+    for number, learnt in enumerate((rows, opposite), 1):
+        model = training.train_forest(learnt, INPUTS, trees=20, depth=5)
+        metrics = training.evaluate(training.score_probability(model, rows), training.LABEL)
+        registry.register(spark, runs, versions, models, "priority", model, f"run-{number}", number, {"trees": 20}, metrics, INPUTS)
+    stored = registry.promoted(spark, versions, runs)
+    columns = spark.read.schema(registry.RUN_SCHEMA).parquet(runs).select("run_id", F.col("tags")["columns"].alias("columns"))
+    return stored.join(columns, "run_id").select("name", "version", "stage", rounded("recall").alias("recall"), "columns")
 
 
 # ------------------------------------------------------------------ evaluation

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog import query, rounded, table
-from millrace.catalog.model_queries import INPUTS, SMALL_TREES, order_features
+from millrace.catalog.model_queries import CLASSES, INPUTS, NAMED, rule_orders
 from millrace.operators import training, validating
 from millrace.session import scratch_path
 from millrace.sources import batches
@@ -117,19 +117,22 @@ def outcome_summary(spark, sf_dir):
     return out.withColumns({c: rounded(c, 4) for c in ("mean_duration", "p95_duration")})
 
 
-@query("stream_score")
+@query("stream_score", f"""
+    SELECT o_orderkey AS id, 'forest' AS model_name, CASE WHEN o_orderstatus <> 'F' THEN {NAMED} END AS label,
+        CASE WHEN o_orderstatus = 'F' THEN 'missing: year' END AS reason FROM orders""")
 def stream_score(spark, sf_dir):
-    rows = order_features(spark, sf_dir)
-    spec = validating.RecordSpec(tuple((c, "double") for c in INPUTS))
+    rows = rule_orders(spark, sf_dir)
+    spec = validating.RecordSpec(tuple((c, "int") for c in INPUTS))
     source, log, rejected, progress = (scratch_path(spark, f"score-{p}") for p in ("source", "log", "rejected", "progress"))
-    # orders labelled NO lack a field and must be rejected
-    second = F.when(F.col("target") == "YES", F.col("feature_1"))
-    payload = F.to_json(F.struct("feature_0", second.alias("feature_1"), "feature_2"))
-    records = rows.select(F.col("o_orderkey").alias("id"), payload.alias("payload"))
-    records.write.json(source)
-    model = training.train_forest(rows, INPUTS, trees=SMALL_TREES, depth=5)
+    # orders of status F lack a field and must be rejected
+    status = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    year = F.when(F.col("o_orderstatus") != "F", F.col("year"))
+    payload = F.to_json(F.struct("code", year.alias("year")))
+    records = rows.join(status, "o_orderkey").select(F.col("o_orderkey").alias("id"), payload.alias("payload"))
+    records.repartition(12, "id").write.json(source)
+    model = training.train_forest(rows, INPUTS, trees=20, depth=5)
     arriving = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 4).json(source)
-    scoring.score_stream(arriving, spec, model, "id", "forest", log, rejected, progress, {0: "NO", 1: "YES"}).awaitTermination()
+    scoring.score_stream(arriving, spec, model, "id", "forest", log, rejected, progress, CLASSES).awaitTermination()
     good = spark.read.parquet(log).select("id", "model_name", "label", F.lit(None).cast("string").alias("reason"))
     bad = spark.read.parquet(rejected).select("id", F.lit("forest").alias("model_name"), F.lit(None).cast("string").alias("label"), "reason")
     return good.unionByName(bad)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,17 @@ class Vocabulary:
     """Ordered distinct values of one column: value -> position."""
 
     column: str
-    values: tuple | None            # when short enough to hold on the driver
+    values: tuple | None            # when short enough to hold on the driver; numbers, else the text of the value
     table: SmallTable | None = None  # (value, idx) otherwise
 
     def index_table(self, spark: SparkSession, dtype: T.DataType) -> SmallTable:
         if self.table is not None:
             return self.table
-        schema = T.StructType([T.StructField("value", dtype), T.StructField("idx", T.IntegerType())])
         rows = tuple(Row(value=v, idx=i) for i, v in enumerate(self.values))
-        return SmallTable(spark.createDataFrame([tuple(r) for r in rows], schema), rows)
+        held = dtype if _is_plain(dtype) else T.StringType()
+        schema = T.StructType([T.StructField("value", held), T.StructField("idx", T.IntegerType())])
+        df = spark.createDataFrame([tuple(r) for r in rows], schema)
+        return SmallTable(df.withColumn("value", F.col("value").cast(dtype)), rows)
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Write the vocabulary as an asset: (value, idx) in parquet."""
@@ -59,18 +62,31 @@ def fit_vocabularies(df: DataFrame, names: Sequence[str], order: str = "value")
     counts = value_counts_long(df, names)
     rows = fetch_bounded(counts, SMALL_ROWS)
     if rows is not None:
-        out = {}
-        for c in names:
-            mine = [(_native(r["value"], types[c]), r["n"]) for r in rows if r["column"] == c]
-            if order == "frequency":
-                mine.sort(key=lambda vn: vn[0], reverse=True)
-                mine.sort(key=lambda vn: -vn[1])
-            else:
-                mine.sort(key=lambda vn: vn[0])
-            out[c] = Vocabulary(c, tuple(v for v, _ in mine))
-        return out
+        return {c: _short_vocabulary([r for r in rows if r["column"] == c], c, types[c], order) for c in names}
+    # some column is long; each column is held or kept as a table by its own number of values
     counts = materialise(counts, "value-counts")
-    return {c: _long_vocabulary(counts, c, types[c], order) for c in names}
+    sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}  # a row for each named column
+    return {
+        c: _long_vocabulary(counts, c, types[c], order) if sizes.get(c, 0) > SMALL_ROWS
+        else _short_vocabulary(counts.filter(F.col("column") == c).collect(), c, types[c], order)
+        for c in names
+    }
+
+
+def _short_vocabulary(rows: Sequence[Row], name: str, dtype: T.DataType, order: str) -> Vocabulary:
+    mine = [(_native(r["value"], dtype), r["n"]) for r in rows]
+    value = (lambda vn: Decimal(vn[0])) if isinstance(dtype, T.DecimalType) else lambda vn: vn[0]
+    if order == "frequency":
+        mine.sort(key=value, reverse=True)
+        mine.sort(key=lambda vn: -vn[1])
+    else:
+        mine.sort(key=value)
+    return Vocabulary(name, tuple(v for v, _ in mine))
+
+
+def _is_plain(dtype: T.DataType) -> bool:
+    """Types whose values are held as they are; others (dates, decimals ...) are held as text and cast by Spark."""
+    return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType))
 
 
 def _native(text: str, dtype: T.DataType):
@@ -103,7 +119,9 @@ def value_counts_long(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def _literal_index(col: Column, values: Sequence) -> Column:
+def _literal_index(col: Column, values: Sequence, dtype: T.DataType) -> Column:
+    if not _is_plain(dtype):
+        values = [F.lit(v).cast(dtype) for v in values]
     out = F.when(col == F.lit(values[0]), F.lit(0)) if values else F.lit(None).cast("int")
     for i, v in enumerate(values[1:], 1):
         out = out.when(col == F.lit(v), F.lit(i))
@@ -121,7 +139,7 @@ def apply_vocabulary(
     source = source or vocabulary.column
     out = out or source
     if vocabulary.values is not None and len(vocabulary.values) <= LITERAL_VALUES:
-        return df.withColumn(out, _settle(q(source), _literal_index(q(source), vocabulary.values), unknown))
+        return df.withColumn(out, _settle(q(source), _literal_index(q(source), vocabulary.values, df.schema[source].dataType), unknown))
     table = vocabulary.index_table(df.sparkSession, df.schema[source].dataType)
     keyed = SmallTable(table.df.select(F.col("value").alias("_v"), F.col("idx").alias("_idx")), table.rows)
     joined = lookup(df.withColumn("_v", q(source)), keyed, ["_v"])
@@ -161,9 +179,10 @@ def one_hot(
     for v in vocabularies:
         if v.values is None:
             raise ValueError(f"{v.column} has too many values for one column each")
-        known = q(v.column).isin(list(v.values))
+        dtype = df.schema[v.column].dataType
+        known = q(v.column).isin([F.lit(value).cast(dtype) for value in v.values])
         for value in v.values:
-            cell = F.when(q(v.column) == F.lit(value), F.lit(1)).otherwise(F.lit(0))
+            cell = F.when(q(v.column) == F.lit(value).cast(dtype), F.lit(1)).otherwise(F.lit(0))
             if unknown == "error":
                 message = F.concat(F.lit("value not seen when fitting: "), q(v.column).cast("string"))
                 cell = F.when(~known, F.raise_error(message).cast("int")).otherwise(cell)

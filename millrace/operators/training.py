@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.cleaning import q
 from millrace.operators.evaluating import binary_metrics, roc_auc
@@ -22,7 +23,10 @@ from millrace.operators.sampling import kfold, stratified_split
 
 FEATURES, LABEL = "features", "label_index"
 RBF_COMPONENTS = 64
-ROWS_PER_TASK = 250_000
+ROWS_PER_PARTITION = 250_000
+LEAST_PARTITIONS = 8
+# Classes of a one-vs-rest model that are fitted at the same time.
+CLASS_PARALLELISM = 4
 
 
 def assembler(names: Sequence[str], out: str = FEATURES) -> VectorAssembler:
@@ -45,21 +49,26 @@ def moments(df: DataFrame, names: Sequence[str]) -> Moments:
 
 
 def training_rows(df: DataFrame, names: Sequence[str], label: str, rows: int) -> DataFrame:
-    """Only the inputs and the label, spread over all cores when they would sit in few tasks.
+    """Only the inputs and the label, placed by a hash of the whole row.
 
-    Every iteration of a solver passes over these rows. A large table keeps the
-    partitions it was read in.
+    Every iteration of a solver passes over these rows. Number and content of the partitions follow
+    from the data alone, so a fit that depends on them (bagging) is the same on every cluster.
     """
-    narrow = df.select(*[q(c) for c in dict.fromkeys((*names, label))])
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return narrow.repartition(cores) if rows < ROWS_PER_TASK * cores else narrow
+    atomic = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    whole = [q(c) for c in atomic]
+    partitions = LEAST_PARTITIONS
+    while partitions * ROWS_PER_PARTITION < rows:
+        partitions *= 2
+    placed = df.select(*[q(c) for c in dict.fromkeys((*names, label, *atomic))])
+    placed = placed.repartition(partitions, F.xxhash64(*whole)).sortWithinPartitions(*whole)
+    return placed.select(*[q(c) for c in dict.fromkeys((*names, label))])
 
 
 def train_logistic(df: DataFrame, names: Sequence[str], label: str = LABEL, max_iter: int = 50) -> PipelineModel:
     """One-vs-rest logistic regression with unit regularisation strength (C = 1)."""
     n = df.count()
     base = LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, regParam=1.0 / max(n, 1))
-    multi = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label)
+    multi = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
     return Pipeline(stages=[assembler(names), multi]).fit(training_rows(df, names, label, n))
 
 
@@ -79,6 +88,10 @@ def rbf_gamma(found: Moments, gamma: str | float = "scale") -> float:
     return 1.0 / (d * total) if total > 0 else 1.0
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def rbf_statement(names: Sequence[str], gamma: float, components: int = RBF_COMPONENTS, seed: int = 42) -> str:
     """SQL for random Fourier features of the kernel exp(-gamma |x-y|^2).
 
@@ -95,7 +108,7 @@ def rbf_statement(names: Sequence[str], gamma: float, components: int = RBF_COMP
 
     cells = []
     for j in range(components):
-        terms = " + ".join(f"`{c}` * {spread * normal()!r}D" for c in names)
+        terms = " + ".join(f"{_quoted(c)} * {spread * normal()!r}D" for c in names)
         cells.append(f"{lead!r}D * cos({terms} + {2.0 * pi * rng.random()!r}D) AS rbf_{j}")
     return f"SELECT *, {', '.join(cells)} FROM __THIS__"
 
@@ -117,10 +130,20 @@ def train_rbf_svm(
     """
     found = moments(df, names)
     svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(found.rows, 1)), maxIter=max_iter)
-    last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label)
     mapped = SQLTransformer(statement=rbf_statement(names, rbf_gamma(found, gamma), components, seed))
     cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
-    return Pipeline(stages=[mapped, cells, last]).fit(training_rows(df, names, label, found.rows))
+    rows = training_rows(df, names, label, found.rows)
+    if n_classes != 2:
+        last = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
+        return Pipeline(stages=[mapped, cells, last]).fit(rows)
+    return Pipeline(stages=[mapped, cells, *_calibrated(svc, label, max_iter)]).fit(rows)
+
+
+def _calibrated(svc: LinearSVC, label: str, max_iter: int) -> list[Estimator]:
+    """The SVM and a one-feature logistic fit that turns its margin into a probability."""
+    svc = svc.copy({svc.predictionCol: "svm_prediction", svc.rawPredictionCol: "svm_margins"})
+    margin = VectorAssembler(inputCols=["svm_margins"], outputCol="svm_margin")
+    return [svc, margin, LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=max_iter)]
 
 
 def train_linear_svm(
@@ -128,13 +151,8 @@ def train_linear_svm(
 ) -> PipelineModel:
     """Binary linear SVM whose margin is turned into a probability by a one-feature logistic fit."""
     n = df.count()
-    svc = LinearSVC(
-        featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(n, 1)), maxIter=max_iter,
-        predictionCol="svm_prediction", rawPredictionCol="svm_margins",
-    )
-    margin = VectorAssembler(inputCols=["svm_margins"], outputCol="svm_margin")
-    platt = LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=max_iter)
-    return Pipeline(stages=[assembler(names), svc, margin, platt]).fit(training_rows(df, names, label, n))
+    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(n, 1)), maxIter=max_iter)
+    return Pipeline(stages=[assembler(names), *_calibrated(svc, label, max_iter)]).fit(training_rows(df, names, label, n))
 
 
 def train_forest(
@@ -168,7 +186,7 @@ def grid_search_rbf(
     found = moments(df, names)
     n = max(found.rows, 1)
     svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter)
-    last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label)
+    last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
     mapped = SQLTransformer()
     cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
     statements = [rbf_statement(names, rbf_gamma(found, g), components, seed) for g in gammas]
@@ -223,11 +241,12 @@ def score_probability(
 ) -> DataFrame:
     """The input rows with the probability of the positive class.
 
-    A model without probabilities (a plain SVM) gives its margin for the class instead.
+    A model without probabilities (an SVM of more than two classes) is refused: a margin is none.
     """
     scored = model.transform(df)
-    source = "probability" if "probability" in scored.columns else "rawPrediction"
-    scored = scored.withColumn(out, vector_to_array(source)[positive])
+    if "probability" not in scored.columns:
+        raise ValueError("the model gives no probabilities")
+    scored = scored.withColumn(out, vector_to_array("probability")[positive])
     extra = [out]
     if predicted:
         scored = scored.withColumn(predicted, F.col("prediction").cast("int"))

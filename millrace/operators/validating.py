@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 
 from millrace.functions.cleaning import is_missing, q
 from millrace.operators.encoding import value_counts_long
+from millrace.session import materialise
 
 TRAINING, SERVING = "TRAINING", "SERVING"
-# A text feature with more distinct values than this is inferred without a domain.
+# Values that a constraint lists itself; a longer domain is a table (`infer_domains`).
 DOMAIN_VALUES = 400
 
 CONSTRAINT_SCHEMA = T.StructType([
@@ -47,23 +48,41 @@ def kind_of(dtype: T.DataType) -> str:
     return "FLOAT" if isinstance(dtype, T.NumericType) else "BYTES"
 
 
-def infer_constraints(df: DataFrame, names: Sequence[str] | None = None) -> list[Constraint]:
-    """Types, presence and, for text with few distinct values, the domain of observed values.
+def _text_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
+    return [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
 
-    Distinct values are counted first; only columns below DOMAIN_VALUES are listed.
+
+def infer_domains(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """(feature, value): the observed values of all text columns, as a written table of any size.
+
+    `anomalies` checks against it what the constraints do not list themselves.
+    """
+    found = _text_columns(df, list(names if names is not None else df.columns))
+    if not found:
+        return df.sparkSession.createDataFrame([], "feature string, value string")
+    return materialise(value_counts_long(df, found).select(F.col("column").alias("feature"), "value"), "domains")
+
+
+def infer_constraints(
+    df: DataFrame, names: Sequence[str] | None = None, listed_values: int = DOMAIN_VALUES
+) -> list[Constraint]:
+    """Types, presence and, for text with at most `listed_values` distinct values, the observed values.
+
+    Longer domains come from `infer_domains`.
     """
     names = list(names if names is not None else df.columns)
     present = df.agg(
         F.count(F.lit(1)).alias("n"), *[F.count(F.when(~is_missing(df, c), 1)).alias(f"k{i}") for i, c in enumerate(names)]
     ).first()
-    text = [c for c in names if kind_of(df.schema[c].dataType) == "BYTES"]
+    text = _text_columns(df, names)
     domains: dict[str, tuple[str, ...]] = {}
     if text:
-        counts = value_counts_long(df, text)
+        counts = materialise(value_counts_long(df, text), "value-counts")
         sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-        short = [r["column"] for r in sizes.filter(F.col("n_values") <= DOMAIN_VALUES).collect()]
+        short = [r["column"] for r in sizes.filter(F.col("n_values") <= listed_values).collect()]
         if short:
-            listed = value_counts_long(df, short).groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("v"))
+            listed = counts.filter(F.col("column").isin(short)).groupBy("column").agg(
+                F.sort_array(F.collect_list("value")).alias("v"))
             domains = {r["column"]: tuple(r["v"]) for r in listed.collect()}
     return [
         Constraint(
@@ -139,9 +158,13 @@ def _out_of_enum(c: Constraint) -> Column:
     return F.coalesce(~q(c.feature).cast("string").isin(list(c.enum)), F.lit(False))
 
 
-def anomalies(df: DataFrame, constraints: Sequence[Constraint], environment: str = TRAINING) -> DataFrame:
+def anomalies(
+    df: DataFrame, constraints: Sequence[Constraint], environment: str = TRAINING, domains: DataFrame | None = None
+) -> DataFrame:
     """(feature, kind, n): violations of the constraints; no rows means valid.
 
+    `domains` is a table (feature, value); features whose constraint lists no values are checked against it.
+
     kind: missing_column, wrong_type, low_presence, out_of_range, unexpected_value,
     unexpected_column. All counts come from one aggregate over the table.
     """
@@ -177,7 +200,15 @@ def anomalies(df: DataFrame, constraints: Sequence[Constraint], environment: str
     if not cells:
         return df.sparkSession.createDataFrame([], "feature string, kind string, n bigint")
     wide = df.agg(F.count(F.lit(1)).alias("rows"), *[col.alias(f"x{i}") for i, (_, _, col) in enumerate(checks)])
-    return wide.select(F.explode(F.array(*cells)).alias("a")).select("a.*").filter("n > 0")
+    found = wide.select(F.explode(F.array(*cells)).alias("a")).select("a.*").filter("n > 0")
+    unlisted = [c.feature for c in applied if c.feature in have and c.enum is None]
+    if domains is None or not unlisted:
+        return found
+    counts = value_counts_long(df, unlisted).withColumnRenamed("column", "feature")
+    counts = counts.join(domains.select("feature").distinct(), "feature", "left_semi")
+    outside = counts.join(domains.select("feature", "value").distinct(), ["feature", "value"], "left_anti")
+    return found.unionByName(outside.groupBy("feature").agg(
+        F.lit("unexpected_value").alias("kind"), F.sum("n").alias("n")).select("feature", "kind", "n"))
 
 
 def unexpected_values(df: DataFrame, feature: str, domain: DataFrame) -> DataFrame:

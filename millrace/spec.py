@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -128,12 +130,10 @@ def processed_schema(n_features: int) -> T.StructType:
     return _struct(**{f"feature_{i}": "double" for i in range(n_features)}, target="string")
 
 
-def prediction_schema(n_features: int = 15) -> T.StructType:
-    """The prediction log: id, model, integer inputs, predicted label."""
-    return _struct(
-        id="long", model_name="string", **{f"feature_{i}": "int" for i in range(1, n_features + 1)},
-        label="string",
-    )
+def prediction_schema(n_features: int = 15, kinds: Sequence[str] | None = None) -> T.StructType:
+    """The prediction log: id, model, inputs (of `kinds`, by default coded integers), predicted label."""
+    kinds = list(kinds) if kinds is not None else ["int"] * n_features
+    return _struct(id="long", model_name="string", **{f"feature_{i}": k for i, k in enumerate(kinds, 1)}, label="string")
 
 
 TABLES: dict[str, T.StructType] = {

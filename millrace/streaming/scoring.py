@@ -17,11 +17,11 @@ from millrace.operators.validating import RecordSpec, parse_records, split_valid
 def prediction_log(
     scored: DataFrame, key: str, model_name: str, inputs: tuple[str, ...], predicted: str = "predicted"
 ) -> DataFrame:
-    """(id, model_name, feature_1 .. feature_n, label) rows to append."""
+    """(id, model_name, feature_1 .. feature_n, label) rows to append; inputs keep their types."""
     return scored.select(
         q(key).cast("bigint").alias("id"),
         F.lit(model_name).alias("model_name"),
-        *[q(c).cast("int").alias(f"feature_{i}") for i, c in enumerate(inputs, 1)],
+        *[q(c).alias(f"feature_{i}") for i, c in enumerate(inputs, 1)],
         q(predicted).cast("string").alias("label"),
     )
 
@@ -41,9 +41,12 @@ def score_records(
 def score_stream(
     records: DataFrame, spec: RecordSpec, model: PipelineModel, key: str, model_name: str,
     log_path: str, rejected_path: str, checkpoint: str, classes: Mapping[int, str] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Score arriving records; predictions and rejects go to two tables.
 
+    Without `every` the query ends with what has arrived; with it (say '30 seconds') it goes on.
+
     Each micro-batch overwrites its own `batch_id` folder in both tables, so a retried
     batch leaves no duplicates.
     """
@@ -57,7 +60,5 @@ def score_stream(
         finally:
             batch.unpersist()
 
-    return (
-        records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
