@@ -143,6 +143,11 @@ class _Odds(dict):
 # ------------------------------------------------------------------ fitting
 
 
+def _overlap(a: str, b: str) -> bool:
+    a, b = a[2:], b[2:]
+    return a.startswith(b) or b.startswith(a)
+
+
 def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
     """Features that cover the toxic documents and hardly occur in clean ones."""
     common = Counter(f for d in clean for f in d)
@@ -160,6 +165,8 @@ def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
         heapq.heapify(heap)
         while heap:
             gain, seen, length, feature = heapq.heappop(heap)
+            if cover > 1 and any(_overlap(feature, c) for c in chosen):
+                continue  # it marks words that are marked already
             holders = np.fromiter(covers[feature], np.int64)
             now = int((times[holders] < cover).sum())
             if now < least:
