@@ -34,6 +34,7 @@ class Vocabulary:
     column: str
     values: tuple | None            # when short enough to hold on the driver; numbers, else the text of the value
     table: SmallTable | None = None  # (value, idx) otherwise
+    dtype: T.DataType | None = None
 
     def index_table(self, spark: SparkSession, dtype: T.DataType) -> SmallTable:
         if self.table is not None:
@@ -81,7 +82,7 @@ def _short_vocabulary(rows: Sequence[Row], name: str, dtype: T.DataType, order:
         mine.sort(key=lambda vn: -vn[1])
     else:
         mine.sort(key=value)
-    return Vocabulary(name, tuple(v for v, _ in mine))
+    return Vocabulary(name, tuple(v for v, _ in mine), dtype=dtype)
 
 
 def _is_plain(dtype: T.DataType) -> bool:
@@ -119,8 +120,8 @@ def value_counts_long(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def _literal_index(col: Column, values: Sequence, dtype: T.DataType) -> Column:
-    if not _is_plain(dtype):
+def _literal_index(col: Column, values: Sequence, dtype: T.DataType | None) -> Column:
+    if dtype is not None and not _is_plain(dtype):
         values = [F.lit(v).cast(dtype) for v in values]
     out = F.when(col == F.lit(values[0]), F.lit(0)) if values else F.lit(None).cast("int")
     for i, v in enumerate(values[1:], 1):
@@ -359,7 +360,7 @@ class Analyzer:
             return F.lit(None)
         known = self._vocabularies[name]
         if known.values is not None and len(known.values) <= LITERAL_VALUES:
-            return F.coalesce(_literal_index(q(name), known.values), F.lit(UNKNOWN))
+            return F.coalesce(_literal_index(q(name), known.values, known.dtype), F.lit(UNKNOWN))
         return q(f"_vocabulary_{name}")
 
     def resolve(self, df: DataFrame) -> DataFrame:

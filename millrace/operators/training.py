@@ -24,7 +24,11 @@ from millrace.operators.sampling import kfold, stratified_split
 FEATURES, LABEL = "features", "label_index"
 RBF_COMPONENTS = 64
 ROWS_PER_PARTITION = 250_000
-LEAST_PARTITIONS = 8
+LEAST_PARTITIONS = 4
+# Relative improvement below which a solver stops.
+TOLERANCE = 1e-4
+# Steps of a linear SVM. The hinge loss has kinks: on separable rows later steps spend dozens of passes without gain.
+SVM_STEPS = 10
 # Classes of a one-vs-rest model that are fitted at the same time.
 CLASS_PARALLELISM = 4
 
@@ -122,37 +126,37 @@ def train_rbf_svm(
     components: int = RBF_COMPONENTS,
     n_classes: int = 2,
     seed: int = 42,
-    max_iter: int = 20,
+    max_iter: int = SVM_STEPS,
 ) -> PipelineModel:
     """SVM with (approximated) RBF kernel: random Fourier features, then a linear SVM.
 
     Cost grows with rows * components, not with rows squared as for an exact kernel.
     """
     found = moments(df, names)
-    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(found.rows, 1)), maxIter=max_iter)
+    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(found.rows, 1)), maxIter=max_iter, tol=TOLERANCE)
     mapped = SQLTransformer(statement=rbf_statement(names, rbf_gamma(found, gamma), components, seed))
     cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
     rows = training_rows(df, names, label, found.rows)
     if n_classes != 2:
         last = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
         return Pipeline(stages=[mapped, cells, last]).fit(rows)
-    return Pipeline(stages=[mapped, cells, *_calibrated(svc, label, max_iter)]).fit(rows)
+    return Pipeline(stages=[mapped, cells, *_calibrated(svc, label)]).fit(rows)
 
 
-def _calibrated(svc: LinearSVC, label: str, max_iter: int) -> list[Estimator]:
+def _calibrated(svc: LinearSVC, label: str) -> list[Estimator]:
     """The SVM and a one-feature logistic fit that turns its margin into a probability."""
     svc = svc.copy({svc.predictionCol: "svm_prediction", svc.rawPredictionCol: "svm_margins"})
     margin = VectorAssembler(inputCols=["svm_margins"], outputCol="svm_margin")
-    return [svc, margin, LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=max_iter)]
+    return [svc, margin, LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=20, tol=TOLERANCE)]
 
 
 def train_linear_svm(
-    df: DataFrame, names: Sequence[str], label: str = LABEL, c: float = 1.0, max_iter: int = 30
+    df: DataFrame, names: Sequence[str], label: str = LABEL, c: float = 1.0, max_iter: int = SVM_STEPS
 ) -> PipelineModel:
     """Binary linear SVM whose margin is turned into a probability by a one-feature logistic fit."""
     n = df.count()
-    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(n, 1)), maxIter=max_iter)
-    return Pipeline(stages=[assembler(names), *_calibrated(svc, label, max_iter)]).fit(training_rows(df, names, label, n))
+    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(n, 1)), maxIter=max_iter, tol=TOLERANCE)
+    return Pipeline(stages=[assembler(names), *_calibrated(svc, label)]).fit(training_rows(df, names, label, n))
 
 
 def train_forest(
@@ -185,7 +189,7 @@ def grid_search_rbf(
     """
     found = moments(df, names)
     n = max(found.rows, 1)
-    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter)
+    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, tol=TOLERANCE)
     last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
     mapped = SQLTransformer()
     cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
@@ -203,7 +207,7 @@ def grid_search_linear(
     folds: int = 2, parallelism: int = 4, seed: int = 42, max_iter: int = 10,
 ) -> CrossValidatorModel:
     n = max(df.count(), 1)
-    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter)
+    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, tol=TOLERANCE)
     grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n) for c in costs]).build()
     return _cross_validate(df, Pipeline(stages=[assembler(names), svc]), grid, names, key, label, folds, parallelism, seed)
 
