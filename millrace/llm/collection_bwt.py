@@ -18,44 +18,54 @@ _BLOCK = 16
 
 
 class _RangeMin:
-    """Smallest value of any range of an array of bytes: block minima in a sparse table, ends in full."""
+    """Smallest value of any range of an array of bytes: short ranges in full, long ones by block minima."""
 
     def __init__(self, values: np.ndarray):
-        blocks = -(-len(values) // _BLOCK)
-        self.values = np.full((blocks + 1) * _BLOCK, 255, np.uint8)
+        self.values = np.full(-(-len(values) // _BLOCK) * _BLOCK + 2 * _BLOCK, 255, np.uint8)
         self.values[:len(values)] = values
-        self.levels = [self.values.reshape(-1, _BLOCK).min(axis=1)]
-        width = 1
-        while 2 * width <= len(self.levels[0]):
-            last = self.levels[-1]
-            self.levels.append(np.minimum(last[:-width], last[width:]))
-            width *= 2
+        self.levels: list[np.ndarray] = []
+
+    def _table(self, longest: int):
+        """Minima of 1, 2, 4 ... blocks from every block on."""
+        if not self.levels:
+            least = self.values
+            for _ in range(_BLOCK.bit_length() - 1):
+                least = np.minimum(least[::2], least[1::2])
+            self.levels = [least]
+        while 2 << (len(self.levels) - 1) <= longest:
+            width = 1 << (len(self.levels) - 1)
+            self.levels.append(np.minimum(self.levels[-1][:-width], self.levels[-1][width:]))
 
     def query(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Smallest of values[start:end], for start < end."""
-        found = np.full(len(start), 255, np.uint8)
-        short = end - start <= _BLOCK
-        for rows, at, length in (
-            (short, start, end - start), (~short, start, _BLOCK - start % _BLOCK), (~short, end - end % _BLOCK, end % _BLOCK),
-        ):
-            rows = np.flatnonzero(rows)
-            if len(rows):
-                length = np.broadcast_to(length, start.shape)[rows]
-                places = np.arange(int(length.max()) if len(length) else 0)
-                window = self.values[np.minimum(at[rows, None] + places, len(self.values) - 1)]
-                window = np.where(places < length[:, None], window, 255)
-                if window.shape[1]:
-                    found[rows] = np.minimum(found[rows], window.min(axis=1))
-        first, last = -(-start // _BLOCK), end // _BLOCK
-        rows = np.flatnonzero(~short & (first < last))
+        found = self.values[start]
+        rows = np.flatnonzero(end - start > 1)
         if len(rows):
-            first, last = first[rows], last[rows]
-            level = np.log2(last - first).astype(np.int64)
-            for k in np.unique(level):
-                own = level == k
-                table = self.levels[k]
-                least = np.minimum(table[first[own]], table[last[own] - (1 << int(k))])
-                found[rows[own]] = np.minimum(found[rows[own]], least)
+            start, end = start[rows], end[rows]
+            last = end - 1
+            # the first and the last values of the range, which overlap in a short one
+            reach = min(_BLOCK, int((end - start).max()))
+            least = self.values[start]
+            for step in range(1, reach):
+                least = np.minimum(least, self.values[np.minimum(start + step, last)])
+            far = np.flatnonzero(end - start > _BLOCK)
+            if len(far):
+                first, final = start[far] // _BLOCK + 1, end[far] // _BLOCK
+                tail = least[far]
+                for step in range(_BLOCK):
+                    tail = np.minimum(tail, self.values[last[far] - step])
+                inner = np.flatnonzero(first < final)
+                if len(inner):
+                    first, final = first[inner], final[inner]
+                    level = np.frexp((final - first).astype(np.float64))[1] - 1
+                    self._table(int((final - first).max()))
+                    for k in np.unique(level).tolist():
+                        own = np.flatnonzero(level == k)
+                        table = self.levels[k]
+                        middle = np.minimum(table[first[own]], table[final[own] - (1 << k)])
+                        tail[inner[own]] = np.minimum(tail[inner[own]], middle)
+                least[far] = tail
+            found[rows] = least
         return found
 
 
@@ -63,51 +73,57 @@ def build(strings: np.ndarray, lengths: np.ndarray, cap: int) -> tuple[np.ndarra
     """The transform (0 where a string begins, else symbol + 1) and common prefixes, up to `cap`.
 
     `strings` has one string in each row, aligned to the right; `lengths` are at least 1. The first rows of the
-    result belong to the empty suffixes, in the order of the strings.
+    result belong to the empty suffixes, in the order of the strings. The byte 255 does not occur (it does
+    not in UTF-8), `cap` is below 255.
     """
     n, width = strings.shape
-    symbols = strings.astype(np.int16) + 1
-    kind = np.uint8 if symbols.max(initial=0) < 256 else np.int16
-    symbols = symbols.astype(kind)
-    # the symbol before the suffix of each length; 0 where the string is used up
-    bwt = symbols[:, -1].copy()
-    common = np.zeros(n, np.uint8)
+    symbols = np.ascontiguousarray((strings + np.uint8(1)).T)  # a column is read in each round
+    # both columns in one array: the symbol before the suffix of each length, 0 where the string is
+    # used up, and above it the common prefix with the suffix before
+    both = symbols[-1].astype(np.uint16)
     alive, places = np.arange(n), np.arange(n)
     for t in range(1, width + 1):
         reach = lengths[alive] >= t
-        alive, places = alive[reach], places[reach]
+        if not reach.all():
+            alive, places = alive[reach], places[reach]
         if not len(alive):
             break
-        before = np.where(lengths[alive] > t, symbols[alive, width - 1 - t] if t < width else 0, 0).astype(kind)
-        ends = int((bwt == 0).sum())
-        order = np.argsort(bwt, kind="stable")[ends:]  # places of the real symbols, by symbol
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(order))
-        new = rank[places]
+        bwt, common = (both & 255).astype(np.uint8), (both >> 8).astype(np.uint8)
+        order = np.argsort(bwt, kind="stable")  # places by symbol, first those where strings begin
+        counts = np.bincount(bwt, minlength=1)
+        bounds = np.cumsum(counts)
+        # in the order of symbol and place, which is that of the new suffixes
+        by_symbol = np.argsort(bwt[places], kind="stable")
+        alive, places = alive[by_symbol], places[by_symbol]
+        own = bwt[places]
+        new = np.empty(len(places), np.int64)
+        cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            low, high = bounds[own[a] - 1], bounds[own[a]]
+            new[a:b] = low + np.searchsorted(order[low:high], places[a:b])
         # common prefixes with the neighbours that begin with the same symbol
         least = _RangeMin(common)
         left, right = np.zeros(len(new), np.uint8), np.zeros(len(new), np.uint8)
-        own = bwt[places]
-        for side, step, out in ((new > 0, -1, left), (new < len(order) - 1, 1, right)):
-            rows = np.flatnonzero(side)
-            other = order[new[rows] + step]
-            same = bwt[other] == own[rows]
-            rows, other = rows[same], other[same]
-            low, high = np.minimum(other, places[rows]), np.maximum(other, places[rows])
+        for rows, step, out in (
+            (np.flatnonzero(new > bounds[own - 1]), -1, left), (np.flatnonzero(new + 1 < bounds[own]), 1, right),
+        ):
+            other, place = order[new[rows] + step], places[rows]
+            low, high = (other, place) if step < 0 else (place, other)
             out[rows] = np.minimum(least.query(low + 1, high + 1), cap - 1) + 1
-        new += n  # behind the empty suffixes
-        sort = np.argsort(new)
-        new, alive, left, right, before = new[sort], alive[sort], left[sort], right[sort], before[sort]
-        old = np.ones(len(bwt) + len(new), bool)
+        new += n - bounds[0]  # behind the empty suffixes
+        grown = np.empty(len(both) + len(new), np.uint16)
+        old = np.ones(len(grown), bool)
         old[new] = False
-        grown, longer = np.empty(len(old), kind), np.empty(len(old), np.uint8)
-        grown[old], longer[old] = bwt, common
-        grown[new], longer[new] = before, left
+        grown[old] = both
+        before = symbols[width - 1 - t, alive] if t < width else np.zeros(len(new), np.uint8)
+        before[lengths[alive] <= t] = 0
+        grown[new] = before | left.astype(np.uint16) << 8
         after = new + 1
-        inside = after < len(old)
-        longer[after[inside]] = right[inside]
-        bwt, common, places = grown, longer, new
-    return bwt, common
+        inside = np.flatnonzero(after < len(grown))
+        after = after[inside]
+        grown[after] = grown[after] & 255 | right[inside].astype(np.uint16) << 8
+        both, places = grown, new
+    return (both & 255).astype(np.uint8), (both >> 8).astype(np.uint8)
 
 
 def places_by_length(bwt: np.ndarray, n: int, width: int) -> np.ndarray:
