@@ -10,12 +10,13 @@ collection is cut by content:
    anchor, so equal windows have equal anchors at equal offsets. The bytes that windows
    through an anchor can span are its segment.
 2. Groups. Anchors are dealt by hash. A hash that occurs in one document only has no
-   partner. Equal segments are one string of the collection, with its smallest id. A
-   string that is alone in its group needs no sorting; the bytes of the others are
-   asked for, one occurrence each.
+   partner. Equal segments are one string of the collection, with its smallest id; in
+   documents with a larger one all its windows go. A string that is alone in its group needs
+   no sorting; the bytes of the others are asked for, one occurrence each.
 3. Extraction. The texts stream past the requests, and segments return to their groups.
-4. Construction. Whole groups are batched to collections of about `BATCH_BYTES`, built column by column,
-   and each window gets the smallest id of its run of common prefixes.
+4. Construction. Strings are trimmed to what a window shared with another string of the group can
+   cover. Whole groups are batched to collections of about `BATCH_BYTES`, built column by
+   column, and each window gets the smallest id of its run of common prefixes.
 5. Removal. The answers return to their documents, whose texts stream past once more.
 
 Between the steps go compressed packets of arrays, each for one slot (a group of hashes) or
@@ -51,8 +52,10 @@ GRAM = 16
 # Bytes of one collection.
 BATCH_BYTES = 2_000_000
 _BLOCK = 2_000_000
-_SLOTS_PER_PARTITION = 3
+# Segments a task gathers before it sends them to their slots.
+_HELD_PIECES = 200_000
 _WINDOWS = SPAN - GRAM + 1
+_SIDE = (SPAN - GRAM + 1) // 2
 _NO_ID = np.int64(2**63 - 1)
 _ALL = np.uint64((1 << _WINDOWS) - 1)
 _GROUPS, _SEGMENTS, _REQUESTS, _ANSWERS, _TEXTS = range(5)
@@ -80,15 +83,23 @@ def _rows(targets, kind: int, packets: list[bytes]) -> pa.RecordBatch:
         names=["target", "kind", "packet"])
 
 
+def _runs(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each target with the places where it stands."""
+    order = np.argsort(target, kind="stable")
+    ordered = target[order]
+    cuts = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+    for own in np.split(order, cuts):
+        if len(own):
+            yield int(target[own[0]]), own
+
+
 def _deal(target: np.ndarray, kind: int, *arrays: np.ndarray) -> pa.RecordBatch:
     """One packet of the arrays for each target."""
-    order = np.argsort(target, kind="stable")
-    target = target[order]
-    starts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(target) else np.array([], int)
-    packets = []
-    for a, b in zip(starts, [*starts[1:], len(target)], strict=True):
-        packets.append(_pack(*(x[order[a:b]] for x in arrays)))
-    return _rows(target[starts], kind, packets)
+    targets, packets = [], []
+    for number, own in _runs(target):
+        targets.append(number)
+        packets.append(_pack(*(x[own] for x in arrays)))
+    return _rows(targets, kind, packets)
 
 
 def _by_target(batches: Iterator[pa.RecordBatch], work: Callable) -> Iterator[pa.RecordBatch]:
@@ -112,11 +123,19 @@ def _by_target(batches: Iterator[pa.RecordBatch], work: Callable) -> Iterator[pa
             pass
 
 
-def _spread(values: np.ndarray, n: int) -> np.ndarray:
-    return (_mix(values.astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % n
+def _targets(spark, partitions: int) -> np.ndarray:
+    """One number for each shuffle partition, which is dealt to it: slots and parts are spread without collisions."""
+    dealt = F.pmod(F.hash("id"), F.lit(partitions)).alias("partition")
+    found = spark.range(30 * partitions).groupBy(dealt).agg(F.min("id").alias("id")).orderBy("partition").collect()
+    return np.array([r.id for r in found], np.int64)
+
+
+def _spread(values: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    return targets[(_mix(values.astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % len(targets)]
 
 
 def _gather(packets: DataFrame) -> DataFrame:
+    """Packets of one target together, in the order of their kinds."""
     return packets.repartition("target").sortWithinPartitions("target", "kind")
 
 
@@ -253,30 +272,27 @@ def _numbers(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return batch.column(column).to_numpy().astype(np.int64)
 
 
-def _find_anchors(docs: DataFrame, slots: int) -> DataFrame:
+def _find_anchors(docs: DataFrame, slots: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ids = _numbers(batch, "row"), _numbers(batch, "id")
             found = [np.concatenate(x) for x in zip(*_anchors_of(_texts(batch)), strict=True)]
             if found:
                 document, at, gram, segment = found
-                slot = (gram >> np.uint64(24)).astype(np.int64) % slots
-                order = np.argsort(slot, kind="stable")
-                slot = slot[order]
-                starts = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else []
-                packets = []
-                for a, b in zip(starts, [*starts[1:], len(slot)], strict=True):
-                    own = order[a:b]
+                slot = slots[(gram >> np.uint64(24)).astype(np.int64) % len(slots)]
+                targets, packets = [], []
+                for target, own in _runs(slot):
+                    targets.append(target)
                     documents = document[own]
                     packets.append(_pack(
                         _six(gram[own]), _six(segment[own]), _delta(rows[documents]), _delta(ids[documents]),
                         _delta(at[own].astype(np.int32 if batch.nbytes < 2**31 else np.int64))))
-                yield _rows(slot[starts], _GROUPS, packets)
+                yield _rows(targets, _GROUPS, packets)
 
     return docs.select("row", "id", "text").mapInArrow(run, _PACKET)
 
 
-def _find_groups(found: DataFrame, parts: int) -> DataFrame:
+def _find_groups(found: DataFrame, parts: np.ndarray) -> DataFrame:
     """Groups of strings to sort, requests for their bytes, and answers that need no sorting."""
 
     def work(slot: int, packets: Iterator) -> Iterator[pa.RecordBatch]:
@@ -303,14 +319,15 @@ def _find_groups(found: DataFrame, parts: int) -> DataFrame:
         group, string = np.cumsum(new_group) - 1, np.cumsum(new_string) - 1
         first = np.flatnonzero(new_string)
         alone = np.bincount(group[first])[group] == 1
-        later = alone & (key > key[first][string])
+        # what an earlier document holds in the same surroundings goes as a whole, sorted or not
+        later = key > key[first][string]
         yield _deal(_spread(row[later], parts), _ANSWERS, row[later], at[later], np.full(int(later.sum()), _ALL))
         several = ~alone[first]
         number = np.cumsum(several) - 1  # of the strings that are sorted
         first = first[several]
         yield _deal(_spread(row[first], parts), _REQUESTS, row[first], at[first],
                     np.full(len(first), slot), np.arange(len(first)))
-        sorted_rows = ~alone
+        sorted_rows = ~alone & ~later
         yield _rows([slot], _GROUPS, [_pack(
             group[first], key[first], number[string[sorted_rows]].astype(np.int32), _delta(row[sorted_rows]),
             _delta(key[sorted_rows]), at[sorted_rows])])
@@ -318,7 +335,7 @@ def _find_groups(found: DataFrame, parts: int) -> DataFrame:
     return _gather(found).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
 
 
-def _pack_texts(docs: DataFrame, parts: int) -> DataFrame:
+def _pack_texts(docs: DataFrame, parts: np.ndarray) -> DataFrame:
     kept = [c for c in docs.columns if c.startswith("keep_")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,6 +359,20 @@ def _extract(packets: DataFrame) -> DataFrame:
     def work(part: int, found: Iterator) -> Iterator[pa.RecordBatch]:
         asked = [[], [], [], []]
         wanted = None
+        slots, numbers, lefts, pieces = [], [], [], []
+
+        def flush() -> pa.RecordBatch:
+            targets, out = [], []
+            for target, own in _runs(np.array(slots, np.int64)):
+                targets.append(target)
+                own = own.tolist()
+                out.append(_pack(
+                    np.array([numbers[i] for i in own], np.int32), np.array([lefts[i] for i in own], np.uint8),
+                    np.array([len(pieces[i]) for i in own], np.uint8), b"".join([pieces[i] for i in own])))
+            for column in (slots, numbers, lefts, pieces):
+                column.clear()
+            return _rows(targets, _SEGMENTS, out)
+
         for kind, packet in found:
             if kind == _REQUESTS:
                 for column, values in zip(asked, _unpack(packet), strict=True):
@@ -355,25 +386,17 @@ def _extract(packets: DataFrame) -> DataFrame:
                 wanted = [c[order] for c in wanted]
             rows, _, texts, _ = _unpack(packet)
             low, high = np.searchsorted(wanted[0], rows), np.searchsorted(wanted[0], rows, side="right")
-            slots, numbers, lefts, pieces = [], [], [], []
             for text, a, b in zip(texts, low.tolist(), high.tolist(), strict=True):
-                for at, slot, number in zip(*(c[a:b].tolist() for c in wanted[1:]), strict=True):
-                    left = min(at, _WINDOWS - 1)
-                    slots.append(slot)
-                    numbers.append(number)
-                    lefts.append(left)
-                    pieces.append(text[at - left:at + SPAN])
-            if slots:
-                order = np.argsort(slots, kind="stable")
-                slots = np.array(slots)[order]
-                starts = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
-                out = []
-                for a, b in zip(starts, [*starts[1:], len(slots)], strict=True):
-                    own = order[a:b]
-                    out.append(_pack(
-                        np.array(numbers)[own].astype(np.int32), np.array(lefts)[own].astype(np.uint8),
-                        np.array([len(pieces[i]) for i in own], np.uint8), b"".join(pieces[i] for i in own)))
-                yield _rows(slots[starts], _SEGMENTS, out)
+                if a == b:
+                    continue
+                places = wanted[1][a:b].tolist()
+                slots += wanted[2][a:b].tolist()
+                numbers += wanted[3][a:b].tolist()
+                lefts += [at if at < _WINDOWS else _WINDOWS - 1 for at in places]
+                pieces += [text[at - _WINDOWS + 1 if at >= _WINDOWS else 0:at + SPAN] for at in places]
+            if len(pieces) >= _HELD_PIECES:
+                yield flush()
+        yield flush()
 
     return _gather(packets).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
 
@@ -391,7 +414,32 @@ def smallest_ids(strings: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> n
     return np.where(whole >= 0, least[run[np.maximum(whole, 0)]], _NO_ID)
 
 
-def _sort(packets: DataFrame, parts: int) -> DataFrame:
+def _shared(data: np.ndarray, start: np.ndarray, there: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Whether another string of the group has the same `_SIDE` bytes from `start` on (surely not, if False)."""
+    weights = _SYMBOLS[:_SIDE] | np.uint64(1)
+    found = np.zeros(len(start), np.uint64)
+    for k in range(_SIDE):
+        found += _SYMBOLS[data[np.where(there, start + k, 0)]] * weights[k]
+    _, which, count = np.unique(_mix(found) ^ _mix(group.astype(np.uint64) + np.uint64(1)), return_inverse=True, return_counts=True)
+    alike = np.bincount(which[there], minlength=len(count))
+    return there & (alike[which] > 1)
+
+
+def _trim(data, begin, length, left, group):
+    """Which strings can share a window with another, and the part of them that such a window can cover.
+
+    A window holds the anchor and `SPAN - GRAM` bytes beside it, so at least `_SIDE` of them on one side. A
+    string that is alone in its group with these bytes on one side has no shared window that goes so far there.
+    """
+    on_left = _shared(data, begin + left - _SIDE, left >= _SIDE, group)
+    on_right = _shared(data, begin + left + GRAM, length >= left + GRAM + _SIDE, group)
+    cut = np.where(on_left, 0, np.maximum(left - _SIDE + 1, 0))
+    begin, length, left = begin + cut, length - cut, left - cut
+    length = np.where(on_right, length, np.minimum(length, left + GRAM + _SIDE - 1))
+    return (on_left | on_right) & (length >= SPAN), begin, length, left
+
+
+def _sort(packets: DataFrame, parts: np.ndarray) -> DataFrame:
     """Answers for all occurrences of the strings that were sorted."""
 
     def work(slot: int, found: Iterator) -> Iterator[pa.RecordBatch]:
@@ -409,6 +457,12 @@ def _sort(packets: DataFrame, parts: int) -> DataFrame:
         data = np.frombuffer(b"".join(pieces[3]), np.uint8)
         begin = (np.cumsum(length, dtype=np.int64) - length)[np.argsort(number)]
         left, length = (x[np.argsort(number)].astype(np.int64) for x in (left, length))
+        keep, begin, length, left = _trim(data, begin, length, left, group)
+        some = keep[string]
+        string, row, key, at = (np.cumsum(keep) - 1)[string[some]], row[some], key[some], at[some]
+        group, smallest, begin, length, left = (x[keep] for x in (group, smallest, begin, length, left))
+        if not len(group):
+            return
         occurrences = np.searchsorted(string, np.arange(len(group) + 1))
         # whole groups until a batch is full
         bounds = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -492,7 +546,7 @@ def remove_repeats(
     Ids are integers. `as_text` gives what remains as text, without characters that were cut in part.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = parts = partitions * _SLOTS_PER_PARTITION
+    slots = parts = _targets(docs.sparkSession, partitions)
     keyed = _keyed(docs, id_col, text_col, keep)
     grouped = materialise(_find_groups(_find_anchors(keyed, slots), parts), "groups")
     texts = _pack_texts(keyed, parts)

@@ -115,3 +115,14 @@ def test_transform_and_common_prefixes_against_sorting():
                 while same < min(len(found[k]), len(found[k - 1])) and found[k][same] == found[k - 1][same]:
                     same += 1
                 assert common[k] == min(same, cap)
+
+
+def test_copies_beside_texts_that_share_only_a_phrase(spark):
+    draw = random.Random(7)
+    prose = lambda n: "".join(draw.choice("abcdefghij ") for _ in range(n))
+    rows = []
+    for k in range(40):
+        phrase = prose(draw.randint(16, 49))
+        first, other = prose(60) + phrase + prose(60), prose(60) + phrase + prose(60)
+        rows += [(4 * k, first), (4 * k + 1, first), (4 * k + 2, other), (4 * k + 3, other[:100])]
+    check(spark, rows)
