@@ -3,8 +3,7 @@
 Labels say only whether a document is toxic. `fit` first finds out which words make it
 so: features of words (the word, its first 4, 5 and 6 letters) that hardly occur in clean
 documents are chosen greedily until they cover the toxic ones, each time the feature that
-covers most of those not yet covered; frequent ones are added until the documents are
-covered a few times over. In toxic documents, words with a chosen feature
+covers most of those not yet covered. In toxic documents, words with a chosen feature
 are the positive tokens. On these labelled tokens a chain with two tags is
 trained by its likelihood: weights of features, a bias and four transitions.
 
@@ -47,7 +46,6 @@ _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
 # Share of clean documents in which a feature of toxic words may occur.
 _CLEAN_SHARE = 0.002
-_COVER = 3
 _WINDOW = 40
 _STEPS = 100
 _RIDGE = 0.02
@@ -143,11 +141,6 @@ class _Odds(dict):
 # ------------------------------------------------------------------ fitting
 
 
-def _overlap(a: str, b: str) -> bool:
-    a, b = a[2:], b[2:]
-    return a.startswith(b) or b.startswith(a)
-
-
 def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
     """Features that cover the toxic documents and hardly occur in clean ones."""
     common = Counter(f for d in clean for f in d)
@@ -157,25 +150,22 @@ def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
         for feature in document:
             if common[feature] <= limit:
                 covers[feature].add(index)
+    least = max(2, round(0.002 * len(toxic)))
+    # a longer feature of equal cover is the more exact one
+    heap = [(-len(c), common[f], -len(f), f) for f, c in covers.items() if len(c) >= least]
+    heapq.heapify(heap)
     chosen: set[str] = set()
-    times = np.zeros(len(toxic), np.int64)
-    for cover, least in ((1, max(2, round(0.002 * len(toxic)))), (_COVER, max(5, round(0.02 * len(toxic))))):
-        # a longer feature of equal cover is the more exact one
-        heap = [(-len(c), common[f], -len(f), f) for f, c in covers.items() if len(c) >= least and f not in chosen]
-        heapq.heapify(heap)
-        while heap:
-            gain, seen, length, feature = heapq.heappop(heap)
-            if cover > 1 and any(_overlap(feature, c) for c in chosen):
-                continue  # it marks words that are marked already
-            holders = np.fromiter(covers[feature], np.int64)
-            now = int((times[holders] < cover).sum())
-            if now < least:
-                continue
-            if now < -gain:
-                heapq.heappush(heap, (-now, seen, length, feature))
-                continue
-            chosen.add(feature)
-            times[holders] += 1
+    covered: set[int] = set()
+    while heap:
+        gain, seen, length, feature = heapq.heappop(heap)
+        now = len(covers[feature] - covered)
+        if now < least:
+            continue
+        if now < -gain:
+            heapq.heappush(heap, (-now, seen, length, feature))
+            continue
+        chosen.add(feature)
+        covered |= covers[feature]
     return chosen
 
 

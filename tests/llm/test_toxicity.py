@@ -72,9 +72,10 @@ def test_odd_rows(spark):
     assert score_toxicity(docs.limit(0), spark.createDataFrame([], LABELS)).collect() == []
 
 
-def test_a_word_beside_another_is_learnt_and_spans_join():
-    tagger = fit([("good day", 0)] * 20 + [("fine words", 0)] * 20 + [("awful nasty", 1)] * 10 + [("nasty", 1)] * 3)
-    text = "Good AWFUL nasty day"
-    marginals = tagger.marginals([text.lower().split()])[0]
-    spans = toxic_spans(text, marginals)
-    assert [(s["start"], s["end"]) for s in spans] == [(5, 16)]
+def test_spans_join_and_clean_copies_stay_clean():
+    words = "one two three four five six seven eight nine ten"
+    tagger = fit([("good day", 0)] * 20 + [(words, 0)] * 2 + [(words + " nasty", 1)] * 30 + [("nasty", 1), ("nasty nasty good", 1)])
+    text = "Good NASTY nasty day"
+    marginals, clean = tagger.marginals([text.lower().split(), words.split()])
+    assert [(s["start"], s["end"]) for s in toxic_spans(text, marginals)] == [(5, 16)]
+    assert clean.max() < 0.5
