@@ -3,7 +3,8 @@
 Labels say only whether a document is toxic. `fit` first finds out which words make it
 so: features of words (the word, its first 4, 5 and 6 letters) that hardly occur in clean
 documents are chosen greedily until they cover the toxic ones, each time the feature that
-covers most of those not yet covered. In toxic documents, words with a chosen feature
+covers most of those not yet covered; so are words that are frequent beside them and in no
+clean document. In toxic documents, words with a chosen feature
 are the positive tokens. On these labelled tokens a chain with two tags is
 trained by its likelihood: weights of features, a bias and four transitions.
 
@@ -46,6 +47,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
 # Share of clean documents in which a feature of toxic words may occur.
 _CLEAN_SHARE = 0.002
+# Share of toxic documents from which on a word counts although others cover its documents.
+_BESIDE = 0.01
 _WINDOW = 40
 _STEPS = 100
 _RIDGE = 0.02
@@ -166,9 +169,25 @@ def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
             continue
         chosen.add(feature)
         covered |= covers[feature]
+    # words that only occur beside chosen ones: frequent, never in clean documents, and in documents that
+    # have little else in common (the words of many copies of one toxic text are no insults)
+    for feature in sorted(covers, key=lambda f: (-len(covers[f]), f)):
+        if len(covers[feature]) < max(5, _BESIDE * len(toxic)):
+            break
+        if common[feature] == 0 and not any(_overlap(feature, c) for c in chosen):
+            holders = sorted(covers[feature])[:: max(1, len(covers[feature]) // 12)]
+            alike = sorted(len(toxic[a] & toxic[b]) / len(toxic[a] | toxic[b]) for a, b in zip(holders, holders[1:], strict=False))
+            if alike[len(alike) // 2] < 0.5:
+                chosen.add(feature)
     return chosen
 
 
+def _overlap(a: str, b: str) -> bool:
+    """Whether two features mark words of one stem."""
+    a, b = a[2:], b[2:]
+    return a.startswith(b) or b.startswith(a)
+
+
 def fit(rows: list[tuple[str, int]]) -> Tagger:
     """A tagger from (text, toxic) rows."""
     documents = [(_WORD.findall((text or "").lower()), toxic) for text, toxic in sorted(rows, key=lambda r: (r[0] or "", r[1]))]
