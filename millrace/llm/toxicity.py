@@ -52,8 +52,10 @@ _BESIDE = 0.01
 _WINDOW = 40
 _STEPS = 100
 _RIDGE = 0.02
-_TOKENS = 1_000_000
-_CACHE = 300_000
+_TOKENS = 300_000
+_CACHE = 100_000
+# Windows whose gradient is worked out at once.
+_WINDOWS_AT_ONCE = 2000
 
 
 def features(word: str) -> list[str]:
@@ -144,10 +146,9 @@ class _Odds(dict):
 # ------------------------------------------------------------------ fitting
 
 
-def toxic_features(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
-    """Features that cover the toxic documents and hardly occur in clean ones."""
-    common = Counter(f for d in clean for f in d)
-    limit = _CLEAN_SHARE * len(clean)
+def toxic_features(toxic: list[set[str]], common: Counter[str], n_clean: int) -> set[str]:
+    """Features that cover the toxic documents and hardly occur in clean ones; `common` counts the latter."""
+    limit = _CLEAN_SHARE * n_clean
     covers: dict[str, set[int]] = defaultdict(set)
     for index, document in enumerate(toxic):
         for feature in document:
@@ -196,14 +197,22 @@ def fit(rows: list[tuple[str, int]]) -> Tagger:
         for word in words:
             if word not in of_word:
                 of_word[word] = features(word)
-    sets = [({f for w in set(words) for f in of_word[w]}, toxic) for words, toxic in documents]
-    chosen = toxic_features([s for s, t in sets if t], [s for s, t in sets if not t])
+    common: Counter[str] = Counter()
+    in_toxic: list[set[str]] = []
+    for words, toxic in documents:
+        found = {f for w in set(words) for f in of_word[w]}
+        if toxic:
+            in_toxic.append(found)
+        else:
+            common.update(found)
+    chosen = toxic_features(in_toxic, common, len(documents) - len(in_toxic))
     if not chosen:
         return Tagger({}, -30.0, [[1.0, 1.0], [1.0, 1.0]])
-    in_toxic = Counter(f for s, t in sets if t for f in s)
-    index = {f: k + 1 for k, f in enumerate(sorted(f for f, n in in_toxic.items() if n > 1))}
+    shared = Counter(f for s in in_toxic for f in s)
+    index = {f: k + 1 for k, f in enumerate(sorted(f for f, n in shared.items() if n > 1))}
+    del common, in_toxic, shared
     word_ids = {w: k for k, w in enumerate(of_word)}
-    table = np.zeros((len(word_ids) + 1, 1 + len(_PREFIXES)), np.int64)  # 0: no feature; the last row: padding
+    table = np.zeros((len(word_ids) + 1, 1 + len(_PREFIXES)), np.int32)  # 0: no feature; the last row: padding
     for word, row in word_ids.items():
         for k, f in enumerate(of_word[word]):
             table[row, k] = index.get(f, 0)
@@ -213,7 +222,7 @@ def fit(rows: list[tuple[str, int]]) -> Tagger:
         ids = np.array([word_ids[w] for w in words], np.int64)
         if toxic and not marked[ids].any():
             continue  # toxic for a reason that is not known
-        padded = np.full(-(-len(ids) // _WINDOW) * _WINDOW, len(word_ids))
+        padded = np.full(-(-len(ids) // _WINDOW) * _WINDOW, len(word_ids), np.int32)
         padded[:len(ids)] = ids
         windows.append(padded.reshape(-1, _WINDOW))
         tags.append((marked[padded] & bool(toxic)).reshape(-1, _WINDOW))
@@ -225,42 +234,19 @@ def fit(rows: list[tuple[str, int]]) -> Tagger:
 
 def _maximise(windows: np.ndarray, tags: np.ndarray, table: np.ndarray, n_features: int):
     """Weights, bias and transition factors of the largest penalised likelihood, by Adam steps."""
-    real = windows < len(table) - 1
-    feats = table[windows]
     # parameters: weights, bias, log factors of (0,1), (1,0), (1,1); (0,0) is fixed at 0
     theta = np.zeros(n_features + 4)
     theta[n_features] = -4.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
-    n, length = windows.shape
-    both = real[:, 1:] & real[:, :-1]
-    pairs_seen = np.array([(both & ~tags[:, :-1] & tags[:, 1:]).sum(), (both & tags[:, :-1] & ~tags[:, 1:]).sum(),
-                           (both & tags[:, :-1] & tags[:, 1:]).sum()], float)
     scale = 1.0 / max(1, tags.sum())
     for turn in range(1, _STEPS + 1):
-        weights = theta[:n_features].copy()
-        weights[0] = 0.0
-        odds = np.exp(np.clip(weights[feats].sum(axis=2) + theta[n_features], -30, 30))
-        a01, a10, a11 = np.exp(theta[n_features + 1:])
-        ahead, back = np.empty((length, n)), np.ones((length, n))
-        ahead[0] = odds[:, 0]
-        for t in range(1, length):
-            ahead[t] = np.where(real[:, t], odds[:, t] * (a01 + a11 * ahead[t - 1]) / (1 + a10 * ahead[t - 1]), 0.0)
-        for t in range(length - 2, -1, -1):
-            after = odds[:, t + 1] * back[t + 1]
-            back[t] = np.where(real[:, t + 1], (a10 + a11 * after) / (1 + a01 * after), 1.0)
-        joint = (ahead * back).T
-        p = np.where(real, joint / (1 + joint), 0.0)
-        before, after = ahead[:-1].T, odds[:, 1:] * back[1:].T
-        weight01, weight10, weight11 = a01 * after, a10 * before, a11 * before * after
-        total = 1 + weight01 + weight10 + weight11
-        pairs = np.array([(np.where(both, w / total, 0.0)).sum() for w in (weight01, weight10, weight11)])
-        error = np.where(real, tags - p, 0.0)
-        gradient = np.empty_like(theta)
-        gradient[:n_features] = np.bincount(
-            feats.ravel(), np.repeat(error.ravel(), feats.shape[2]), minlength=n_features) - _RIDGE * weights
+        gradient = np.zeros_like(theta)
+        for at in range(0, len(windows), _WINDOWS_AT_ONCE):
+            gradient += _gradient(
+                theta, windows[at:at + _WINDOWS_AT_ONCE], tags[at:at + _WINDOWS_AT_ONCE], table, n_features)
+        gradient[:n_features] -= _RIDGE * theta[:n_features]
         gradient[0] = 0.0
-        gradient[n_features] = error.sum()
-        gradient[n_features + 1:] = pairs_seen - pairs - _RIDGE * theta[n_features + 1:]
+        gradient[n_features + 1:] -= _RIDGE * theta[n_features + 1:]
         gradient *= scale
         first = 0.8 * first + 0.2 * gradient
         second = 0.95 * second + 0.05 * gradient ** 2
@@ -270,6 +256,34 @@ def _maximise(windows: np.ndarray, tags: np.ndarray, table: np.ndarray, n_featur
     return theta[:n_features], theta[n_features], np.array([[1.0, a01], [a10, a11]])
 
 
+def _gradient(theta: np.ndarray, windows: np.ndarray, tags: np.ndarray, table: np.ndarray, n_features: int) -> np.ndarray:
+    """What the tags say less what the model expects, summed over the windows."""
+    real = windows < len(table) - 1
+    feats = table[windows]
+    n, length = windows.shape
+    odds = np.exp(np.clip(theta[feats].sum(axis=2) + theta[n_features], -30, 30))
+    a01, a10, a11 = np.exp(theta[n_features + 1:])
+    ahead, back = np.empty((length, n)), np.ones((length, n))
+    ahead[0] = odds[:, 0]
+    for t in range(1, length):
+        ahead[t] = np.where(real[:, t], odds[:, t] * (a01 + a11 * ahead[t - 1]) / (1 + a10 * ahead[t - 1]), 0.0)
+    for t in range(length - 2, -1, -1):
+        after = odds[:, t + 1] * back[t + 1]
+        back[t] = np.where(real[:, t + 1], (a10 + a11 * after) / (1 + a01 * after), 1.0)
+    joint = (ahead * back).T
+    error = np.where(real, tags - np.where(real, joint / (1 + joint), 0.0), 0.0)
+    both = real[:, 1:] & real[:, :-1]
+    before, after = ahead[:-1].T, odds[:, 1:] * back[1:].T
+    expected = [a01 * after, a10 * before, a11 * before * after]
+    total = 1 + sum(expected)
+    seen = [~tags[:, :-1] & tags[:, 1:], tags[:, :-1] & ~tags[:, 1:], tags[:, :-1] & tags[:, 1:]]
+    found = np.zeros_like(theta)
+    found[:n_features] = np.bincount(feats.ravel(), np.repeat(error.ravel(), feats.shape[2]), minlength=n_features)
+    found[n_features] = error.sum()
+    found[n_features + 1:] = [(both & s).sum() - np.where(both, e / total, 0.0).sum() for s, e in zip(seen, expected, strict=True)]
+    return found
+
+
 def held_out(id_column: Column) -> Column:
     """Rows that no model may learn from."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 3 == 1, F.lit(False))
