@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -42,15 +43,39 @@ TIERS = (256, 512, 1024, 2048)
 CHUNK_PIECES = 100_000
 # Tokens of a step group.
 STEP_TOKENS = 64 * 2048
+# White space in a row that goes past the pattern, whose look-ahead overflows its stack from 1 000 000 on.
+LONG_SPACE = 100_000
+# What the pattern's own white space is: Python's has four separators more.
+_SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 
 
-def load_encoder(ranks_path: str, pattern: str):
+class Encoder:
     """A byte-level BPE encoder from a file of ranks; equal to the JSON form of the same vocabulary."""
-    import tiktoken
 
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    def __init__(self, ranks_path: str, pattern: str):
+        import tiktoken
+
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        """The ids of a text of any kind; strings of special tokens are ordinary text."""
+        if len(text) < LONG_SPACE:
+            return self.encoding.encode_ordinary(text)
+        found, done = [], 0
+        for run in _SPACE.finditer(text):
+            if run.end() - run.start() < LONG_SPACE:
+                continue
+            found += self.encoding.encode_ordinary(text[done:run.start()])
+            # the pattern takes a run as one word, but for the last character if a word follows
+            done = run.end() - (run.end() < len(text))
+            found += self.encoding._encode_single_piece(text[run.start():done])
+        return found + self.encoding.encode_ordinary(text[done:])
+
+
+def load_encoder(ranks_path: str, pattern: str) -> Encoder:
+    return Encoder(ranks_path, pattern)
 
 
 def encode_pieces(

@@ -29,6 +29,19 @@ def test_the_encoder_gives_the_tokenizers_ids(tokenizer):
         assert encoder.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_white_space_of_any_length(spark, tokenizer):
+    encoder = load_encoder(RANKS, PATTERN)
+    for n in (99_999, 100_000, 100_001):
+        for space in (" ", "\n", "\u3000 \t"):
+            run = (space * n)[:n]
+            for text in (run, f"a b{run}", f"{run}c", f"a{run}'s d {run}\x1c{run}.e"):
+                assert encoder.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    text = "a" + "\n" * 1_200_000 + "b"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    whole = len(tokenizer.encode(text, add_special_tokens=False).ids) + 1
+    assert {r.doc_tokens for r in pack_documents(docs, RANKS, PATTERN, cells=2).collect()} == {whole}
+
+
 def test_every_piece_lies_in_one_window_without_gaps():
     draw = random.Random(2)
     for n in (0, 1, 5, 500):
