@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 
+from millrace.llm import chat
 from millrace.llm.chat import ASSISTANT, COSTS, ROLES, SYSTEM, UNKNOWN, USER, format_chats, repair
 
 SCHEMA = "conv_id long, turn long, role string, text string, row int, part string"
@@ -76,3 +77,38 @@ def test_many_conversations_are_legal(spark):
         own = sorted((r.position, r.part, r.role) for r in found if r.conv_id == conv)
         assert legal([ROLES.index(role) for _, part, role in own if part == 0])
         assert sorted(r.source_turn for r in found if r.conv_id == conv and r.action != "insert") == sorted(t for c, t, _, _ in rows if c == conv)
+
+
+def expected(roles):
+    """Position, part, role, action, last and turn (None: inserted) of the repair of a whole conversation."""
+    _, found, ending = repair(roles)
+    out, position, part = [], -1, 0
+    for at, (action, role, bridge) in enumerate(found):
+        for empty in bridge:
+            position += 1
+            out.append((position, 0, ROLES[empty], "insert", None))
+        position, part = (position, part + 1) if action == "merge" else (position + 1, 0)
+        out.append((position, part, ROLES[role], action, at))
+    return out + [(position + 1 + k, 0, ROLES[empty], "insert", None) for k, empty in enumerate(ending)]
+
+
+def test_a_conversation_in_many_blocks_is_repaired_as_one(spark):
+    draw = random.Random(3)
+    said = {None: 20_000, 1: 1, 2: 9_999, 3: 10_000, 4: 10_001, 5: 3, 6: 25_000}
+    roles = {c: [draw.choice([0, 1, 1, 1, 2, 2, 3]) for _ in range(n)] for c, n in said.items()}
+    rows = [(c, t, [*ROLES, None][r], f"t{t}", 0, "") for c, own in roles.items() for t, r in enumerate(own)]
+    draw.shuffle(rows)
+    turns = spark.createDataFrame(rows, SCHEMA)
+    blocks = []
+    cut = chat._cut
+    chat._cut = lambda ordered: blocks.append(cut(ordered)) or blocks[-1]
+    try:
+        found = format_chats(turns).collect()
+    finally:
+        chat._cut = cut
+    assert max(len(r.roles) for r in blocks[0].collect()) <= chat.BLOCK
+    for conv, own in roles.items():
+        have = sorted((r.position, r.part, r.role, r.action, r.source_turn) for r in found if r.conv_id == conv)
+        assert have == expected(own)
+        ends = {(p, k) for p, k, *_ in have} - {(p, k - 1) for p, k, *_ in have if k}
+        assert all(r.rendered.endswith("<|end|>\n") == ((r.position, r.part) in ends) for r in found if r.conv_id == conv)
