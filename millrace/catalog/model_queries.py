@@ -170,9 +170,9 @@ def registry_flow(spark, sf_dir):
     runs, versions, models = (scratch_path(spark, f"registry-{p}") for p in ("runs", "versions", "models"))
     opposite = rows.withColumn(training.LABEL, 1.0 - F.col(training.LABEL))
     for number, learnt in enumerate((rows, opposite), 1):
-        model = training.train_forest(learnt, INPUTS, trees=20, depth=5)
+        model = training.train_forest(learnt, INPUTS)
         metrics = training.evaluate(training.score_probability(model, rows), training.LABEL)
-        registry.register(spark, runs, versions, models, "priority", model, f"run-{number}", number, {"trees": 20}, metrics, INPUTS)
+        registry.register(spark, runs, versions, models, "priority", model, f"run-{number}", number, {"trees": 100}, metrics, INPUTS)
     stored = registry.promoted(spark, versions, runs)
     columns = spark.read.schema(registry.RUN_SCHEMA).parquet(runs).select("run_id", F.col("tags")["columns"].alias("columns"))
     return stored.join(columns, "run_id").select("name", "version", "stage", rounded("recall").alias("recall"), "columns")

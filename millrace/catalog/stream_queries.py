@@ -130,7 +130,7 @@ def stream_score(spark, sf_dir):
     payload = F.to_json(F.struct("code", year.alias("year")))
     records = rows.join(status, "o_orderkey").select(F.col("o_orderkey").alias("id"), payload.alias("payload"))
     records.repartition(12, "id").write.json(source)
-    model = training.train_forest(rows, INPUTS, trees=20, depth=5)
+    model = training.train_forest(rows, INPUTS)
     arriving = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 4).json(source)
     scoring.score_stream(arriving, spec, model, "id", "forest", log, rejected, progress, CLASSES).awaitTermination()
     good = spark.read.parquet(log).select("id", "model_name", "label", F.lit(None).cast("string").alias("reason"))

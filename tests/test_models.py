@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from millrace.catalog import model_queries, stream_queries
 from millrace.operators import sampling, training, validating
 from millrace.plans import encounters, penguins
 from millrace.spec import ENCOUNTER_CATEGORICAL, ENCOUNTER_NUMERIC
@@ -158,3 +159,30 @@ def test_stream_scoring_logs_and_rejects(spark, three, tmp_path):
     assert rows(logged.select("id", "model_name", "label")) == sorted(
         [(10 * i + j, "forest", "x") for i in range(3) for j in range(1, 4)], key=repr)
     assert rows(spark.read.parquet(bad).select("id", "reason")) == [(0, "missing: b"), (10, "missing: b"), (20, "missing: b")]
+
+
+def test_svm_fits_on_overlapping_rows_stop_by_tolerance(spark):
+    rng = np.random.default_rng(5)
+    label = rng.integers(0, 2, 600)
+    xy = rng.normal(0, 1, (600, 2)) + 0.4 * label[:, None]
+    data = [(i, float(x), float(y), float(c)) for i, ((x, y), c) in enumerate(zip(xy, label, strict=True))]
+    df = spark.createDataFrame(data, "k long, a double, b double, label_index double").persist()
+    search = training.grid_search_rbf(df, NAMES, "k", costs=(1.0,), gammas=(1.0,), folds=2)
+    models = [training.train_rbf_svm(df, NAMES, gamma=1.0), training.train_linear_svm(df, NAMES), search.bestModel]
+    steps = [next(s for s in m.stages if type(s).__name__ == "LinearSVCModel").summary().totalIterations for m in models]
+    assert steps[0] > 10 and steps[2] > 10
+    assert all(n < training.SVM_STEPS for n in steps), steps
+
+
+@pytest.mark.parametrize("query", [model_queries.registry_flow, stream_queries.stream_score])
+def test_queries_grow_whole_forests(spark, monkeypatch, query):
+    class Grown(Exception):
+        pass
+
+    def grow(df, names, **smaller):
+        raise Grown(smaller)
+
+    monkeypatch.setattr(training, "train_forest", grow)
+    with pytest.raises(Grown) as found:
+        query(spark, "/root/testdata/sf0.001")
+    assert found.value.args == ({},)
