@@ -10,7 +10,9 @@ Both are written along the page, block by block, smoothed by a Gaussian, and fus
 value. A path is content if the mean of its blocks' values reaches a share of their
 deviation; the best path always is. Blocks beside content in the same container (headings, short
 paragraphs) belong to it. Menus, headers, footers, sidebars, notices, adverts, forms and
-comments never do: elements are known by tag, role or a word of their class or id.
+comments never do: elements are known by tag, role or a word of their class or id. Inside an
+article or main element the whole class or the role must say so; if a word of a class does, the
+path must reach the share of the deviation by itself. Ids of headings are titles and say nothing.
 
 Pages are read as they are: end tags may be missing (a block ends an open paragraph), the
 page may break off anywhere, scripts may hold tags.
@@ -44,15 +46,16 @@ _NAME_WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 # Elements by what HTML says of them.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea noscript template iframe xmp svg math select option button object head".split())
+_RAW = frozenset("script style title textarea noscript template iframe xmp svg select option button head".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split())
+    "strong sub sup time tt u var wbr math mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover "
+    "mtable mtr mtd mstyle mspace mpadded semantics annotation".split())
 _UNMARKED = _INLINE - {"a"}
 _CLOSES = {tag: frozenset({tag}) for tag in ("li", "option", "tr")} | {
     "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"})}
 _SCOPES = frozenset("html body article section div main nav aside footer header form ul ol table dl blockquote figure".split())
-_OUTSIDE_TAGS = frozenset("nav header footer aside form menu dialog figcaption".split())
+_OUTSIDE_TAGS = frozenset("nav header footer aside form menu dialog".split())
 _OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner cookie cookies consent gdpr "
     "notice notices notification alert newsletter subscribe subscription signup login popup modal overlay comment comments reply "
@@ -61,17 +64,41 @@ _OUTSIDE_NAMES = frozenset(
     "contentinfo form".split())
 
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Whether a block is content by its elements: yes, only if its path's ratio says so, no.
+_CONTENT, _DOUBTFUL, _OUTSIDE = range(3)
+
+
 class Block:
-    __slots__ = ("path", "container", "outside", "text")
+    __slots__ = ("path", "container", "kind", "text")
+
+    def __init__(self, path: str, container: str, kind: int, text: str):
+        self.path, self.container, self.kind, self.text = path, container, kind, text
+
+    @property
+    def outside(self) -> bool:
+        return self.kind == _OUTSIDE
 
-    def __init__(self, path: str, container: str, outside: bool, text: str):
-        self.path, self.container, self.outside, self.text = path, container, outside, text
+
+def _kind(tag: str, in_article: bool, classes: set[str], role: set[str], names: set[str]) -> int:
+    """What an element's tag, role, class and id say; `names` are the words of all three."""
+    if tag in _OUTSIDE_TAGS or tag == "head":
+        return _OUTSIDE
+    if tag in ("html", "body", "article", "main"):
+        return _CONTENT
+    if not in_article:
+        return _CONTENT if names.isdisjoint(_OUTSIDE_NAMES) else _OUTSIDE
+    # inside an article, words are parts of titles and styles; only a whole class or a role names the element
+    if not (classes | role).isdisjoint(_OUTSIDE_NAMES):
+        return _OUTSIDE
+    words = {word for name in classes for word in _NAME_WORDS.findall(name)}
+    return _CONTENT if words.isdisjoint(_OUTSIDE_NAMES) else _DOUBTFUL
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of text of a page, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path step, outside
+    stack: list[tuple[str, str, int]] = []  # tag, path step, kind
     pieces: list[str] = []
     place: tuple | None = None  # the stack where the block's first text stood
 
@@ -83,7 +110,7 @@ def blocks(page: str) -> list[Block]:
                 steps = [step for tag, step, _ in place if tag not in _UNMARKED]
                 while steps and steps[-1] == "a" and len(steps) < 2:
                     steps.pop()
-                found.append(Block("/".join(steps), "/".join(steps[:-1]), bool(place and place[-1][2]), text))
+                found.append(Block("/".join(steps), "/".join(steps[:-1]), place[-1][2] if place else _CONTENT, text))
         pieces.clear()
         place = None
 
@@ -134,17 +161,21 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[index][0] in _SCOPES:
                     break
-        names, shown = set(), ""
+        names, classes, role, shown = set(), set(), set(), ""
         if "=" in mark[3]:
             for kind, value in _ATTRIBUTE.findall(mark[3]):
                 value = value.strip("\"'").lower()
                 # camelCase and digits part words too
-                names.update(_NAME_WORDS.findall(value))
-                if kind.lower() == "class":
+                if kind.lower() != "id" or tag not in _HEADINGS:
+                    names.update(_NAME_WORDS.findall(value))
+                if kind.lower() == "role":
+                    role.update(value.split())
+                elif kind.lower() == "class":
+                    classes.update(value.split())
                     shown = "." + re.sub(r"\d+", "0", value.replace(" ", ".").replace("/", "."))
-        outside = (bool(stack) and stack[-1][2]) or tag in _OUTSIDE_TAGS or tag == "head" or (
-            tag not in ("html", "body", "article", "main") and not names.isdisjoint(_OUTSIDE_NAMES))
-        stack.append((tag, tag + shown, outside))
+        in_article = any(above in ("article", "main") for above, _, _ in stack)
+        own = _kind(tag, in_article, classes, role, names)
+        stack.append((tag, tag + shown, max(own, stack[-1][2] if stack else _CONTENT)))
     flush()
     return found
 
@@ -161,6 +192,7 @@ def select(found: list[Block]) -> list[Block]:
     along = np.empty((2, len(found)))
     for members in by_path.values():
         along[0, members], along[1, members] = letters[members].mean(), marks[members].mean()
+    own = along[0] * (1 + along[1])  # what a path's own blocks say, without their neighbours
     weights = np.convolve(np.ones(len(found)), _SMOOTH, "same") if len(found) >= len(_SMOOTH) else None
     if weights is not None:
         along = np.stack([np.convolve(a, _SMOOTH, "same") / weights for a in along])
@@ -173,11 +205,11 @@ def select(found: list[Block]) -> list[Block]:
     best = max(inside, key=lambda p: (value[p] * len(by_path[p]), p))
     content = {p for p in inside if value[p] >= least and value[p] >= 0.1 * value[best]} | {best}
     # what stands in the container of the best path belongs to it, however short
-    container = found[by_path[best][0]].container
+    container = _article(found[by_path[best][0]].container)
     around = container + "/" if container.rpartition("/")[2] not in ("", "html", "body") else None
     chosen = []
-    for block in found:
-        if block.outside:
+    for block, ratio in zip(found, own, strict=True):
+        if block.outside or (block.kind == _DOUBTFUL and ratio < least):
             continue
         if around is not None:
             if block.path.startswith(around) or (block.path in content and not _parted(block.path, container)):
@@ -187,6 +219,13 @@ def select(found: list[Block]) -> list[Block]:
     return chosen
 
 
+def _article(container: str) -> str:
+    """The innermost article or main element of a path, whose sections are one text; the path itself if it has none."""
+    steps = container.split("/")
+    ends = [at for at, step in enumerate(steps, 1) if step.partition(".")[0] in ("article", "main")]
+    return "/".join(steps[:ends[-1]]) if ends else container
+
+
 def _parted(path: str, container: str) -> bool:
     """Whether an article or main element holds one of the two and not the other."""
     kinds = [{step.partition(".")[0] for step in p.split("/")} & {"article", "main"} for p in (path, container)]

@@ -47,6 +47,18 @@ def test_nothing_of_an_article_is_lost():
         assert main_text(page(body)) == "\n".join(" ".join(t.split()) for t in texts)
 
 
+def test_names_inside_an_article_do_not_drop_its_text():
+    body = f"""<nav><a href=/>x</a></nav><article><h1 id="notice">Title</h1><p>{LONG}</p><h2 id="related-work">Related work</h2>
+    <p class="form-text">{LONG} One.</p><section id="legal-history"><h2 id="search">Search</h2><p>{LONG} Two.</p></section>
+    <figure><img src=a><figcaption>A figure, shown.</figcaption></figure><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p>
+    <object data=a><p>Instead, this.</p></object><div class="share"><p>{LONG}</p></div><div role="note complementary"><p>{LONG}</p></div>
+    <div class="share-buttons"><a href=/s>Post</a></div></article>"""
+    assert main_text(page(body)) == "\n".join([
+        "Title", LONG, "Related work", LONG + " One.", "Search", LONG + " Two.", "A figure, shown.", "So x=1 holds.", "Instead, this."])
+    paragraphs = "".join(f"<p>{LONG}</p>" for _ in range(5))
+    assert "Copyright law" in main_text(page(f"<div class=text><h2 id=copyright-law>Copyright law</h2>{paragraphs}</div>"))
+
+
 def test_table_of_pages(spark):
     long = page("<article><p>" + "word, " * 100_000 + "</p></article>")
     rows = [(1, "u", page(f"<article><p>{LONG}</p></article>"), "t"), (1, "u", None, "t"), (None, None, "", "t"), (2, "u", long, "t")]
