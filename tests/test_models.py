@@ -161,17 +161,15 @@ def test_stream_scoring_logs_and_rejects(spark, three, tmp_path):
     assert rows(spark.read.parquet(bad).select("id", "reason")) == [(0, "missing: b"), (10, "missing: b"), (20, "missing: b")]
 
 
-def test_svm_fits_on_overlapping_rows_stop_by_tolerance(spark):
+def test_svm_fits_on_overlapping_rows_go_on(spark):
     rng = np.random.default_rng(5)
     label = rng.integers(0, 2, 600)
     xy = rng.normal(0, 1, (600, 2)) + 0.4 * label[:, None]
     data = [(i, float(x), float(y), float(c)) for i, ((x, y), c) in enumerate(zip(xy, label, strict=True))]
-    df = spark.createDataFrame(data, "k long, a double, b double, label_index double").persist()
-    search = training.grid_search_rbf(df, NAMES, "k", costs=(1.0,), gammas=(1.0,), folds=2)
-    models = [training.train_rbf_svm(df, NAMES, gamma=1.0), training.train_linear_svm(df, NAMES), search.bestModel]
-    steps = [next(s for s in m.stages if type(s).__name__ == "LinearSVCModel").summary().totalIterations for m in models]
-    assert steps[0] > 10 and steps[2] > 10
-    assert all(n < training.SVM_STEPS for n in steps), steps
+    df = spark.createDataFrame(data, "k long, a double, b double, label_index double")
+    model = training.train_rbf_svm(df, NAMES, gamma=1.0, components=16)
+    svm = next(s for s in model.stages if type(s).__name__ == "LinearSVCModel")
+    assert svm.getMaxIter() == training.SVM_STEPS and svm.summary().totalIterations > 10
 
 
 @pytest.mark.parametrize("query", [model_queries.registry_flow, stream_queries.stream_score])
