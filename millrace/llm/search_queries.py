@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.alignment import align_documents
 from millrace.llm.lexical import search_ranked
 from millrace.llm.queries import query, table
 
@@ -31,3 +33,10 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 2
 @query("op12_lexical_search", _LEXICAL_SQL)
 def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"))
