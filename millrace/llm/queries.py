@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("text_queries", "vector_queries", "page_queries", "search_queries")
+_MODULES = ("text_queries", "vector_queries", "page_queries", "search_queries", "language_queries")
 
 
 def query(name: str, sql: str | None = None):
