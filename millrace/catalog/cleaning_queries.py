@@ -104,6 +104,17 @@ def clip_bounds(spark, sf_dir):
     return cleaning.clip_large(rows, ["large", "small"])[0]
 
 
+@query("clip_missing", """
+    SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN NULL
+        ELSE least(greatest(c_acctbal * 1e7, -1e10), 1e10) END AS large FROM customer""")
+def clip_missing(spark, sf_dir):
+    """NaN and NULL are neither clipped nor do they hide the largest value."""
+    part = F.col("c_custkey") % 5
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(part == 0, F.lit(float("nan"))).when(part != 1, F.col("c_acctbal") * 1e7).alias("large"))
+    return cleaning.clip_large(rows, ["large"])[0]
+
+
 @query("max_abs", "SELECT max(abs(c_acctbal)) AS c_acctbal, max(abs(c_nationkey)) AS c_nationkey FROM customer")
 def max_abs(spark, sf_dir):
     return cleaning.max_abs(table(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey"])

@@ -102,8 +102,8 @@ def infinite_to_zero(col: Column) -> Column:
 
 
 def clip(col: Column, bound: float = CLIP_BOUND) -> Column:
-    """Limit to [-bound, bound]; NULL stays NULL."""
-    return F.when(col > bound, F.lit(bound)).when(col < -bound, F.lit(-bound)).otherwise(col)
+    """Limit to [-bound, bound]; NULL stays NULL and NaN, which compares as the largest number, NaN."""
+    return F.when((col > bound) & ~F.isnan(col), F.lit(bound)).when(col < -bound, F.lit(-bound)).otherwise(col)
 
 
 def clip_large(df: DataFrame, names: Iterable[str], bound: float = CLIP_BOUND) -> tuple[DataFrame, dict[str, float]]:

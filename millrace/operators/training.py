@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import q
+from millrace.operators import landmarks
 from millrace.operators.evaluating import binary_metrics, roc_auc
 from millrace.operators.sampling import kfold, stratified_split
 
@@ -177,29 +178,35 @@ def grid_search_rbf(
     costs: Sequence[float] = (1.0, 10.0),
     gammas: Sequence[str | float] = ("scale", "auto"),
     folds: int = 5,
-    components: int = RBF_COMPONENTS,
+    components: int = landmarks.LANDMARKS,
     n_classes: int = 2,
-    parallelism: int = 4,
     seed: int = 42,
-    max_iter: int = SVM_STEPS,
-) -> CrossValidatorModel:
+) -> landmarks.Search:
     """Stratified k-fold search over cost and gamma by accuracy.
 
-    Candidates differ in the projection statement (gamma) and the regularisation (cost).
+    All candidates and folds, and each candidate's model of all rows, are solved in the same passes over the rows.
     """
     found = moments(df, names)
-    n = max(found.rows, 1)
-    svc = LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, tol=TOLERANCE)
-    last: Estimator = svc if n_classes == 2 else OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
-    mapped = SQLTransformer()
-    cells = VectorAssembler(inputCols=[f"rbf_{j}" for j in range(components)], outputCol=FEATURES)
-    statements = [rbf_statement(names, rbf_gamma(found, g), components, seed) for g in gammas]
-    grid = ParamGridBuilder().addGrid(mapped.statement, statements)
-    if n_classes == 2:
-        grid = grid.addGrid(svc.regParam, [1.0 / (c * n) for c in costs])
-    else:
-        grid = grid.addGrid(last.classifier, [svc.copy({svc.regParam: 1.0 / (c * n)}) for c in costs])
-    return _cross_validate(df, Pipeline(stages=[mapped, cells, last]), grid.build(), names, key, label, folds, parallelism, seed)
+    narrow = df.select(*[q(c) for c in dict.fromkeys((*names, key, label))])
+    folded = kfold(narrow, key, label, folds, seed, "fold")
+    values = [(g, rbf_gamma(found, g)) for g in gammas]
+    return landmarks.search(folded, names, label, "fold", costs, values, folds, n_classes, components, seed)
+
+
+def train_landmark_svm(
+    df: DataFrame, names: Sequence[str], label: str = LABEL, c: float = 1.0, gamma: str | float = "scale",
+    components: int = landmarks.LANDMARKS, n_classes: int = 2, seed: int = 42,
+) -> PipelineModel:
+    """SVM with RBF kernel on landmarks, by a few Newton passes; of two classes with a probability."""
+    found = moments(df, names)
+    svm, _ = landmarks.train(df, names, label, c, rbf_gamma(found, gamma), n_classes, components, seed)
+    if n_classes != 2:
+        return svm
+    margin = VectorAssembler(inputCols=["svm_margin"], outputCol="svm_margin_cell")
+    proba = LogisticRegression(featuresCol="svm_margin_cell", labelCol=label, maxIter=20, tol=TOLERANCE, predictionCol="by_probability")
+    rows = svm.transform(df.select(*[q(x) for x in dict.fromkeys((*names, label))]))
+    fitted = Pipeline(stages=[margin, proba]).fit(rows)
+    return PipelineModel([*svm.stages, *fitted.stages])
 
 
 def grid_search_linear(
