@@ -10,15 +10,21 @@ clusters spread over all shards. A shard's distinct vectors become a graph:
   vector by the factor `ALPHA`, and goes on with the next: few edges, in different directions;
 * edges are added in reverse, and vectors with too many are pruned again.
 
-Every query is searched in every shard; the exact distances, in double precision on the
+Every query is searched in every shard; the distances of all nodes of its beam, in double precision on the
 original vectors, decide the order. Queries stream past a shard in blocks. The graph holds
 every row: copies share a node, which keeps the ids that can be among the nearest.
 
+Searches work in double precision on rows less their median. Rows with components beyond `HUGE`, whose squares
+have no number, are scanned beside the graph. Where a search has too few digits to go by, the query meets all
+rows of the shard: if it is so far from them that they can hardly be told apart (`FAR` times their median
+distance from their centre), or if its k-th neighbour comes out nearer than `NOISE` times its own length.
+
 Defined cases
   * vectors that are null, empty or all zero, hold null or non-finite components, or have another
     length than most take no part, neither as queries nor as candidates;
   * repeated rows are candidates of their own; ties go to the smaller id, nulls last;
-  * fewer candidates than asked for: all of them; no rows or no queries: no rows.
+  * fewer candidates than asked for: all of them; no rows or no queries: no rows;
+  * a distance beyond the largest number is infinite.
 """
 
 from __future__ import annotations
@@ -38,19 +44,34 @@ DEGREE = 32
 ALPHA = 1.2
 BUILD_BEAM = 64
 SEARCH_BEAM = 160
+HUGE = 1e100
+FAR = 1e6
+NOISE = 1e-6
 _WIDTH = 4
 _BATCH = 256
 _ENTRIES = 8
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision; scaled where squares would leave the range of numbers."""
+    with np.errstate(over="ignore"):
+        gaps = vectors - query
+        found = np.sqrt((gaps * gaps).sum(axis=1))
+        odd = ~((found > 1e-140) & (found < 1e140))
+        if odd.any():
+            most = np.abs(gaps[odd]).max(axis=1)
+            scale = np.where((most > 0) & np.isfinite(most), most, 1.0)
+            found[odd] = scale * np.sqrt(((gaps[odd] / scale[:, None]) ** 2).sum(axis=1))
+    return found
+
+
 class ShardGraph:
-    """The graph over the rows of `vectors`."""
+    """The graph over the rows of `vectors`, none of them with components beyond `HUGE`."""
 
     def __init__(self, vectors: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam: int = BUILD_BEAM, seed: int = 7):
-        # scaled by the largest component, so that squares stay within single precision
-        self.scale = float(np.abs(vectors).max(initial=0)) or 1.0
-        self.x = (vectors / self.scale).astype(np.float32)
-        self.squares = (self.x * self.x).sum(axis=1)
+        self.middle = np.median(vectors, axis=0)
+        self.x = vectors - self.middle
+        self.squares = np.einsum("ij,ij->i", self.x, self.x)
         n = len(self.x)
         self.degree, self.alpha = min(degree, max(1, n - 1)), alpha
         draw = np.random.default_rng(seed)
@@ -67,7 +88,7 @@ class ShardGraph:
         rows = np.arange(b)[:, None]
         seen = np.zeros((b, len(self.x)), bool)
         ids = np.full((b, beam), -1, np.int64)
-        near = np.full((b, beam), np.inf, np.float32)
+        near = np.full((b, beam), np.inf)
         open_ = np.zeros((b, beam), bool)
         fresh = np.broadcast_to(np.sort(self.entries), (b, len(self.entries)))
         while True:
@@ -94,13 +115,14 @@ class ShardGraph:
         """The edges that robust pruning leaves of each node's candidates (-1: none)."""
         candidates = np.sort(np.where(candidates == nodes[:, None], -1, candidates), axis=1)
         candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = -1
-        x = self.x[candidates]
-        far = self.squares[candidates] - 2 * np.matmul(x, self.x[nodes][:, :, None])[:, :, 0] + self.squares[nodes][:, None]
-        far = np.where(candidates >= 0, np.maximum(far, 0), np.inf)
+        # as seen from the node, so that what is near has small numbers
+        x = self.x[candidates] - self.x[nodes][:, None, :]
+        far = np.where(candidates >= 0, np.einsum("ijk,ijk->ij", x, x), np.inf)
         order = np.argsort(far, axis=1)[:, :4 * self.degree]
         candidates, far = np.take_along_axis(candidates, order, 1), np.take_along_axis(far, order, 1)
-        x = self.x[candidates]
-        between = self.squares[candidates][:, :, None] + self.squares[candidates][:, None, :] - 2 * np.matmul(x, x.transpose(0, 2, 1))
+        x = np.take_along_axis(x, order[:, :, None], 1)
+        squares = np.einsum("ijk,ijk->ij", x, x)
+        between = squares[:, :, None] + squares[:, None, :] - 2 * np.matmul(x, x.transpose(0, 2, 1))
         rows, alive = np.arange(len(nodes)), np.isfinite(far)
         edges = np.full((len(nodes), self.degree), -1, np.int64)
         for k in range(self.degree):
@@ -134,9 +156,8 @@ class ShardGraph:
             self.edges[own] = np.where(kept >= 0, kept, own[:, None])
 
     def nearest(self, queries: np.ndarray, beam: int) -> np.ndarray:
-        """Nodes near each query, nearest first as far as single precision tells; -1: none."""
-        ids, near = self._search((queries / self.scale).astype(np.float32), min(beam, len(self.x)))
-        return np.take_along_axis(ids, np.argsort(near, axis=1), 1)
+        """Nodes near each query, in no order; -1: none."""
+        return self._search(queries - self.middle, min(beam, len(self.x)))[0]
 
 
 class _Shard:
@@ -159,15 +180,35 @@ class _Shard:
             members = self.members[node.ravel()[at]]
             if len(members) <= self.k:
                 members.append((int(rows[at]), ids[at]))
-        self.graph = ShardGraph(self.vectors)
+        huge = np.abs(self.vectors).max(axis=1) > HUGE
+        self.scanned, self.drawn = np.flatnonzero(huge), np.flatnonzero(~huge)
+        self.graph = None
+        if len(self.drawn):
+            self.graph = ShardGraph(self.vectors[self.drawn])
+            self.reach = FAR * max(float(np.median(np.sqrt(self.graph.squares))), np.finfo(float).tiny)
 
     def answer(self, rows: np.ndarray, queries: np.ndarray) -> Iterator[tuple]:
         """(query row, id, score) of the best of this shard for each query."""
-        found = self.graph.nearest(queries, max(self.beam, 2 * self.k))
-        for row, query, nodes in zip(rows.tolist(), queries.astype(np.float64), found, strict=True):
-            nodes = nodes[nodes >= 0][:4 * (self.k + 1)]
-            gaps = self.vectors[nodes] - query
-            scores = np.sqrt((gaps * gaps).sum(axis=1))
+        queries = queries.astype(np.float64)
+        everything = np.arange(len(self.vectors))
+        near, length = np.zeros(len(queries), bool), np.zeros(len(queries))
+        if self.graph is not None:
+            length = distances(queries, self.graph.middle)
+            near = (np.abs(queries).max(axis=1) <= HUGE) & (length <= self.reach)
+        found = iter(self.graph.nearest(queries[near], max(self.beam, 2 * self.k)) if near.any() else ())
+        for row, query, by_graph, size in zip(rows.tolist(), queries, near.tolist(), length.tolist(), strict=True):
+            if by_graph:
+                nodes = next(found)
+                nodes = np.concatenate([self.drawn[nodes[nodes >= 0]], self.scanned])
+            else:
+                nodes = everything
+            scores = distances(self.vectors[nodes], query)
+            if by_graph and np.partition(scores, min(self.k, len(scores) - 1))[min(self.k, len(scores) - 1)] < NOISE * size:
+                nodes, scores = everything, distances(self.vectors, query)
+            if len(nodes) > 4 * (self.k + 1):
+                # all that can be among the nearest k and the query's own row, ties included
+                some = scores <= np.partition(scores, self.k)[self.k]
+                nodes, scores = nodes[some], scores[some]
             hits = [(s, i is None, i) for s, n in zip(scores.tolist(), nodes, strict=True)
                     for r, i in self.members[n] if r != row]
             for score, _, i in sorted(hits)[:self.k]:

@@ -103,3 +103,30 @@ def test_odd_neighbours(spark):
     assert search_neighbours(table(spark, rows[:1]), F.col("vec_id") == 0).collect() == []
     assert search_neighbours(table(spark, []), F.lit(True)).collect() == []
     assert search_neighbours(table(spark, rows), F.lit(False)).collect() == []
+
+
+@pytest.mark.parametrize(("kind", "shard"), [("far row", 4096), ("tight", 4096), ("tighter", 4096), ("huge", 4096), ("several shards", 1024)])
+def test_recall_on_hard_rows(spark, kind, shard):
+    """4 096 vectors of 64 dimensions, of which some would cost a search its digits."""
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(4096, 64))
+    if kind == "far row":
+        x[77] = 1e30
+    elif kind == "tight":
+        x[:200] = x[0] + draw.normal(size=(200, 64)) * 1e-6
+    elif kind == "tighter":
+        x[:1000] = x[0] + draw.normal(size=(1000, 64)) * 1e-9
+    elif kind == "huge":
+        x[100], x[5] = 1e200, -1e160
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    found = search_neighbours(table(spark, rows), F.col("vec_id") % 100 == 0, shard=shard).collect()
+    hits = 0
+    for at in range(0, 4096, 100):
+        with np.errstate(over="ignore"):
+            scale = max(1.0, np.abs(x - x[at]).max(initial=0))
+            gaps = np.abs((x - x[at]) / (scale if scale > 1e100 else 1.0))
+        far = np.sqrt((gaps * gaps).sum(axis=1))
+        far[at] = np.inf
+        want = set(np.lexsort((np.arange(4096), far))[:10].tolist())
+        hits += len(want & {r.vec_id for r in found if r.query_id == at})
+    assert hits >= 0.95 * 410
