@@ -50,6 +50,11 @@ def _angles(products: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(products, -1.0, 1.0))
 
 
+def unit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors, never below the true ones: products are off by far less than what is added."""
+    return np.sqrt(np.maximum(2 - 2 * a @ b.T, 0) + 1e-12)
+
+
 def _homes(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,8 +77,8 @@ def _visits(homes: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, fl
     targets = np.repeat(np.arange(len(known)), chunks)
     numbers = np.concatenate([np.arange(n) for n in chunks])
     chord = 2 * np.sin(reach / 2) + 1e-9
-    at = np.full(len(pivots), -1)
-    at[known] = np.arange(len(known))
+    # pivots x known pivots, worked out once: a batch picks the rows of its homes
+    between = unit_distances(pivots, pivots[known])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -83,8 +88,7 @@ def _visits(homes: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, fl
                 angles = _angles(products[:, known])
                 home = batch.column("cell").to_numpy()
                 own = products[np.arange(len(home)), home][:, None]
-                apart = np.linalg.norm(pivots[home][:, None, :] - pivots[known][None, :, :], axis=2)
-                open_to = (own - products[:, known] <= chord * apart + 1e-9)
+                open_to = (own - products[:, known] <= chord * between[home] + 1e-9)
                 open_to &= (angles >= low - reach - 1e-9) & (angles <= high + reach + 1e-9)
                 rows, slots = np.nonzero(open_to[:, targets])
                 cell, chunk = np.array(known)[targets[slots]], numbers[slots]
