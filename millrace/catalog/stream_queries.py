@@ -9,7 +9,7 @@ from millrace.catalog.model_queries import CLASSES, INPUTS, NAMED, rule_orders
 from millrace.operators import training, validating
 from millrace.session import scratch_path
 from millrace.sources import batches
-from millrace.streaming import ingest, scoring, throttle, traffic
+from millrace.streaming import ingest, merge, scoring, throttle, traffic
 
 BOUNDS = (1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0)
 
@@ -20,23 +20,21 @@ def stream_of(spark, sf_dir, name):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def drain(spark, df, label, mode="append"):
-    """Run the stream over the present data and read its output table.
-
-    In append mode the file sink commits each batch once; in complete mode every
-    batch replaces the table.
-    """
+def drain(spark, df, label):
+    """Run the stream over the present data and read its output table; the file sink commits each batch once."""
     target, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-progress")
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if mode == "append":
-        writer = writer.format("parquet").option("path", target)
-    else:
-        writer = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(target))
-    running = writer.start()
-    running.awaitTermination()
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.format("parquet").option("path", target).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(target)
 
 
+def drain_updates(spark, df, keys, label):
+    """The same for an aggregate whose groups change with every batch."""
+    target = scratch_path(spark, label)
+    merge.write_updates(df, target, scratch_path(spark, f"{label}-progress")).awaitTermination()
+    return merge.read_merged(spark, df, keys, target)
+
+
 @query("stream_ingest", """
     SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderkey // 1000 AS INTEGER) AS batch_number FROM orders""")
 def stream_ingest(spark, sf_dir):
@@ -71,7 +69,8 @@ def stream_throttle(spark, sf_dir):
     SELECT CAST(floor(epoch(ts) / 10) * 10 AS BIGINT) AS window_start, event_type, count(*) AS n_requests, count(*) / 10.0::DOUBLE AS rate
     FROM events GROUP BY 1, 2""")
 def stream_request_rate(spark, sf_dir):
-    rates = drain(spark, traffic.request_rate(stream_of(spark, sf_dir, "events"), "ts", ["event_type"]), "rate", "complete")
+    rates = traffic.request_rate(stream_of(spark, sf_dir, "events"), "ts", ["event_type"])
+    rates = drain_updates(spark, rates, ["window_start", "event_type"], "rate")
     return rates.withColumn("window_start", F.unix_timestamp("window_start"))
 
 
@@ -105,7 +104,7 @@ def latency_totals(spark, sf_dir):
 @query("stream_latency", _buckets_sql("CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS window_start", "events"))
 def stream_latency(spark, sf_dir):
     wide = traffic.latency_histogram(stream_of(spark, sf_dir, "events"), "value", "ts", 3600, bounds=BOUNDS)
-    long = traffic.histogram_long(drain(spark, wide, "latency", "complete"), ["window_start"], BOUNDS)
+    long = traffic.histogram_long(drain_updates(spark, wide, ["window_start"], "latency"), ["window_start"], BOUNDS)
     return long.withColumn("window_start", F.unix_timestamp("window_start"))
 
 
@@ -117,6 +116,16 @@ def outcome_summary(spark, sf_dir):
     return out.withColumns({c: rounded(c, 4) for c in ("mean_duration", "p95_duration")})
 
 
+@query("outcome_by_user", """
+    SELECT CAST(user_id AS VARCHAR) AS status, count(*) AS n, round(quantile_cont(value, 0.95), 4) + 0.0 AS p95_duration
+    FROM events GROUP BY user_id""")
+def outcome_by_user(spark, sf_dir):
+    """As many groups as users."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("user"), "value")
+    out = traffic.outcome_summary(rows, "user", "value")
+    return out.select("status", "n", rounded("p95_duration", 4).alias("p95_duration"))
+
+
 @query("stream_score", f"""
     SELECT o_orderkey AS id, 'forest' AS model_name, CASE WHEN o_orderstatus <> 'F' THEN {NAMED} END AS label,
         CASE WHEN o_orderstatus = 'F' THEN 'missing: year' END AS reason FROM orders""")

@@ -68,6 +68,18 @@ def validate_serving(spark, sf_dir):
     return validating.anomalies(orders.drop("o_orderstatus"), validating.load_constraints(spark, path), validating.SERVING)
 
 
+@query("validate_long_domain", """
+    SELECT 'o_clerk' AS feature, 'unexpected_value' AS kind, count(*) AS n FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) HAVING count(*) > 0""")
+def validate_long_domain(spark, sf_dir):
+    """A domain of more values than a constraint lists is stored with it, kept when it is saved, and checked."""
+    known = table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("o_clerk"))
+    path = scratch_path(spark, "constraints")
+    validating.save_constraints(spark, validating.infer_constraints(known, listed_values=10), path)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("o_clerk"))
+    return validating.anomalies(orders, validating.load_constraints(spark, path))
+
+
 @query("unexpected_values", """
     SELECT CAST(o_custkey AS VARCHAR) AS value, count(*) AS n FROM orders
     WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey""")

@@ -2,11 +2,12 @@
 
 A constraint table has one row per feature:
 feature, type (INT / FLOAT / BYTES), min_fraction, min_count, int_min, int_max,
-enum (array), not_in_env (array).
+enum (array), not_in_env (array), values_path (a stored table of the values of a longer domain).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -16,10 +17,10 @@ from pyspark.sql import types as T
 
 from millrace.functions.cleaning import is_missing, q
 from millrace.operators.encoding import value_counts_long
-from millrace.session import materialise
+from millrace.session import materialise, scratch_path
 
 TRAINING, SERVING = "TRAINING", "SERVING"
-# Values that a constraint lists itself; a longer domain is a table (`infer_domains`).
+# Values that a constraint lists itself; a longer domain is a stored table that the constraint names.
 DOMAIN_VALUES = 400
 
 CONSTRAINT_SCHEMA = T.StructType([
@@ -27,7 +28,9 @@ CONSTRAINT_SCHEMA = T.StructType([
     T.StructField("min_fraction", T.DoubleType()), T.StructField("min_count", T.LongType()),
     T.StructField("int_min", T.LongType()), T.StructField("int_max", T.LongType()),
     T.StructField("enum", T.ArrayType(T.StringType())), T.StructField("not_in_env", T.ArrayType(T.StringType())),
+    T.StructField("values_path", T.StringType()),
 ])
+DOMAIN_SCHEMA = "feature string, value string"
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,7 @@ class Constraint:
     int_max: int | None = None
     enum: tuple[str, ...] | None = None
     not_in_env: tuple[str, ...] = ()
+    values_path: str | None = None
 
 
 def kind_of(dtype: T.DataType) -> str:
@@ -66,9 +70,10 @@ def infer_domains(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
 def infer_constraints(
     df: DataFrame, names: Sequence[str] | None = None, listed_values: int = DOMAIN_VALUES
 ) -> list[Constraint]:
-    """Types, presence and, for text with at most `listed_values` distinct values, the observed values.
+    """Types, presence and, for text, the observed values.
 
-    Longer domains come from `infer_domains`.
+    Up to `listed_values` distinct values are listed in the constraint; more are a stored table of any size that
+    it names, which `anomalies` checks by an anti join. Either way a new value is found.
     """
     names = list(names if names is not None else df.columns)
     present = df.agg(
@@ -76,10 +81,17 @@ def infer_constraints(
     ).first()
     text = _text_columns(df, names)
     domains: dict[str, tuple[str, ...]] = {}
+    stored: dict[str, str] = {}
     if text:
         counts = materialise(value_counts_long(df, text), "value-counts")
         sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-        short = [r["column"] for r in sizes.filter(F.col("n_values") <= listed_values).collect()]
+        sized = {r["column"]: r["n_values"] for r in sizes.collect()}  # one row for each column
+        short = [c for c in text if 0 < sized.get(c, 0) <= listed_values]
+        long = [c for c in text if sized.get(c, 0) > listed_values]
+        if long:
+            path = scratch_path(df.sparkSession, "domains")
+            _store_domains(counts.filter(F.col("column").isin(long)).select(F.col("column").alias("feature"), "value"), path)
+            stored = dict.fromkeys(long, path)
         if short:
             listed = counts.filter(F.col("column").isin(short)).groupBy("column").agg(
                 F.sort_array(F.collect_list("value")).alias("v"))
@@ -88,19 +100,31 @@ def infer_constraints(
         Constraint(
             c, kind_of(df.schema[c].dataType),
             min_fraction=1.0 if present["n"] and present[f"k{i}"] == present["n"] else None,
-            enum=domains.get(c),
+            enum=domains.get(c), values_path=stored.get(c),
         )
         for i, c in enumerate(names)
     ]
 
 
+def _store_domains(values: DataFrame, path: str) -> None:
+    """One folder for each feature, so that a check reads its own values only."""
+    values.withColumn("name", F.col("feature")).write.mode("overwrite").partitionBy("name").parquet(path)
+
+
+def stored_domain(spark: SparkSession, constraint: Constraint) -> DataFrame:
+    """(feature, value) of a constraint whose values are stored."""
+    found = spark.read.schema(f"{DOMAIN_SCHEMA}, name string").parquet(constraint.values_path)
+    return found.filter(F.col("name") == constraint.feature).select("feature", "value")
+
+
 def curate(constraints: Sequence[Constraint], changes: Mapping[str, Mapping]) -> list[Constraint]:
-    """Replace fields of single constraints, e.g. an int range, a type or an enum."""
+    """Replace fields of single constraints, e.g. an int range, a type or an enum; a new enum replaces stored values."""
     known = {c.feature for c in constraints}
     unknown = [f for f in changes if f not in known]
     if unknown:
         raise ValueError(f"no constraint for: {', '.join(unknown)}")
-    return [replace(c, **changes.get(c.feature, {})) for c in constraints]
+    changed = ((c, changes.get(c.feature, {})) for c in constraints)
+    return [replace(c, **({"values_path": None} if "enum" in new else {}), **new) for c, new in changed]
 
 
 def constraint_table(spark: SparkSession, constraints: Sequence[Constraint]) -> DataFrame:
@@ -108,7 +132,7 @@ def constraint_table(spark: SparkSession, constraints: Sequence[Constraint]) ->
         [
             (
                 c.feature, c.type, c.min_fraction, c.min_count, c.int_min, c.int_max,
-                list(c.enum) if c.enum is not None else None, list(c.not_in_env),
+                list(c.enum) if c.enum is not None else None, list(c.not_in_env), c.values_path,
             )
             for c in constraints
         ],
@@ -117,6 +141,15 @@ def constraint_table(spark: SparkSession, constraints: Sequence[Constraint]) ->
 
 
 def save_constraints(spark: SparkSession, constraints: Sequence[Constraint], path: str) -> None:
+    """The constraints as JSON, and their stored values beside them."""
+    stored = [c for c in constraints if c.values_path is not None]
+    if stored:
+        values = stored_domain(spark, stored[0])
+        for c in stored[1:]:
+            values = values.unionByName(stored_domain(spark, c))
+        beside = f"{path.rstrip('/')}-values-{uuid.uuid4().hex}"  # a new folder: what is saved may be what is read
+        _store_domains(values, beside)
+        constraints = [replace(c, values_path=beside) if c.values_path is not None else c for c in constraints]
     constraint_table(spark, constraints).coalesce(1).write.mode("overwrite").json(path)
 
 
@@ -126,7 +159,7 @@ def load_constraints(spark: SparkSession, path: str) -> list[Constraint]:
     return [
         Constraint(
             r["feature"], r["type"], r["min_fraction"], r["min_count"], r["int_min"], r["int_max"],
-            tuple(r["enum"]) if r["enum"] is not None else None, tuple(r["not_in_env"] or ()),
+            tuple(r["enum"]) if r["enum"] is not None else None, tuple(r["not_in_env"] or ()), r["values_path"],
         )
         for r in rows
     ]
@@ -163,7 +196,8 @@ def anomalies(
 ) -> DataFrame:
     """(feature, kind, n): violations of the constraints; no rows means valid.
 
-    `domains` is a table (feature, value); features whose constraint lists no values are checked against it.
+    Features whose constraint names stored values are checked against these; `domains`, a table (feature, value),
+    adds values for features whose constraint has none.
 
     kind: missing_column, wrong_type, low_presence, out_of_range, unexpected_value,
     unexpected_column. All counts come from one aggregate over the table.
@@ -201,9 +235,13 @@ def anomalies(
         return df.sparkSession.createDataFrame([], "feature string, kind string, n bigint")
     wide = df.agg(F.count(F.lit(1)).alias("rows"), *[col.alias(f"x{i}") for i, (_, _, col) in enumerate(checks)])
     found = wide.select(F.explode(F.array(*cells)).alias("a")).select("a.*").filter("n > 0")
-    unlisted = [c.feature for c in applied if c.feature in have and c.enum is None]
-    if domains is None or not unlisted:
+    unlisted = [c.feature for c in applied if c.feature in have and c.enum is None and (domains is not None or c.values_path)]
+    if not unlisted:
         return found
+    for c in applied:
+        if c.feature in unlisted and c.values_path is not None:
+            own = stored_domain(df.sparkSession, c)
+            domains = own if domains is None else domains.select("feature", "value").filter(F.col("feature") != c.feature).unionByName(own)
     counts = value_counts_long(df, unlisted).withColumnRenamed("column", "feature")
     counts = counts.join(domains.select("feature").distinct(), "feature", "left_semi")
     outside = counts.join(domains.select("feature", "value").distinct(), ["feature", "value"], "left_anti")
