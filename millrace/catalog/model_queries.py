@@ -135,6 +135,18 @@ NAMED = f"CASE {MIDDLE} WHEN 1 THEN 'YES' ELSE 'NO' END"
 CLASSES = {0: "NO", 1: "YES"}
 
 
+@query("model_inputs", f"""
+    WITH first AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1)
+    SELECT 0 AS position, 'code' AS name, 'int' AS type, CAST({CODE} AS VARCHAR) AS example FROM first
+    UNION ALL SELECT 1, 'year', 'int', CAST(year(o_orderdate) AS VARCHAR) FROM first""")
+def model_inputs(spark, sf_dir):
+    """What a stored model expects, kept beside it."""
+    path = scratch_path(spark, "inputs")
+    training.save_inputs(rule_orders(spark, sf_dir), INPUTS, "o_orderkey", path)
+    cells = [(i, *cell) for i, cell in enumerate(training.load_inputs(spark, path))]
+    return spark.createDataFrame(cells, "position int, name string, type string, example string")
+
+
 @query("score_batch", f"SELECT o_orderkey, {NAMED} AS predicted FROM orders")
 def score_batch(spark, sf_dir):
     rows = rule_orders(spark, sf_dir)

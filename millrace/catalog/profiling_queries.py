@@ -99,6 +99,23 @@ def feature_stats(spark, sf_dir):
     return _round(profiling.feature_stats(gaps(spark, sf_dir)))
 
 
+def _split_stats(c, kind):
+    return _numeric_stats(c, kind).replace("SELECT ", "SELECT CAST(o_orderkey % 3 AS INTEGER) AS split, ", 1) + " GROUP BY 1"
+
+
+@query("feature_stats_split", f"""
+    WITH {GAPS}, counts AS (SELECT o_orderkey % 3 AS split, priority AS top, count(*) AS top_freq FROM gaps WHERE priority IS NOT NULL GROUP BY ALL),
+        tops AS (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY split ORDER BY top_freq DESC, top) = 1)
+    {_split_stats('o_orderkey', 'INT')} UNION ALL {_split_stats('price', 'FLOAT')} UNION ALL {_split_stats('customer', 'INT')}
+    UNION ALL SELECT CAST(o_orderkey % 3 AS INTEGER), 'priority', 'BYTES', count(*), count(*) - count(priority), NULL, NULL, NULL, NULL, NULL, NULL,
+        count(DISTINCT priority), any_value(tops.top), any_value(tops.top_freq), round(avg(length(priority)), 4)
+    FROM gaps JOIN tops ON tops.split = o_orderkey % 3 GROUP BY 1""")
+def feature_stats_split(spark, sf_dir):
+    """Statistics of each of three splits."""
+    rows = gaps(spark, sf_dir).withColumn("split", (F.col("o_orderkey") % 3).cast("int"))
+    return _round(profiling.feature_stats_by(rows, "split"))
+
+
 @query("value_histogram", """
     SELECT CAST(least(floor(value / 50), 10) + 1 AS BIGINT) AS bin, count(*) AS n FROM events GROUP BY 1""")
 def value_histogram(spark, sf_dir):

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from millrace.functions.cleaning import is_missing, is_numeric, q
 from millrace.operators.encoding import value_counts_long
-from millrace.operators.ranking import exact_quantiles
+from millrace.operators.ranking import exact_quantiles, grouped_quantile
+from millrace.session import materialise
 
 
 def _clean(df: DataFrame, name: str):
@@ -182,6 +183,57 @@ def feature_stats(df: DataFrame, names: Iterable[str] | None = None) -> DataFram
     return _long(df, rows, STATS_SCHEMA)
 
 
+def feature_stats_by(df: DataFrame, by: str, names: Iterable[str] | None = None) -> DataFrame:
+    """`feature_stats` of each group (of a split, say): the column `by` and a row for every feature of every group.
+
+    Any number of groups; nothing reaches the driver. Numbers share one aggregate, medians take two passes a feature.
+    """
+    names = [c for c in (names if names is not None else df.columns) if c != by]
+    numeric = [c for c in names if is_numeric(df, c)]
+    text = [c for c in names if not is_numeric(df, c)]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(numeric):
+        x = _clean(df, c)
+        aggs += [
+            F.count(x).alias(f"k{i}"), F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"),
+            F.count(F.when(x == 0, x)).alias(f"z{i}"), F.min(x).cast("double").alias(f"l{i}"), F.max(x).cast("double").alias(f"h{i}"),
+        ]
+    wide = materialise(df.groupBy(q(by).alias("_by")).agg(*aggs), "group-moments")
+    out = None
+    if numeric:
+        cells = F.explode(F.array(*[F.struct(
+            F.lit(c).alias("feature"), F.lit("FLOAT" if isinstance(df.schema[c].dataType, T.FractionalType) else "INT").alias("type"),
+            F.col("n").alias("n_rows"), (F.col("n") - F.col(f"k{i}")).alias("n_missing"), F.col(f"m{i}").alias("mean"),
+            F.col(f"s{i}").alias("std"), F.col(f"z{i}").alias("zeros"), F.col(f"l{i}").alias("min"), F.col(f"h{i}").alias("max"))
+            for i, c in enumerate(numeric)]))
+        medians = None
+        for c in numeric:
+            own = grouped_quantile(df.select(q(by).alias("_g"), _clean(df, c).alias("_v")), "_g", "_v", 0.5).select(
+                F.col("group").alias("_g"), F.lit(c).alias("_f"), F.col("quantile").alias("median"))
+            medians = own if medians is None else medians.unionByName(own)
+        out = wide.select("_by", cells.alias("s")).select("_by", "s.*").join(
+            medians, F.col("_by").eqNullSafe(F.col("_g")) & (F.col("feature") == F.col("_f")), "left").drop("_g", "_f")
+    if text:
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), q(c).cast("string").alias("value")) for c in text]))
+        counts = df.select(q(by).alias("_g"), cells.alias("c")).filter(F.col("c.value").isNotNull()).groupBy(
+            "_g", F.col("c.feature").alias("_f"), F.col("c.value").alias("value")).agg(F.count(F.lit(1)).alias("k"))
+        per = counts.groupBy("_g", "_f").agg(
+            F.sum("k").alias("present"), F.count(F.lit(1)).alias("n_unique"),
+            F.min(F.struct((-F.col("k")).alias("minus"), F.col("value"))).alias("top"),
+            (F.sum(F.length("value") * F.col("k")) / F.sum("k")).alias("avg_length"))
+        every = wide.select("_by", F.col("n").alias("n_rows"), F.explode(F.array(*[F.lit(c) for c in text])).alias("feature"))
+        found = every.join(per, F.col("_by").eqNullSafe(F.col("_g")) & (F.col("feature") == F.col("_f")), "left").select(
+            "_by", "feature", F.lit("BYTES").alias("type"), "n_rows", (F.col("n_rows") - F.coalesce("present", F.lit(0))).alias("n_missing"),
+            F.coalesce("n_unique", F.lit(0)).alias("n_unique"), F.col("top.value").alias("top"),
+            (-F.col("top.minus")).alias("top_freq"), "avg_length")
+        out = found if out is None else out.unionByName(found, allowMissingColumns=True)
+    kinds = [field.split() for field in STATS_SCHEMA.split(", ")]
+    if out is None:
+        return wide.limit(0).select(F.col("_by").alias(by), *[F.lit(None).cast(kind).alias(c) for c, kind in kinds])
+    have = set(out.columns)
+    return out.select(F.col("_by").alias(by), *[(F.col(c) if c in have else F.lit(None)).cast(kind).alias(c) for c, kind in kinds])
+
+
 def histogram(df: DataFrame, name: str, low: float, high: float, bins: int = 10) -> DataFrame:
     """(bin, n): equal-width counts; values outside go to bins 0 and bins+1."""
     return (

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.operators import validating
+from millrace.operators import profiling, validating
 from millrace.operators.ranking import grouped_quantile
 from millrace.streaming import merge, traffic
 
@@ -62,3 +62,19 @@ def test_domains_of_any_size_are_checked(spark, tmp_path):
     assert loaded[0].values_path != constraints[0].values_path  # the values went along
     curated = validating.curate(loaded, {"long": {"enum": ("zzz", "v7")}})
     assert rows(validating.anomalies(new, curated)) == want[1:]
+
+
+def test_statistics_of_groups_equal_those_of_each(spark):
+    data = [(i % 3 if i % 7 else None, float(i * 37 % 11) if i % 5 else None, i, "ab"[i % 2] * (i % 4) or None) for i in range(120)]
+    df = spark.createDataFrame(data, "part int, x double, k int, t string")
+    got = profiling.feature_stats_by(df, "part")
+    assert got.columns == ["part", *profiling.feature_stats(df.drop("part")).columns]
+    for part in (0, 1, 2, None):
+        same = F.col("part").eqNullSafe(F.lit(part).cast("int"))
+        want = profiling.feature_stats(df.filter(same).drop("part")).collect()
+        own = {r.feature: r for r in got.filter(same).drop("part").collect()}
+        assert len(own) == 3
+        for row in want:
+            for name, value in row.asDict().items():
+                assert own[row.feature][name] == (pytest.approx(value) if isinstance(value, float) else value), (part, row.feature, name)
+    assert profiling.feature_stats_by(df.limit(0), "part").collect() == []
