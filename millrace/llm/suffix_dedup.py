@@ -11,18 +11,22 @@ collection is cut by content:
    through an anchor can span are its segment.
 2. Groups. Anchors are dealt by hash. A hash that occurs in one document only has no
    partner. Equal segments are one string of the collection, with its smallest id; in
-   documents with a larger one all its windows go. A string that is alone in its group needs
+   documents with a larger one all its windows go. That is decided in each batch of rows before
+   anything moves, and then for all. A string that is alone in its group needs
    no sorting; the bytes of the others are asked for, one occurrence each.
 3. Extraction. The texts stream past the requests, and segments return to their groups.
 4. Construction. Strings are trimmed to what a window shared with another string of the group can
-   cover. Whole groups are batched to collections of about `BATCH_BYTES`, built column by
-   column, and each window gets the smallest id of its run of common prefixes.
+   cover. Groups are batched to collections of about `BATCH_BYTES`, built column by
+   column, and each window gets the smallest id of its run of common prefixes. A group that
+   is larger is split by the bytes that its windows must share (`_collections`).
 5. Removal. The answers return to their documents, whose texts stream past once more.
 
 Between the steps go compressed packets of arrays, each for one slot (a group of hashes) or
 one part (a group of documents), so few rows carry many anchors. Hot passages are
-many equal segments and collapse to one string before any bytes move. Slots and parts
-follow the session's number of shuffle partitions. Steps 2 and 4 leave written tables.
+many equal segments and collapse to one string before any bytes move. There are as many slots
+and parts as shuffle partitions, and more if one would stand for over `SLOT_BYTES` of text.
+Steps 2 and 4 leave written tables. Segments are told apart by 64 bits of a hash beside the 48 of
+their anchor. The strings round one anchor's bytes meet in one slot.
 
 Defined cases
   * null text: empty; texts shorter than `SPAN` lose nothing;
@@ -51,9 +55,13 @@ SPAN = 50
 GRAM = 16
 # Bytes of one collection.
 BATCH_BYTES = 2_000_000
+# Bytes of text for each slot and part, at most.
+SLOT_BYTES = 64_000_000
 _BLOCK = 2_000_000
 # Segments a task gathers before it sends them to their slots.
 _HELD_PIECES = 200_000
+# Occurrences of strings that are answered at a time.
+_HELD_ANSWERS = 50_000
 _WINDOWS = SPAN - GRAM + 1
 _SIDE = (SPAN - GRAM + 1) // 2
 _NO_ID = np.int64(2**63 - 1)
@@ -134,9 +142,9 @@ def _spread(values: np.ndarray, targets: np.ndarray) -> np.ndarray:
     return targets[(_mix(values.astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % len(targets)]
 
 
-def _gather(packets: DataFrame) -> DataFrame:
+def _gather(packets: DataFrame, targets: np.ndarray) -> DataFrame:
     """Packets of one target together, in the order of their kinds."""
-    return packets.repartition("target").sortWithinPartitions("target", "kind")
+    return packets.repartition(len(targets), "target").sortWithinPartitions("target", "kind")
 
 
 # ------------------------------------------------------------------ anchors
@@ -239,6 +247,19 @@ def _anchors_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield flush()
 
 
+def _later(key: np.ndarray, first: np.ndarray, *same: np.ndarray) -> np.ndarray:
+    """Which rows have a larger key than another row that is equal in all of `same`; `first` brings these together."""
+    order = np.argsort(first, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in (first, *same)])
+    starts = np.flatnonzero(new)
+    found = np.zeros(len(order), bool)
+    if len(order):
+        least = np.minimum.reduceat(key[order], starts)
+        found[order] = key[order] > np.repeat(least, np.diff(starts, append=len(order)))
+    return found
+
+
 def _six(values: np.ndarray) -> np.ndarray:
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].copy()
 
@@ -252,16 +273,18 @@ def _from_six(values: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ steps
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """row (unique), id (nulls last), text as bytes and the columns to keep."""
-    counts = docs.agg(F.count(F.lit(1)), F.countDistinct(id_col)).first()
+def _keyed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """row (unique), id (nulls last), text as bytes and the columns to keep; and the bytes of all texts."""
+    size = F.octet_length(F.col(text_col).cast("string")).cast("bigint")
+    counts = docs.agg(F.count(F.lit(1)), F.countDistinct(id_col), F.coalesce(F.sum(size), F.lit(0))).first()
     order = F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(_NO_ID)))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     kept = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)]
     if counts[0] == counts[1]:
-        return docs.select(order.alias("row"), order.alias("id"), text.alias("text"), *kept)
-    return materialise(docs.select(order.alias("id"), text.alias("text"), *kept).withColumn(
-        "row", F.monotonically_increasing_id()), "keyed").select("row", "id", "text", *[f"keep_{k}" for k in range(len(keep))])
+        return docs.select(order.alias("row"), order.alias("id"), text.alias("text"), *kept), counts[2]
+    keyed = materialise(docs.select(order.alias("id"), text.alias("text"), *kept).withColumn(
+        "row", F.monotonically_increasing_id()), "keyed")
+    return keyed.select("row", "id", "text", *[f"keep_{k}" for k in range(len(keep))]), counts[2]
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -272,20 +295,28 @@ def _numbers(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return batch.column(column).to_numpy().astype(np.int64)
 
 
-def _find_anchors(docs: DataFrame, slots: np.ndarray) -> DataFrame:
+def _find_anchors(docs: DataFrame, slots: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """Anchors to their slots. Of equal segments in a batch of rows only those of its smallest id go there; the answer
+    for the others is known."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ids = _numbers(batch, "row"), _numbers(batch, "id")
             found = [np.concatenate(x) for x in zip(*_anchors_of(_texts(batch)), strict=True)]
             if found:
                 document, at, gram, segment = found
+                later = _later(ids[document], segment, gram)
+                if later.any():
+                    row = rows[document[later]]
+                    yield _deal(_spread(row, parts), _ANSWERS, row, at[later], np.full(len(row), _ALL))
+                    document, at, gram, segment = (x[~later] for x in found)
                 slot = slots[(gram >> np.uint64(24)).astype(np.int64) % len(slots)]
                 targets, packets = [], []
                 for target, own in _runs(slot):
                     targets.append(target)
                     documents = document[own]
                     packets.append(_pack(
-                        _six(gram[own]), _six(segment[own]), _delta(rows[documents]), _delta(ids[documents]),
+                        _six(gram[own]), segment[own], _delta(rows[documents]), _delta(ids[documents]),
                         _delta(at[own].astype(np.int32 if batch.nbytes < 2**31 else np.int64))))
                 yield _rows(targets, _GROUPS, packets)
 
@@ -297,11 +328,16 @@ def _find_groups(found: DataFrame, parts: np.ndarray) -> DataFrame:
 
     def work(slot: int, packets: Iterator) -> Iterator[pa.RecordBatch]:
         columns = [[], [], [], [], []]
-        for _, packet in packets:
+        for kind, packet in packets:
+            if kind == _ANSWERS:  # slots and parts have the same numbers
+                yield _rows([slot], kind, [packet])
+                continue
             gram, segment, row, key, at = _unpack(packet)
             for column, values in zip(columns, (
-                _from_six(gram), _from_six(segment), np.cumsum(row), np.cumsum(key), np.cumsum(at, dtype=np.int64)), strict=True):
+                _from_six(gram), segment, np.cumsum(row), np.cumsum(key), np.cumsum(at, dtype=np.int64)), strict=True):
                 column.append(values)
+        if not columns[0]:
+            return
         gram, segment, row, key, at = (np.concatenate(c) for c in columns)
         order = np.argsort(gram, kind="stable")
         ordered = gram[order]
@@ -332,7 +368,7 @@ def _find_groups(found: DataFrame, parts: np.ndarray) -> DataFrame:
             group[first], key[first], number[string[sorted_rows]].astype(np.int32), _delta(row[sorted_rows]),
             _delta(key[sorted_rows]), at[sorted_rows])])
 
-    return _gather(found).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
+    return _gather(found, parts).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
 
 
 def _pack_texts(docs: DataFrame, parts: np.ndarray) -> DataFrame:
@@ -353,7 +389,7 @@ def _pack_texts(docs: DataFrame, parts: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, _PACKET)
 
 
-def _extract(packets: DataFrame) -> DataFrame:
+def _extract(packets: DataFrame, slots: np.ndarray) -> DataFrame:
     """The bytes that are asked for, to their slots."""
 
     def work(part: int, found: Iterator) -> Iterator[pa.RecordBatch]:
@@ -398,7 +434,7 @@ def _extract(packets: DataFrame) -> DataFrame:
                 yield flush()
         yield flush()
 
-    return _gather(packets).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
+    return _gather(packets, slots).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
 
 
 def smallest_ids(strings: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -439,6 +475,71 @@ def _trim(data, begin, length, left, group):
     return (on_left | on_right) & (length >= SPAN), begin, length, left
 
 
+def _refined(data: np.ndarray, start: np.ndarray, width: int, label: np.ndarray) -> np.ndarray:
+    """Labels that also tell apart the `width` bytes from `start` on."""
+    for k in range(0, width, 8):
+        chunk = np.zeros(len(label), np.uint64)
+        for step in range(k, min(k + 8, width)):
+            chunk = chunk << np.uint64(8) | data[start + step].astype(np.uint64)
+        order = np.lexsort((chunk, label))
+        new = np.ones(len(order), bool)
+        new[1:] = (label[order[1:]] != label[order[:-1]]) | (chunk[order[1:]] != chunk[order[:-1]])
+        label = np.empty(len(order), np.int64)
+        label[order] = np.cumsum(new) - 1
+    return label
+
+
+def _collections(data, begin, length, left, group) -> Iterator[tuple[np.ndarray, ...]]:
+    """Collections of about `BATCH_BYTES`: numbers of strings, and begin, length and left of the part to build.
+
+    A group that fits is built as a whole. A larger one is split by what its strings must share: all windows with
+    `low` to `high` bytes before the anchor hold the `low` bytes before it and those up to `SPAN - high` behind its
+    begin. Strings that differ there share none of these windows. Halving the range adds to what must be shared, until
+    strings agree in a whole window; such a run is built as one string, and stays one collection of its own.
+    """
+    pending = [(0, _WINDOWS - 1, np.arange(len(group)), group)]
+    while pending:
+        low, high, own, label = pending.pop()
+        cut = np.maximum(left[own] - high, 0)
+        first, before = begin[own] + cut, left[own] - cut
+        size = np.minimum(length[own] - cut, before + SPAN - low)
+        bounds = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))
+        total = np.add.reduceat(size, bounds)
+        counts = np.diff(bounds, append=len(own))
+        large = total > BATCH_BYTES
+        filled = np.cumsum(np.where(large, 0, total))
+        batch = np.repeat(np.where(large, -1, (filled - total) // BATCH_BYTES), counts)
+        fits = np.flatnonzero(batch >= 0)
+        if len(fits):
+            edges = np.flatnonzero(np.concatenate([[True], batch[fits][1:] != batch[fits][:-1]]))
+            for some in np.split(fits, edges[1:]):
+                yield own[some], first[some], size[some], before[some]
+        some = np.flatnonzero(batch < 0)
+        if not len(some):
+            continue
+        if low == high:  # the window is the whole string
+            for run in np.split(some, np.flatnonzero(label[some][1:] != label[some][:-1]) + 1):
+                yield own[run], first[run[:1]], size[run[:1]], before[run[:1]]
+            continue
+        own, label = own[some], label[some]
+        if (low, high) == (0, _WINDOWS - 1):
+            label = _refined(data, begin[own] + left[own], GRAM, label)
+        middle = (low + high) // 2
+        for a, b in ((low, middle), (middle + 1, high)):
+            there = np.minimum(left[own], b) + np.minimum(length[own] - left[own], SPAN - a) >= SPAN
+            half, name = own[there], label[there]
+            anchor = begin[half] + left[half]
+            if b < high:
+                name = _refined(data, anchor + SPAN - high, high - b, name)
+            else:
+                name = _refined(data, anchor - a, a - low, name)
+            shared = np.bincount(name, minlength=1)[name] > 1
+            half, name = half[shared], name[shared]
+            if len(half):
+                order = np.argsort(name, kind="stable")
+                pending.append((a, b, half[order], name[order]))
+
+
 def _sort(packets: DataFrame, parts: np.ndarray) -> DataFrame:
     """Answers for all occurrences of the strings that were sorted."""
 
@@ -464,27 +565,28 @@ def _sort(packets: DataFrame, parts: np.ndarray) -> DataFrame:
         if not len(group):
             return
         occurrences = np.searchsorted(string, np.arange(len(group) + 1))
-        # whole groups until a batch is full
-        bounds = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        size = np.add.reduceat(length, bounds)
-        batch = (np.cumsum(size) - size) // BATCH_BYTES
-        cuts = [*bounds[np.flatnonzero(np.concatenate([[True], batch[1:] != batch[:-1]]))], len(group)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            own, width = length[a:b], int(length[a:b].max())
-            columns = np.arange(width) - (width - own)[:, None]
-            strings = np.where(columns >= 0, data[np.maximum(begin[a:b, None] + columns, 0)], 0).astype(np.uint8)
-            least = smallest_ids(strings, own, smallest[a:b])
-            # column k holds the suffix of SPAN + k bytes, whose window begins own - SPAN - k bytes into the string
-            offset = own[:, None] - SPAN - np.arange(least.shape[1]) - left[a:b, None] + _WINDOWS - 1
-            low, high = occurrences[a], occurrences[b]
-            which = string[low:high] - a
-            hit = least[which] < key[low:high, None]
-            bits = np.where(hit, np.uint64(1) << np.maximum(offset[which], 0).astype(np.uint64), np.uint64(0))
-            mask = np.bitwise_or.reduce(bits, axis=1)
-            some = mask > 0
-            yield _deal(_spread(row[low:high][some], parts), _ANSWERS, row[low:high][some], at[low:high][some], mask[some])
-
-    return _gather(packets).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
+        for own, first, size, before in _collections(data, begin, length, left, group):
+            width, built = int(size.max()), len(size)
+            columns = np.arange(width) - (width - size)[:, None]
+            strings = np.where(columns >= 0, data[np.maximum(first[:, None] + columns, 0)], 0).astype(np.uint8)
+            # a run of one window is one string with the smallest id of all
+            ids = smallest[own] if built == len(own) else smallest[own].min(keepdims=True)
+            least = smallest_ids(strings, size, ids)
+            # column k holds the suffix of SPAN + k bytes, whose window begins size - SPAN - k bytes into the string
+            offset = size[:, None] - SPAN - np.arange(least.shape[1]) - before[:, None] + _WINDOWS - 1
+            place = np.arange(len(own)) if built == len(own) else np.zeros(len(own), np.int64)
+            counts = occurrences[own + 1] - occurrences[own]
+            which = np.repeat(place, counts)
+            there = np.arange(len(which)) + np.repeat(occurrences[own] - (np.cumsum(counts) - counts), counts)
+            for k in range(0, len(which), _HELD_ANSWERS):
+                string_of, own_rows = which[k:k + _HELD_ANSWERS], there[k:k + _HELD_ANSWERS]
+                hit = least[string_of] < key[own_rows, None]
+                bits = np.where(hit, np.uint64(1) << np.maximum(offset[string_of], 0).astype(np.uint64), np.uint64(0))
+                mask = np.bitwise_or.reduce(bits, axis=1)
+                some = own_rows[mask > 0]
+                yield _deal(_spread(row[some], parts), _ANSWERS, row[some], at[some], mask[mask > 0])
+
+    return _gather(packets, parts).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
 
 
 def removed_spans(n: int, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -499,7 +601,7 @@ def removed_spans(n: int, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], starts[last] + SPAN], axis=1)
 
 
-def _remove(packets: DataFrame, kept: list[T.StructField], as_text: bool) -> DataFrame:
+def _remove(packets: DataFrame, parts: np.ndarray, kept: list[T.StructField], as_text: bool) -> DataFrame:
     def work(part: int, found: Iterator) -> Iterator[pa.RecordBatch]:
         given, answers = [[], [], []], None
         for kind, packet in found:
@@ -535,7 +637,7 @@ def _remove(packets: DataFrame, kept: list[T.StructField], as_text: bool) -> Dat
         T.StructField("id", T.LongType()), *kept, T.StructField("n_bytes", T.LongType()),
         T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("spans", span)])
     names = schema.names
-    return _gather(packets).mapInArrow(lambda batches: _by_target(batches, work), schema)
+    return _gather(packets, parts).mapInArrow(lambda batches: _by_target(batches, work), schema)
 
 
 def remove_repeats(
@@ -545,16 +647,16 @@ def remove_repeats(
 
     Ids are integers. `as_text` gives what remains as text, without characters that were cut in part.
     """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed, size = _keyed(docs, id_col, text_col, keep)
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLOT_BYTES))
     slots = parts = _targets(docs.sparkSession, partitions)
-    keyed = _keyed(docs, id_col, text_col, keep)
-    grouped = materialise(_find_groups(_find_anchors(keyed, slots), parts), "groups")
+    grouped = materialise(_find_groups(_find_anchors(keyed, slots, parts), parts), "groups")
     texts = _pack_texts(keyed, parts)
     plain = _pack_texts(keyed.select("row", "id", "text"), parts)
-    segments = _extract(grouped.where(F.col("kind") == _REQUESTS).unionByName(plain))
+    segments = _extract(grouped.where(F.col("kind") == _REQUESTS).unionByName(plain), slots)
     sorted_answers = _sort(grouped.where(F.col("kind") == _GROUPS).unionByName(segments), parts)
     answers = materialise(sorted_answers, "answers").unionByName(grouped.where(F.col("kind") == _ANSWERS))
     fields = [T.StructField(f"keep_{k}", docs.schema[c].dataType) for k, c in enumerate(keep)]
-    found = _remove(answers.unionByName(texts), fields, as_text)
+    found = _remove(answers.unionByName(texts), parts, fields, as_text)
     names = [F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep))]
     return found.select(*names, "n_bytes", "kept", "spans")

@@ -126,3 +126,72 @@ def test_copies_beside_texts_that_share_only_a_phrase(spark):
         first, other = prose(60) + phrase + prose(60), prose(60) + phrase + prose(60)
         rows += [(4 * k, first), (4 * k + 1, first), (4 * k + 2, other), (4 * k + 3, other[:100])]
     check(spark, rows)
+
+
+def near_one_phrase(n, draw, phrase):
+    """Segments round the first bytes of a phrase: texts, begin of the anchor in each, smallest ids."""
+    texts, left = [], []
+    tails = ["".join(draw.choice("xy") for _ in range(40)) for _ in range(6)]
+    for _ in range(n):
+        before = "".join(draw.choice("ab") for _ in range(draw.choice([3, 12]))) + "abcdefghijklmnopqrst"[draw.randint(0, 19):]
+        before = before[-34:]
+        texts.append((before + phrase + draw.choice(tails)[:draw.choice([2, 5, 30, 40])])[:len(before) + SPAN].encode())
+        left.append(len(before))
+    return texts, np.array(left)
+
+
+def test_a_large_group_is_split_without_losing_a_window(monkeypatch):
+    draw = random.Random(11)
+    for limit, phrase in ((400, "The same footer."), (3000, "The same footer of each page."), (700, "The same footer of each page of all sites")):
+        monkeypatch.setattr(module, "BATCH_BYTES", limit)
+        texts, left = near_one_phrase(300, draw, phrase)
+        some = [i for i, t in enumerate(texts) if len(t) >= SPAN]
+        texts, left = [texts[i] for i in some], left[some]
+        ids = np.array(draw.sample(range(10_000), len(texts)))
+        length = np.array([len(t) for t in texts])
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        begin = np.cumsum(length) - length
+        first = {}
+        for i, t in zip(ids.tolist(), texts, strict=True):
+            for k in range(len(t) - SPAN + 1):
+                first[t[k:k + SPAN]] = min(first.get(t[k:k + SPAN], i), i)
+        want = {(n, k) for n, t in enumerate(texts) for k in range(len(t) - SPAN + 1) if first[t[k:k + SPAN]] < ids[n]}
+        got, sizes = set(), []
+        for own, start, size, before in module._collections(data, begin, length, left, np.zeros(len(texts), np.int64)):
+            sizes.append(int(size.sum()))
+            for place, n in enumerate(own.tolist()):
+                place = place if len(size) == len(own) else 0
+                for s in range(int(start[place]), int(start[place] + size[place]) - SPAN + 1):
+                    # the window as it is built, at its place in the string
+                    k = int(s - start[place] + left[n] - before[place])
+                    window = data[s:s + SPAN].tobytes()
+                    assert window == texts[n][k:k + SPAN]
+                    if min(ids[o] for o in own.tolist() if window in texts[o]) < ids[n]:
+                        got.add((n, k))
+        assert got == want and want
+        assert len(sizes) > 1 and max(sizes) < 2 * limit + 200
+
+
+def test_documents_round_one_phrase(spark, monkeypatch):
+    draw = random.Random(12)
+    monkeypatch.setattr(module, "BATCH_BYTES", 1000)
+    monkeypatch.setattr(module, "_HELD_ANSWERS", 7)
+    phrase = "All rights reserved by the authors, "
+    rows = [(i, "".join(draw.choice("pq") for _ in range(draw.randint(0, 20))) + phrase + "".join(
+        draw.choice("rs") for _ in range(draw.randint(0, 20)))) for i in range(400)]
+    check(spark, rows)
+
+
+def test_later_rows_of_equal_segments():
+    segment = np.array([5, 5, 7, 5, 7, 9], np.uint64)
+    gram = np.array([1, 1, 1, 2, 1, 1], np.uint64)
+    key = np.array([4, 3, 8, 9, 8, 1])
+    assert module._later(key, segment, gram).tolist() == [True, False, False, False, False, False]
+    assert module._later(key[:0], segment[:0], gram[:0]).tolist() == []
+
+
+def test_slots_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(module, "SLOT_BYTES", 500)
+    draw = random.Random(13)
+    shared = passages(draw)
+    check(spark, [(i, draw.choice(shared) + draw.choice(shared)) for i in range(40)])
