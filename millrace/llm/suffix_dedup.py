@@ -110,6 +110,16 @@ def _deal(target: np.ndarray, kind: int, *arrays: np.ndarray) -> pa.RecordBatch:
     return _rows(targets, kind, packets)
 
 
+def _answers(parts: np.ndarray, row: np.ndarray, at: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
+    """Row, place and windows that go, to the parts of the rows; few bytes for rows in order."""
+    targets, packets = [], []
+    narrow = at.astype(np.int32) if not len(at) or at.max() < 2**31 else at
+    for target, own in _runs(_spread(row, parts)):
+        targets.append(target)
+        packets.append(_pack(_delta(row[own]), _delta(narrow[own]), mask[own]))
+    return _rows(targets, _ANSWERS, packets)
+
+
 def _by_target(batches: Iterator[pa.RecordBatch], work: Callable) -> Iterator[pa.RecordBatch]:
     """`work(target, packets)` for each run of one target; packets are (kind, bytes) and stream."""
     stream = ((t, k, p) for b in batches for t, k, p in zip(
@@ -307,8 +317,7 @@ def _find_anchors(docs: DataFrame, slots: np.ndarray, parts: np.ndarray) -> Data
                 document, at, gram, segment = found
                 later = _later(ids[document], segment, gram)
                 if later.any():
-                    row = rows[document[later]]
-                    yield _deal(_spread(row, parts), _ANSWERS, row, at[later], np.full(len(row), _ALL))
+                    yield _answers(parts, rows[document[later]], at[later], np.full(int(later.sum()), _ALL))
                     document, at, gram, segment = (x[~later] for x in found)
                 slot = slots[(gram >> np.uint64(24)).astype(np.int64) % len(slots)]
                 targets, packets = [], []
@@ -357,7 +366,9 @@ def _find_groups(found: DataFrame, parts: np.ndarray) -> DataFrame:
         alone = np.bincount(group[first])[group] == 1
         # what an earlier document holds in the same surroundings goes as a whole, sorted or not
         later = key > key[first][string]
-        yield _deal(_spread(row[later], parts), _ANSWERS, row[later], at[later], np.full(int(later.sum()), _ALL))
+        known = np.flatnonzero(later)
+        known = known[np.lexsort((at[known], row[known]))]
+        yield _answers(parts, row[known], at[known], np.full(len(known), _ALL))
         several = ~alone[first]
         number = np.cumsum(several) - 1  # of the strings that are sorted
         first = first[several]
@@ -584,7 +595,7 @@ def _sort(packets: DataFrame, parts: np.ndarray) -> DataFrame:
                 bits = np.where(hit, np.uint64(1) << np.maximum(offset[string_of], 0).astype(np.uint64), np.uint64(0))
                 mask = np.bitwise_or.reduce(bits, axis=1)
                 some = own_rows[mask > 0]
-                yield _deal(_spread(row[some], parts), _ANSWERS, row[some], at[some], mask[mask > 0])
+                yield _answers(parts, row[some], at[some], mask[mask > 0])
 
     return _gather(packets, parts).mapInArrow(lambda batches: _by_target(batches, work), _PACKET)
 
@@ -606,7 +617,8 @@ def _remove(packets: DataFrame, parts: np.ndarray, kept: list[T.StructField], as
         given, answers = [[], [], []], None
         for kind, packet in found:
             if kind == _ANSWERS:
-                for column, values in zip(given, _unpack(packet), strict=True):
+                row, at, mask = _unpack(packet)
+                for column, values in zip(given, (np.cumsum(row), np.cumsum(at, dtype=np.int64), mask), strict=True):
                     column.append(values)
                 continue
             if answers is None:
