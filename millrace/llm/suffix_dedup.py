@@ -62,6 +62,8 @@ _BLOCK = 2_000_000
 _HELD_PIECES = 200_000
 # Occurrences of strings that are answered at a time.
 _HELD_ANSWERS = 50_000
+# Answers of one document that are unfolded to windows at a time.
+_HELD_MASKS = 20_000
 _WINDOWS = SPAN - GRAM + 1
 _SIDE = (SPAN - GRAM + 1) // 2
 _NO_ID = np.int64(2**63 - 1)
@@ -602,14 +604,19 @@ def _sort(packets: DataFrame, parts: np.ndarray) -> DataFrame:
 
 def removed_spans(n: int, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Start and end of the maximal runs of bytes that go, given the answers of a document's anchors."""
-    bit, which = np.nonzero(mask[None, :] >> np.arange(_WINDOWS, dtype=np.uint64)[:, None] & np.uint64(1))
-    starts = np.unique(at[which] - (_WINDOWS - 1) + bit)
-    starts = starts[(starts >= 0) & (starts <= n - SPAN)]  # an anchor near an edge has fewer windows
-    if not len(starts):
+    begun = np.zeros(n + 2, np.int8)  # 1 at the start of a window that goes, moved by one
+    for k in range(0, len(at), _HELD_MASKS):
+        bit, which = np.nonzero(mask[None, k:k + _HELD_MASKS] >> np.arange(_WINDOWS, dtype=np.uint64)[:, None] & np.uint64(1))
+        starts = at[k:k + _HELD_MASKS][which] - (_WINDOWS - 1) + bit
+        starts = starts[(starts >= 0) & (starts <= n - SPAN)]  # an anchor near an edge has fewer windows
+        begun[starts + 1] = 1
+    edges = np.flatnonzero(begun[1:] != begun[:-1])
+    if not len(edges):
         return np.empty((0, 2), np.int64)
-    new = np.concatenate([[True], starts[1:] > starts[:-1] + SPAN])
-    last = np.append(np.flatnonzero(new)[1:], len(starts)) - 1
-    return np.stack([starts[new], starts[last] + SPAN], axis=1)
+    low, high = edges[::2], edges[1::2] - 1  # first and last start of each run of starts
+    new = np.concatenate([[True], low[1:] > high[:-1] + SPAN])
+    last = np.append(np.flatnonzero(new)[1:], len(low)) - 1
+    return np.stack([low[new], high[last] + SPAN], axis=1)
 
 
 def _remove(packets: DataFrame, parts: np.ndarray, kept: list[T.StructField], as_text: bool) -> DataFrame:

@@ -195,3 +195,19 @@ def test_slots_follow_the_bytes(spark, monkeypatch):
     draw = random.Random(13)
     shared = passages(draw)
     check(spark, [(i, draw.choice(shared) + draw.choice(shared)) for i in range(40)])
+
+
+def test_spans_of_many_answers(monkeypatch):
+    draw = np.random.default_rng(3)
+    monkeypatch.setattr(module, "_HELD_MASKS", 7)
+    for _ in range(50):
+        n = int(draw.integers(50, 600))
+        at = np.sort(draw.integers(0, n - 15, int(draw.integers(0, 30))))
+        mask = draw.integers(0, 2**35, len(at), dtype=np.uint64) & draw.integers(0, 2**35, len(at), dtype=np.uint64)
+        gone = np.zeros(n + 1, bool)
+        for a, m in zip(at.tolist(), mask.tolist(), strict=True):
+            for bit in range(35):
+                if m >> bit & 1 and 0 <= a - 34 + bit <= n - SPAN:
+                    gone[a - 34 + bit:a - 34 + bit + SPAN] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(int))).reshape(-1, 2)
+        assert removed_spans(n, at, mask).tolist() == edges.tolist()
