@@ -43,6 +43,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,10 @@ GRAM = 16
 BATCH_BYTES = 2_000_000
 # Bytes of text for each slot and part, at most.
 SLOT_BYTES = 64_000_000
-_BLOCK = 2_000_000
+# Bytes whose anchors are found at a time: some 30 arrays of eight times that size.
+_BLOCK = 250_000
+# Bytes of text, and one more text at most, of the rows that a task handles at a time.
+_SLICE = 16_000_000
 # Segments a task gathers before it sends them to their slots.
 _HELD_PIECES = 200_000
 # Occurrences of strings that are answered at a time.
@@ -299,6 +303,16 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -
     return keyed.select("row", "id", "text", *[f"keep_{k}" for k in range(len(keep))]), counts[2]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in turn, in batches of bounded bytes: Spark counts rows, and 10 000 long texts are gigabytes."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = (np.cumsum(sizes) - sizes) // _SLICE
+        bounds = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(sizes)]
+        for start, end in zip(bounds, bounds[1:], strict=False):
+            yield batch.slice(start, end - start)
+
+
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").to_pylist()
 
@@ -312,7 +326,7 @@ def _find_anchors(docs: DataFrame, slots: np.ndarray, parts: np.ndarray) -> Data
     for the others is known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, ids = _numbers(batch, "row"), _numbers(batch, "id")
             found = [np.concatenate(x) for x in zip(*_anchors_of(_texts(batch)), strict=True)]
             if found:
@@ -388,7 +402,7 @@ def _pack_texts(docs: DataFrame, parts: np.ndarray) -> DataFrame:
     kept = [c for c in docs.columns if c.startswith("keep_")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, ids, texts = _numbers(batch, "row"), _numbers(batch, "id"), _texts(batch)
             others = [batch.column(c).to_pylist() for c in kept]
             part = _spread(rows, parts)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import millrace.llm.suffix_dedup as module
 from millrace.llm.collection_bwt import build, places_by_length
@@ -86,6 +87,15 @@ def test_blocks_of_long_texts_give_the_same_anchors(monkeypatch):
     assert cut == whole
 
 
+def test_slices_keep_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(module, "_SLICE", 100)
+    texts = [b"a" * n for n in (0, 30, 80, 500, 0, 99, 1, 1, 400, 0)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.binary())], names=["text"]) for t in (texts, [], texts[3:])]
+    found = [b.column("text").to_pylist() for b in module._slices(iter(batches))]
+    assert sum(found, []) == texts + texts[3:] and len(found) > 6
+    assert all(sum(map(len, f[:-1])) < 100 for f in found)
+
+
 def test_spans_stay_inside_the_text():
     assert removed_spans(60, np.array([0]), np.array([2 ** 35 - 1], np.uint64)).tolist() == [[0, 50]]
     assert removed_spans(60, np.array([40]), np.array([0], np.uint64)).tolist() == []
