@@ -11,7 +11,7 @@ from millrace.catalog import hash_order, query, rounded, table
 from millrace.functions.cleaning import json_records
 from millrace.operators import encoding, profiling, sampling
 from millrace.session import scratch_path
-from millrace.sources import batches, delimited, tables
+from millrace.sources import batches, delimited, snapshots, tables
 
 ORDER_FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 ORDER_SCHEMA = T.StructType([
@@ -201,6 +201,21 @@ def upsert_stored(spark, sf_dir):
     return spark.read.parquet(path).select("k", "amount", "batch_number")
 
 
+@query("upsert_snapshot", f"""
+    WITH merged AS ({UPSERT_SQL}) SELECT m.k, m.amount, m.batch_number, c.c_acctbal AS first_amount, 2 AS snapshot
+    FROM merged m LEFT JOIN customer c ON c.c_custkey = m.k""")
+def upsert_snapshot(spark, sf_dir):
+    """All rows after the update, beside their amounts in the snapshot before it."""
+    current, changes = _upsert_input(spark, sf_dir)
+    bucket = F.pmod(F.xxhash64("k"), F.lit(8)).cast("int")
+    path = scratch_path(spark, "snapshots")
+    first = snapshots.write_table(current.withColumn("bucket", bucket), path, "bucket")
+    second = snapshots.upsert_table(spark, path, changes.withColumn("bucket", bucket), ["k"])
+    before = snapshots.read_table(spark, path, first).select("k", F.col("amount").alias("first_amount"))
+    after = snapshots.read_table(spark, path).select("k", "amount", "batch_number")
+    return after.join(before, "k", "left").withColumn("snapshot", F.lit(second))
+
+
 @query("sink_csv", f"""
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
     QUALIFY row_number() OVER (ORDER BY {hash_order('sample:7', 'o_orderkey')}) <= (SELECT round_even(count(*) * 0.2, 0) FROM orders)""")

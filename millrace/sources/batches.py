@@ -94,14 +94,14 @@ def to_records(df: DataFrame, names: Sequence[str], batch: Column, size: int) ->
 # ------------------------------------------------------------------- landing
 
 
-def land_groups(df: DataFrame, group: str, path: str, files_per_group: int = 8) -> None:
-    """Write one JSON folder per group, of at most `files_per_group` files.
+def land_groups(df: DataFrame, group: str, path: str) -> None:
+    """Write one JSON folder per group.
 
-    A group's rows are dealt out over several tasks, so a group with very many rows
-    becomes several files instead of one large task.
+    The rebalance hint brings a group together; the adaptive plan cuts a large partition of the shuffle into several
+    tasks and joins small ones in one, so the number of files follows the bytes. Small groups in a
+    partition that is cut are cut with it, so partitions should be as many as the bytes ask for.
     """
-    salt = F.pmod(F.xxhash64(*[q(c) for c in df.columns]), F.lit(files_per_group))
-    df.repartition(q(group), salt).write.mode("overwrite").partitionBy(group).json(path)
+    df.hint("rebalance", q(group)).write.mode("overwrite").partitionBy(group).json(path)
 
 
 def read_landing(

@@ -84,20 +84,31 @@ def skip_empty_rows(df: DataFrame, token: str = "?", ignore: Sequence[str] = ())
     return cleaned.dropna(how="all", subset=[c for c in cleaned.columns if c not in ignore])
 
 
+def _comparable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_comparable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _comparable(kind.elementType)
+    return not isinstance(kind, T.MapType | T.VariantType)
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[Column]) -> DataFrame:
-    """One row per key: the one with the largest `newest` expressions.
+    """One row per key: the one with the largest `newest` expressions, of equal ones that with the largest other columns.
 
-    An aggregate with a partial step, so many versions of one key shrink before the shuffle.
+    An aggregate with a partial step, so many versions of one key shrink before the shuffle. Maps cannot be
+    compared, so rows that differ in a map only are equal here and either stays.
     """
     others = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*[q(c) for c in others]), F.struct(*newest)).alias("r")
+    ties = [q(f.name) for f in df.schema if f.name in others and _comparable(f.dataType)]
+    best = F.max_by(F.struct(*[q(c) for c in others]), F.struct(*newest, *ties)).alias("r")
     return df.groupBy(*[q(c) for c in key]).agg(best).select(*[q(c) for c in key], "r.*").select(*[q(c) for c in df.columns])
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: Sequence[str], newest: str = "batch_number") -> DataFrame:
     """Current rows replaced by changes with the same key; of several the highest `newest` wins.
 
-    A change beats the current row of the same number.
+    A change beats the current row of the same number, and of changes with one number the row whose other columns
+    are larger (compared in their order) wins, so reruns agree.
     """
     both = current.withColumn("_change", F.lit(0)).unionByName(changes.withColumn("_change", F.lit(1)))
     return latest_per_key(both, key, [q(newest), q("_change")]).drop("_change")
