@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +77,25 @@ def encode_onehot_ignore(spark, sf_dir):
     return encoding.one_hot(orders, encoding.fit_vocabularies(known, ["o_orderpriority"]).values(), "ignore")
 
 
+@query("encode_onehot_vector", """
+    WITH customers AS (SELECT CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS position, count(*) AS n FROM orders GROUP BY o_custkey),
+        priorities AS (SELECT CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS position, count(*) AS n
+            FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY o_orderpriority)
+    SELECT position, n FROM customers
+    UNION ALL SELECT CAST(position + (SELECT count(*) FROM customers) AS INTEGER), n FROM priorities""")
+def encode_onehot_vector(spark, sf_dir):
+    """Ones at each place of the vectors of all orders: a place for every customer, then for every known priority."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority")
+    known = orders.filter("o_orderpriority <> '5-LOW'")
+    vocabularies = [
+        encoding.fit_vocabularies(orders, ["o_custkey"])["o_custkey"],
+        encoding.fit_vocabularies(known, ["o_orderpriority"])["o_orderpriority"],
+    ]
+    vectors = encoding.one_hot_vector(orders, vocabularies, "ignore")
+    ones = vectors.select(vector_to_array(Summarizer.numNonZeros(F.col("features"))).alias("ones"))
+    return ones.select(F.posexplode("ones").alias("position", "n")).withColumn("n", F.col("n").cast("bigint"))
+
+
 def _scaled_sql(center: str, width: str) -> str:
     cells = ", ".join(f"round(({c} - {center.format(c)}) / ({width.format(c)}), 6) + 0.0 AS {c}" for c in MEASURES)
     stats = ", ".join(

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from decimal import Decimal
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +47,9 @@ class Vocabulary:
         df = spark.createDataFrame([tuple(r) for r in rows], schema)
         return SmallTable(df.withColumn("value", F.col("value").cast(dtype)), rows)
 
+    def size(self) -> int:
+        return len(self.values) if self.values is not None else self.table.df.count()
+
     def save(self, spark: SparkSession, path: str) -> None:
         """Write the vocabulary as an asset: (value, idx) in parquet."""
         dtype = T.StringType()
@@ -171,8 +176,8 @@ def one_hot(
     """One 0/1 column `<column>_<value>` per known value, no category left out.
 
     `unknown`: 'error' fails on a new value, 'ignore' gives all zeros. The columns are
-    literal expressions, so the vocabulary must be short; for scores over long
-    vocabularies use `selecting.chi2_scores`, which never builds these columns.
+    literal expressions, so the vocabulary must be short. Longer ones become one sparse vector
+    (`one_hot_vector`), and scores need no columns at all (`selecting.chi2_scores`).
     """
     vocabularies = list(vocabularies)
     sources = {v.column for v in vocabularies}
@@ -191,6 +196,37 @@ def one_hot(
     return df.select(*columns)
 
 
+def one_hot_vector(
+    df: DataFrame, vocabularies: Iterable[Vocabulary], unknown: str = "error", out: str = "features", drop_source: bool = True
+) -> DataFrame:
+    """One vector with a place for every known value of every column, for vocabularies of any length.
+
+    The places follow the vocabularies in turn, no category left out. A row stores one entry per column (Spark
+    keeps the smaller of the sparse and the dense form). `unknown`: 'error' fails on a new
+    value, 'ignore' leaves its column's places at 0, as a missing value always does.
+    """
+    vocabularies = list(vocabularies)
+    sources = {v.column for v in vocabularies}
+    columns = [c for c in df.columns if c != out and not (drop_source and c in sources)]
+    sizes, indexed = {}, df
+    for number, v in enumerate(vocabularies):
+        size = v.size()
+        index = f"_index_{number}"
+        indexed = apply_vocabulary(indexed, v, "error" if unknown == "error" else "minus_one", index, v.column)
+        indexed = indexed.withColumn(index, F.coalesce(q(index), F.lit(UNKNOWN)).cast("double"))
+        if size:
+            sizes[index] = size
+    if not sizes:
+        return indexed.select(*[q(c) for c in columns], array_to_vector(F.array().cast("array<double>")).alias(out))
+    # a value outside the vocabulary is one more category, the last one, which is dropped
+    names = [f"{index}_vector" for index in sizes]
+    encoder = OneHotEncoder(inputCols=list(sizes), outputCols=names, handleInvalid="keep", dropLast=True)
+    largest = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in sizes.values())], list(sizes))
+    encoded = encoder.fit(largest).transform(indexed)
+    joined = VectorAssembler(inputCols=names, outputCol="_vector").transform(encoded)
+    return joined.select(*[q(c) for c in columns], F.col("_vector").alias(out))
+
+
 # --------------------------------------------------------------------- scalers
 
 

@@ -146,3 +146,29 @@ def test_large_lookup_spreads_a_hot_key(spark, monkeypatch):
 def test_fetch_bounded(spark):
     assert len(session.fetch_bounded(spark.range(5), 5)) == 5
     assert session.fetch_bounded(spark.range(6), 5) is None
+
+
+def test_one_hot_vectors(spark):
+    df = spark.createDataFrame(
+        [(1, "b", "x"), (2, "a", None), (3, "new", "y"), (4, None, None), (5, "b", "y")], "id int, s string, t string")
+    fitted = encoding.fit_vocabularies(df.filter("id <> 3"), ["s", "t"])
+    found = {r.id: r.features for r in encoding.one_hot_vector(df, [fitted["s"], fitted["t"]], "ignore").collect()}
+    assert {k: v.toArray().tolist() for k, v in found.items()} == {
+        1: [0, 1, 1, 0], 2: [1, 0, 0, 0], 3: [0, 0, 0, 1], 4: [0, 0, 0, 0], 5: [0, 1, 0, 1]}
+    with pytest.raises(Exception, match="value not seen when fitting: new"):
+        encoding.one_hot_vector(df, [fitted["s"]]).collect()
+    kept = encoding.one_hot_vector(df.withColumn("features", df.id), [fitted["t"]], drop_source=False)
+    assert kept.columns == ["id", "s", "t", "features"] and kept.count() == 5
+    none = encoding.fit_vocabularies(df.filter("false"), ["s"])["s"]
+    assert encoding.one_hot_vector(df, [none], "ignore").first().features.size == 0
+
+
+def test_one_hot_vectors_of_a_hundred_thousand_values(spark):
+    df = spark.range(100_000).selectExpr("id", "id * 7 % 100003 AS code")
+    fitted = encoding.fit_vocabularies(df, ["code"])["code"]
+    assert fitted.values is None
+    vectors = encoding.one_hot_vector(df, [fitted])
+    first = vectors.filter("id = 0").first().features
+    assert first.size == 100_000 and first.indices.tolist() == [0] and first.values.tolist() == [1.0]
+    largest = df.orderBy(df.code.desc()).first().id
+    assert vectors.filter(vectors.id == largest).first().features.indices.tolist() == [99_999]
