@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import LABELLED, THREE_WAY, hash_order, labelled_orders, query, stratified_cte, table
 from millrace.operators import sampling
+from millrace.session import materialise
 
 RANK = f"row_number() OVER (ORDER BY {hash_order(42, 'o_orderkey')})"
 SAMPLE_RANK = f"row_number() OVER (ORDER BY {hash_order('sample:42', 'o_orderkey')})"
@@ -103,6 +104,26 @@ def page_assign(spark, sf_dir):
     return sampling.assign_pages(table(spark, sf_dir, "events").select("event_id"), "event_id", 150)
 
 
+@query("page_index", """
+    WITH r AS (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 150 AS page FROM events)
+    SELECT CAST(page AS INTEGER) AS batch_number, min(event_id) AS first_key, max(event_id) AS last_key, count(*) AS n_rows
+    FROM r GROUP BY page""")
+def page_index(spark, sf_dir):
+    return sampling.page_index(table(spark, sf_dir, "events"), "event_id", 150)
+
+
+@query("page_indexed", """
+    WITH r AS (SELECT event_id, user_id, (row_number() OVER (ORDER BY event_id) - 1) // 100 AS page FROM events)
+    SELECT event_id, user_id FROM r WHERE page = 0 OR page = (SELECT max(page) FROM r)""")
+def page_indexed(spark, sf_dir):
+    """The first and the last page through a stored index."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    index = materialise(sampling.page_index(events, "event_id", 100), "page-index")
+    last = index.agg(F.max("batch_number")).first()[0]
+    pages = [sampling.indexed_page(events, "event_id", index, n) for n in (0, last)]
+    return pages[0].unionByName(pages[1])
+
+
 @query("page_count", f"""
     WITH {THREE_WAY} SELECT split, CAST(ceil(count(*) / 1500) AS BIGINT) AS n_pages FROM parts GROUP BY split""")
 def page_count(spark, sf_dir):

@@ -240,6 +240,27 @@ def assign_pages(df: DataFrame, key: str, size: int = PAGE_SIZE, out: str = "bat
     return placed.withColumn(out, F.expr(f"_position div {size}").cast("int")).drop("_position")
 
 
+def page_index(df: DataFrame, key: str, size: int = PAGE_SIZE) -> DataFrame:
+    """One row for each page of `df` in order of a unique integer key: batch_number, first_key, last_key, n_rows.
+
+    One range shuffle of the keys alone. Stored once, it makes a page a key range without another look at the keys,
+    so reading all pages costs one scan of the keys in all. It holds for the rows it was made from: store it
+    beside them, under their version. Rows without a key lie on no page.
+    """
+    keys = df.select(q(key).cast("bigint").alias("_key")).filter("_key IS NOT NULL")
+    pages = assign_pages(keys, "_key", size).groupBy("batch_number")
+    return pages.agg(F.min("_key").alias("first_key"), F.max("_key").alias("last_key"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def indexed_page(df: DataFrame, key: str, index: DataFrame, number: int) -> DataFrame:
+    """The rows of a page, by the key range that its index names; the scan of `df` takes the filter."""
+    row = index.filter(F.col("batch_number") == number).first()
+    if row is None:
+        last = index.agg(F.max("batch_number")).first()[0]
+        raise PageNotFound(number, last or 0)
+    return df.filter(q(key).between(row.first_key, row.last_key))
+
+
 def slice_sample(
     df: DataFrame, key: str, slices: int = 10, per_slice: int = 10, seed: int | str = 42
 ) -> DataFrame:
