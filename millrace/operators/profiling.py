@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.cleaning import is_missing, is_numeric, q
 from millrace.operators.encoding import value_counts_long
-from millrace.operators.ranking import exact_quantiles, grouped_quantile
+from millrace.operators.ranking import grouped_quantile, quantiles_beside
 from millrace.session import materialise
 
 
@@ -40,11 +40,11 @@ def describe(df: DataFrame, names: Sequence[str], approximate: int | None = None
         ]
         if approximate:
             aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], approximate).alias(f"q{i}"))
-    row = df.agg(*aggs).first()
     if approximate:
+        row = df.agg(*aggs).first()
         quartiles = {c: row[f"q{i}"] or [None] * 3 for i, c in enumerate(names)}
     else:
-        quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
+        quartiles, row = quantiles_beside(df, names, [0.25, 0.5, 0.75], aggs)
     rows = []
     for i, c in enumerate(names):
         p25, p50, p75 = quartiles[c]
@@ -136,7 +136,7 @@ STATS_SCHEMA = (
 def feature_stats(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """Statistics of every feature: moments for numbers, uniques and top value for text.
 
-    Numbers are one aggregate plus the medians; text columns share one grouped count,
+    Numbers and the first pass of their medians are one aggregate; text columns share one grouped count,
     so a value held by most rows is pre-aggregated before the shuffle. Of equally
     frequent top values the smallest is reported.
     """
@@ -150,8 +150,7 @@ def feature_stats(df: DataFrame, names: Iterable[str] | None = None) -> DataFram
             F.count(x).alias(f"k{i}"), F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"),
             F.count(F.when(x == 0, x)).alias(f"z{i}"), F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}"),
         ]
-    row = df.agg(*aggs).first()
-    medians = exact_quantiles(df, numeric, [0.5]) if numeric else {}
+    medians, row = quantiles_beside(df, numeric, [0.5], aggs)
     found = {}
     if text:
         counts = value_counts_long(df, text)

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import q
@@ -168,26 +168,18 @@ def hash_rank(
     """Add the exact 1-based rank in hash order inside each group.
 
     Rows are shuffled once on (group, hash prefix): prefixes are uniform, so a group
-    with a third of all rows is still spread evenly.
+    with a third of all rows is still spread evenly. The key is a struct, which is never NULL, so that the join
+    with the offsets and the window share this one partitioning.
     """
     digits = prefix_length(df.count() if n_rows is None else n_rows)
-    hashed = df.withColumn("_h", order_hash(seed, key)).withColumn("_p", F.substring("_h", 1, digits))
-    keys = [*group, "_p"]
-    counts = hashed.groupBy(*[q(c) for c in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*[q(c) for c in group]).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[q(c).alias(f"_o{i}") for i, c in enumerate(keys)],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    match = F.lit(True)
-    for i, c in enumerate(keys):
-        match = match & q(c).eqNullSafe(F.col(f"_o{i}"))
-    local = F.row_number().over(Window.partitionBy(*[q(c) for c in keys]).orderBy("_h", q(key)))
-    return (
-        hashed.join(offsets, match, "inner")
-        .withColumn(out, F.col("_before") + local)
-        .drop("_h", "_p", "_before", *[f"_o{i}" for i in range(len(keys))])
-    )
+    hashed = df.withColumn("_h", order_hash(seed, key))
+    hashed = hashed.withColumn("_key", F.struct(*[q(c).alias(f"g{i}") for i, c in enumerate(group)], F.substring("_h", 1, digits).alias("p")))
+    counts = hashed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    of_group = [F.col(f"_key.g{i}") for i in range(len(group))]
+    before = Window.partitionBy(*of_group).orderBy("_key.p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("_key").orderBy("_h", q(key)))
+    return hashed.join(offsets, "_key").withColumn(out, F.col("_before") + local).drop("_h", "_key", "_before")
 
 
 def key_bounds(df: DataFrame, key: str) -> tuple[int | None, int | None, int]:
@@ -290,28 +282,38 @@ def global_positions(df: DataFrame, order: Sequence[Column], out: str = "positio
 def exact_quantiles(
     df: DataFrame, names: Sequence[str], probs: Sequence[float], small: int = 100_000, accuracy: int = 2_000
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, for many columns at once.
+    """Exact quantiles with linear interpolation, for many columns at once (see `quantiles_beside`)."""
+    return quantiles_beside(df, names, probs, (), small, accuracy)[0]
+
+
+def quantiles_beside(
+    df: DataFrame, names: Sequence[str], probs: Sequence[float], others: Sequence[Column], small: int = 100_000,
+    accuracy: int = 2_000,
+) -> tuple[dict[str, list[float | None]], Row | None]:
+    """Exact quantiles of many columns, and a row of other aggregates that share their first pass.
 
     Up to `small` rows the built-in exact percentile is used (its value map is then
-    bounded). Above, approximate percentiles bracket each wanted rank, the brackets are
-    counted, and only the values of the bracket holding the rank are looked at again.
+    bounded). Above, approximate percentiles bracket each wanted rank, one aggregate counts the rows
+    below and at each cut, and only the values between the two cuts round a rank are looked at again.
     All columns share every pass.
     """
     if not names:
-        return {}
+        return {}, df.agg(*others).first() if others else None
     base = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
     base = base.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in base.columns])
     slack = 2.0 / accuracy
     near = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
-    row = base.agg(
-        *[F.count(c).alias(f"n_{c}") for c in base.columns],
-        *[F.percentile_approx(c, near, accuracy).alias(f"q_{c}") for c in base.columns],
+    clean = [F.when(~F.isnan(q(c).cast("double")), q(c).cast("double")) for c in names]
+    row = first = df.agg(
+        *others,
+        *[F.count(x).alias(f"n_{c}") for c, x in zip(base.columns, clean)],
+        *[F.percentile_approx(x, near, accuracy).alias(f"q_{c}") for c, x in zip(base.columns, clean)],
     ).first()
     counts = {c: row[f"n_{c}"] for c in base.columns}
     if max(counts.values()) <= small:
         exact = F.array(*[F.lit(float(p)) for p in probs])
         row = base.agg(*[F.percentile(c, exact).alias(c) for c in base.columns]).first()
-        return {name: list(row[c] or [None] * len(probs)) for name, c in zip(names, base.columns)}
+        return {name: list(row[c] or [None] * len(probs)) for name, c in zip(names, base.columns)}, first
     open_: list[_Bracket] = []
     wanted: dict[str, list[float]] = {}
     for c in base.columns:
@@ -319,69 +321,66 @@ def exact_quantiles(
         wanted[c] = [p * (n - 1) for p in probs] if n else []
         ranks = sorted({r for at in wanted[c] for r in (math.floor(at), math.ceil(at))})
         if ranks:
-            open_.append(_Bracket(c, float("-inf"), float("inf"), 0, n, tuple(ranks), tuple(row[f"q_{c}"])))
+            open_.append(_Bracket(c, None, None, 0, n, tuple(ranks), tuple(row[f"q_{c}"])))
     values = _values_at(base, open_, accuracy)
     out: dict[str, list[float | None]] = {}
     for name, c in zip(names, base.columns):
         found = []
         for at in wanted[c]:
             low, high = values[c, math.floor(at)], values[c, math.ceil(at)]
-            found.append(low + (high - low) * (at - math.floor(at)))
+            found.append(low if low == high else low + (high - low) * (at - math.floor(at)))  # also of infinite values
         out[name] = found or [None] * len(probs)
-    return out
+    return out, first
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Values of one column in [low, high]: rows below it, rows in it, ranks sought, cut points."""
+    """Values of one column between low and high (neither included, None: no bound): rows below it, rows in it, ranks
+    sought, cut points."""
 
     column: str
-    low: float
-    high: float
+    low: float | None
+    high: float | None
     before: int
     rows: int
     ranks: tuple[int, ...]
     cuts: tuple[float, ...]
 
 
-def _tagged(base: DataFrame, cells: Sequence[tuple[Column, Column, Column]]) -> DataFrame:
-    """(i, p, v) for each (condition, piece, value) that holds, numbered by position."""
-    rows = F.array(*[
-        F.when(cond, F.struct(F.lit(i).alias("i"), piece.alias("p"), value.alias("v")))
-        for i, (cond, piece, value) in enumerate(cells)
-    ])
-    inside = reduce(lambda a, b: a | b, [cond for cond, _, _ in cells])
-    return base.filter(inside).select(F.explode(rows).alias("r")).filter("r IS NOT NULL").select("r.*")
+def _between(column: str, low: float | None, high: float | None) -> Column:
+    bounds = [F.col(column).isNotNull()]
+    bounds += [F.col(column) > low] if low is not None else []
+    bounds += [F.col(column) < high] if high is not None else []
+    return reduce(lambda a, b: a & b, bounds)
 
 
 def _values_at(base: DataFrame, open_: Sequence[_Bracket], accuracy: int) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks of each bracket's column (ties share a value)."""
     done: dict[tuple[str, int], float] = {}
-    short: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
+    short: dict[tuple[str, float | None, float | None], list[tuple[int, int]]] = {}
     while open_:
-        cells = []
-        for b in open_:
-            v = F.col(b.column)
-            # even pieces are open intervals between cuts, odd pieces a cut value itself
-            piece = sum((((v >= e).cast("int") + (v > e).cast("int")) for e in sorted(set(b.cuts))), F.lit(0))
-            cells.append((v.between(b.low, b.high), piece, v))
-        counted = (
-            _tagged(base, cells).groupBy("i", "p")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .collect()
-        )
+        counts = []
+        for i, b in enumerate(open_):
+            inside, v = _between(b.column, b.low, b.high), F.col(b.column)
+            for j, cut in enumerate(sorted(set(b.cuts))):
+                counts += [F.count_if(inside & (v < cut)).alias(f"below_{i}_{j}"), F.count_if(inside & (v <= cut)).alias(f"upto_{i}_{j}")]
+        row = base.agg(*counts).first()
         narrowed: dict[tuple, list[int]] = {}
         for i, b in enumerate(open_):
-            pieces = sorted((r["p"], r["low"], r["high"], r["n"]) for r in counted if r["i"] == i)
             for rank in b.ranks:
-                before = b.before
-                for _, low, high, n in pieces:
-                    if rank < before + n:
+                low, high, start, end = b.low, b.high, 0, b.rows
+                for j, cut in enumerate(sorted(set(b.cuts))):
+                    if rank - b.before < row[f"below_{i}_{j}"]:
+                        high, end = cut, row[f"below_{i}_{j}"]
+                        break
+                    if rank - b.before < row[f"upto_{i}_{j}"]:
+                        done[b.column, rank] = cut
                         break
-                    before += n
-                if low == high:
-                    done[b.column, rank] = low
-                elif n <= SORT_ROWS:
+                    low, start = cut, row[f"upto_{i}_{j}"]
+                if (b.column, rank) in done:
+                    continue
+                before, n = b.before + start, end - start
+                if n <= SORT_ROWS:
                     short.setdefault((b.column, low, high), []).append((rank, rank - before))
                 else:
                     narrowed.setdefault((b.column, low, high, before, n), []).append(rank)
@@ -400,7 +399,7 @@ def _recut(base: DataFrame, narrowed: Mapping[tuple, Sequence[int]], accuracy: i
     for j, ((column, low, high, before, n), ranks) in enumerate(narrowed.items()):
         at = [(r - before) / max(n - 1, 1) for r in ranks]
         near = sorted({min(1.0, max(0.0, p + d)) for p in at for d in (-slack, slack)})
-        inside = F.when(F.col(column).between(low, high), F.col(column))
+        inside = F.when(_between(column, low, high), F.col(column))
         aggs.append(F.percentile_approx(inside, near, accuracy).alias(f"q{j}"))
     row = base.agg(*aggs).first()
     return [
@@ -409,11 +408,13 @@ def _recut(base: DataFrame, narrowed: Mapping[tuple, Sequence[int]], accuracy: i
 
 
 def _values_in(
-    base: DataFrame, short: Mapping[tuple[str, float, float], Sequence[tuple[int, int]]]
+    base: DataFrame, short: Mapping[tuple[str, float | None, float | None], Sequence[tuple[int, int]]]
 ) -> dict[tuple[str, int], float]:
     """Values at local ranks of brackets of at most SORT_ROWS rows, all in one job."""
-    cells = [(F.col(c).between(low, high), F.lit(0), F.col(c)) for c, low, high in short]
-    counts = _tagged(base, cells).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    cells = [(_between(*b), F.struct(F.lit(i).alias("i"), F.col(b[0]).alias("v"))) for i, b in enumerate(short)]
+    tagged = F.explode(F.array(*[F.when(inside, cell) for inside, cell in cells])).alias("r")
+    near = base.filter(reduce(lambda a, b: a | b, [inside for inside, _ in cells])).select(tagged)
+    counts = near.filter("r IS NOT NULL").groupBy("r.i", "r.v").agg(F.count(F.lit(1)).alias("n"))
     cum = counts.withColumn("cum", F.sum("n").over(Window.partitionBy("i").orderBy("v")))
     hit = F.lit(False)
     for i, ranks in enumerate(short.values()):

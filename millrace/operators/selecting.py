@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import q
+from millrace.session import materialise
 
 
 def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -52,7 +53,7 @@ def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFram
 def chi2_scores(df: DataFrame, categorical: Sequence[str], label: str) -> DataFrame:
     """(feature, value, chi2) of every one-hot column against the classes.
 
-    Works on the grouped counts; the one-hot columns are never built. Only the "1"
+    Works on the grouped counts, for which the table is read once; the one-hot columns are never built. Only the "1"
     cells enter: observed = rows of the class with the value, expected = class share
     times rows with the value. A class without such rows adds its expected count.
     """
@@ -60,14 +61,17 @@ def chi2_scores(df: DataFrame, categorical: Sequence[str], label: str) -> DataFr
         F.struct(F.lit(i).alias("i"), F.lit(c).alias("feature"), q(c).cast("string").alias("value"))
         for i, c in enumerate(categorical)
     ]))
-    observed = (
+    observed = materialise(
         df.select(q(label).alias("_class"), pairs.alias("p"))
         .select("_class", "p.*")
         .groupBy("i", "feature", "value", "_class")
-        .agg(F.count(F.lit(1)).alias("o"))
+        .agg(F.count(F.lit(1)).alias("o")),
+        "observed",
     )
-    classes = df.groupBy(q(label).alias("_c")).agg(F.count(F.lit(1)).alias("n_class"))
-    shares = classes.select("_c", (F.col("n_class") / F.lit(max(df.count(), 1))).alias("share"))
+    # the counts of the first feature, missing values included, are those of the classes
+    first = observed.filter("i = 0")
+    n_rows = first.agg(F.sum("o")).first()[0] or 1
+    shares = first.groupBy(F.col("_class").alias("_c")).agg((F.sum("o") / F.lit(n_rows)).alias("share"))
     # the window holds one row per class for each value, and its shuffle serves the sums below
     same_value = Window.partitionBy("i", "feature", "value")
     joined = (

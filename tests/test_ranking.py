@@ -97,3 +97,35 @@ def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert ranking.exact_quantiles(df, ["x"], [0.5]) == {"x": [None]}
     assert ranking.exact_quantiles(df, ["x"], [0.5], small=-1) == {"x": [None]}
+
+
+def test_ranks_take_one_full_shuffle(spark):
+    rows = [(i, None if i % 7 == 0 else f"g{i % 3}", f"v{i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, g string, payload string").repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = ranking.hash_rank(df, "k", 1, ["g"], "rank", 500)
+        plan = ranked._jdf.queryExecution().explainString(ranked.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        nodes = [n for n in plan.split("\n\n") if ") Exchange" in n and "payload" in n and "RoundRobin" not in n]
+        assert len(nodes) == 1 and "_key" in nodes[0]
+        got = ranked.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert ranked.columns == ["k", "g", "payload", "rank"]
+    for group in {r.g for r in got}:
+        mine = [r.rank for r in got if r.g == group]
+        assert sorted(mine) == list(range(1, len(mine) + 1))
+
+
+def test_quantiles_of_infinite_and_equal_values(spark):
+    import math
+
+    values = [-math.inf] * 40 + [0.0] * 300 + [float(i) for i in range(50)] + [math.inf] * 30 + [math.nan, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    kept = sorted(v for v in values if v is not None and not math.isnan(v))
+    ranks = (0, 20, 41, 200, 350, 380, 395, 419)
+    probs = [k / (len(kept) - 1) for k in ranks]
+    quantiles, row = ranking.quantiles_beside(df, ["x"], probs, [F.count("x").alias("n")], small=-1, accuracy=20)
+    assert quantiles["x"] == pytest.approx([kept[k] for k in ranks]) and row["n"] == 421
