@@ -143,6 +143,15 @@ def test_large_lookup_spreads_a_hot_key(spark, monkeypatch):
     assert keys.filter("v = 0").select("_salt").distinct().count() == session.LOOKUP_SALTS
 
 
+def test_large_lookup_stays_off_the_driver(spark, tmp_path):
+    # the file is far smaller than its rows, and each row meets every salt
+    spark.range(50_000, numPartitions=1).selectExpr("id AS v", "id AS idx").write.parquet(str(tmp_path / "table"))
+    table = session.SmallTable(spark.read.parquet(str(tmp_path / "table")), None)
+    out = session.lookup(spark.range(100_000).select(F.col("id").alias("v")), table, ["v"])
+    assert out.filter("idx = v").count() == 50_000 and out.count() == 100_000
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fetch_bounded(spark):
     assert len(session.fetch_bounded(spark.range(5), 5)) == 5
     assert session.fetch_bounded(spark.range(6), 5) is None
