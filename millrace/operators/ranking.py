@@ -178,6 +178,8 @@ def hash_rank(
     of_group = [F.col(f"_key.g{i}") for i in range(len(group))]
     before = Window.partitionBy(*of_group).orderBy("_key.p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    if group:  # any number of groups: not for the driver, however small their columns' files are
+        offsets = offsets.hint("merge")
     local = F.row_number().over(Window.partitionBy("_key").orderBy("_h", q(key)))
     return hashed.join(offsets, "_key").withColumn(out, F.col("_before") + local).drop("_h", "_key", "_before")
 
