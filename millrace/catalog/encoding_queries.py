@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,8 +90,8 @@ def encode_onehot_vector(spark, sf_dir):
         encoding.fit_vocabularies(known, ["o_orderpriority"])["o_orderpriority"],
     ]
     vectors = encoding.one_hot_vector(orders, vocabularies, "ignore")
-    ones = vectors.select(vector_to_array(Summarizer.numNonZeros(F.col("features"))).alias("ones"))
-    return ones.select(F.posexplode("ones").alias("position", "n")).withColumn("n", F.col("n").cast("bigint"))
+    ones = vectors.select(F.explode(encoding.places_of_ones(F.col("features"))).alias("position"))
+    return ones.groupBy("position").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _scaled_sql(center: str, width: str) -> str:

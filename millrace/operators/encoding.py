@@ -12,8 +12,8 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from decimal import Decimal
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -201,30 +201,52 @@ def one_hot_vector(
 ) -> DataFrame:
     """One vector with a place for every known value of every column, for vocabularies of any length.
 
-    The places follow the vocabularies in turn, no category left out. A row stores one entry per column (Spark
-    keeps the smaller of the sparse and the dense form). `unknown`: 'error' fails on a new
+    The places follow the vocabularies in turn, no category left out. A row stores one entry per column (the smaller
+    of the sparse and the dense form is kept). `unknown`: 'error' fails on a new
     value, 'ignore' leaves its column's places at 0, as a missing value always does.
+
+    The vectors are made row by row, since the stages of Spark ML note a name for every place in the
+    schema, which the driver holds. The schema here says how many places there are.
     """
     vocabularies = list(vocabularies)
     sources = {v.column for v in vocabularies}
     columns = [c for c in df.columns if c != out and not (drop_source and c in sources)]
-    sizes, indexed = {}, df
+    found, size, indexed = [], 0, df
     for number, v in enumerate(vocabularies):
-        size = v.size()
-        index = f"_index_{number}"
+        index, before, own = f"_index_{number}", size, v.size()
         indexed = apply_vocabulary(indexed, v, "error" if unknown == "error" else "minus_one", index, v.column)
-        indexed = indexed.withColumn(index, F.coalesce(q(index), F.lit(UNKNOWN)).cast("double"))
-        if size:
-            sizes[index] = size
-    if not sizes:
+        if own:
+            found.append(F.when(q(index) >= 0, q(index) + F.lit(before)))
+            size += own
+    if not found:
         return indexed.select(*[q(c) for c in columns], array_to_vector(F.array().cast("array<double>")).alias(out))
-    # a value outside the vocabulary is one more category, the last one, which is dropped
-    names = [f"{index}_vector" for index in sizes]
-    encoder = OneHotEncoder(inputCols=list(sizes), outputCols=names, handleInvalid="keep", dropLast=True)
-    largest = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in sizes.values())], list(sizes))
-    encoded = encoder.fit(largest).transform(indexed)
-    joined = VectorAssembler(inputCols=names, outputCol="_vector").transform(encoded)
-    return joined.select(*[q(c) for c in columns], F.col("_vector").alias(out))
+    placed = indexed.withColumn("_places", F.array_compact(F.array(*found)))
+    vector = _sparse_cells(F.col("_places"), size)
+    if 1.5 * (len(found) + 1) >= size:
+        dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.array_contains("_places", i).cast("double"))
+        vector = F.when(1.5 * (F.size("_places") + 1) < size, vector).otherwise(_cells(F.lit(1), None, None, dense))
+    # a struct of the fields of a vector becomes one on its way through text
+    schema = T.StructType([T.StructField("vector", VectorUDT())])
+    read = F.from_json(F.to_json(F.struct(vector.alias("vector"))), schema)["vector"]
+    return placed.select(*[q(c) for c in columns], read.alias(out, metadata={"ml_attr": {"num_attrs": size}}))
+
+
+def _cells(kind: Column, size: Column | None, indices: Column | None, values: Column) -> Column:
+    """The fields of a vector: kind 0 is sparse, 1 dense."""
+    return F.struct(
+        kind.cast("tinyint").alias("type"), (F.lit(None) if size is None else size).cast("int").alias("size"),
+        (F.lit(None) if indices is None else indices).cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
+
+
+def _sparse_cells(places: Column, size: int) -> Column:
+    return _cells(F.lit(0), F.lit(size), places, F.array_repeat(F.lit(1.0), F.size(places)))
+
+
+def places_of_ones(vector: Column) -> Column:
+    """The places of a one-hot vector's ones, without the zeros between them."""
+    cells = F.unwrap_udt(vector)
+    dense = F.transform(cells["values"], lambda v, i: F.when(v != 0, i))
+    return F.coalesce(cells["indices"], F.array_compact(dense))
 
 
 # --------------------------------------------------------------------- scalers

@@ -181,3 +181,13 @@ def test_one_hot_vectors_of_a_hundred_thousand_values(spark):
     assert first.size == 100_000 and first.indices.tolist() == [0] and first.values.tolist() == [1.0]
     largest = df.orderBy(df.code.desc()).first().id
     assert vectors.filter(vectors.id == largest).first().features.indices.tolist() == [99_999]
+    # no name for each place in the schema, which the driver holds
+    assert vectors.schema["features"].metadata == {"ml_attr": {"num_attrs": 100_000}}
+
+
+def test_places_of_ones(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (2, None, None), (3, "a", "y"), (4, "c", "x")], "id int, s string, t string")
+    fitted = encoding.fit_vocabularies(df, ["s", "t"])
+    for names, wanted in ((["s", "t"], {1: [1, 3], 2: [], 3: [0, 4], 4: [2, 3]}), (["t"], {1: [0], 2: [], 3: [1], 4: [0]})):
+        vectors = encoding.one_hot_vector(df, [fitted[n] for n in names])
+        assert dict(rows(vectors.select("id", encoding.places_of_ones(F.col("features"))))) == wanted
