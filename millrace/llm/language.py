@@ -378,8 +378,50 @@ def _likelihoods(scored: DataFrame, langs: list[str]) -> DataFrame:
     return scored.select("lang", "chars", "entropies").mapInArrow(run, "lang string, chars bigint, h double, logs array<double>")
 
 
-def _calibrate(scored: DataFrame, langs: list[str], reject: float) -> Calibration:
-    found = materialise(_likelihoods(scored.where((F.col("chars") > 0) & F.col("lang").isin(langs)), langs), "calibration")
+def _block_likelihoods(scored: DataFrame, langs: list[str]) -> DataFrame:
+    """row, lang, chars, and of a block: the entropy of that language if it is in it, the least one, and the block's share
+    of the posterior's divisor at each temperature."""
+    place = {lang: k for k, lang in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = matrix(batch.column("entropies"))
+            own = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()])
+            least = found.min(axis=1)
+            gaps = (found - least[:, None]) * np.sqrt(batch.column("chars").to_numpy())[:, None]
+            totals = np.stack([np.exp(-t * gaps).sum(axis=1) for t in _TEMPERATURES], axis=1)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row"), batch.column("lang"), batch.column("chars"),
+                pa.array(found[np.arange(len(own)), own], mask=own < 0), pa.array(least),
+                pa.FixedSizeListArray.from_arrays(pa.array(totals.ravel()), len(_TEMPERATURES)).cast(pa.list_(pa.float64()))],
+                names=["row", "lang", "chars", "own", "least", "totals"])
+
+    return scored.select("row", "lang", "chars", "entropies").mapInArrow(
+        run, "row bigint, lang string, chars bigint, own double, least double, totals array<double>")
+
+
+def _joint_likelihoods(blocks: list[DataFrame]) -> DataFrame:
+    """The columns of `_likelihoods` over the languages of all blocks."""
+    every = blocks[0]
+    for more in blocks[1:]:
+        every = every.unionByName(more)
+    joined = every.groupBy("row", "lang", "chars").agg(
+        F.max("own").alias("h"), F.min("least").alias("least"),
+        F.collect_list(F.struct("least", "totals")).alias("blocks")).where(F.col("h").isNotNull())  # an entry for each block
+
+    def log_posterior(k: int, temperature: float) -> Column:
+        scale = F.lit(-temperature) * F.sqrt(F.col("chars").cast("double"))
+        total = F.aggregate("blocks", F.lit(0.0), lambda s, b: s + b["totals"][k] * F.exp(scale * (b["least"] - F.col("least"))))
+        return scale * (F.col("h") - F.col("least")) - F.log(total)
+
+    logs = F.array(*[log_posterior(k, t) for k, t in enumerate(_TEMPERATURES.tolist())])
+    return joined.select("lang", "chars", "h", logs.alias("logs"))
+
+
+def _calibrate(likelihoods: DataFrame, reject: float) -> Calibration:
+    found = materialise(likelihoods, "calibration")
     sums = found.agg(*[F.sum(F.col("logs")[k]).alias(f"t{k}") for k in range(len(_TEMPERATURES))]).first()
     if sums[0] is None:
         return Calibration(1.0, {})
@@ -446,10 +488,16 @@ def identify_languages(
     rest, n_chars = fit_models(counts.where("n_rest > 0").select("lang", "gram", F.col("n_rest").alias("n")), order, share)
     rest_blocks = _blocks(rest, block_grams)
     calibration = Calibration(1.0, {})
-    if rest_blocks:
-        # languages beyond the first block share its temperature and its limits' mean
-        calibration = _calibrate(_entropies(
-            labelled.where("part").select("lang", "text"), _load(rest, rest_blocks[0], n_chars, order), order), rest_blocks[0], reject)
+    learnt = labelled.where("part").select("lang", "text")
+    if len(rest_blocks) == 1:
+        langs, = rest_blocks
+        scored = _entropies(learnt, _load(rest, langs, n_chars, order), order)
+        calibration = _calibrate(_likelihoods(scored.where((F.col("chars") > 0) & F.col("lang").isin(langs)), langs), reject)
+    elif rest_blocks:
+        learnt = materialise(learnt.select(F.monotonically_increasing_id().alias("row"), "lang", "text"), "calibration-rows")
+        calibration = _calibrate(_joint_likelihoods([
+            _block_likelihoods(_entropies(learnt, _load(rest, langs, n_chars, order), order).where("chars > 0"), langs)
+            for langs in rest_blocks]), reject)
     models, n_chars = fit_models(counts.select("lang", "gram", "n"), order, share)
     blocks = _blocks(models, block_grams)
 

@@ -149,3 +149,16 @@ def test_without_rows_or_labels(spark):
 def test_a_model_without_grams():
     model = Model.of([], np.empty(0), np.empty(0), 9)
     assert Scorer([model]).score_words(["ab"])[0, 0] == pytest.approx(3 * math.log(1 / 10))
+
+
+def test_languages_of_all_blocks_are_calibrated(spark):
+    draw = random.Random(7)
+    data = [(i, text(draw, lang := draw.choice(list(SYLLABLES)), draw.randint(1, 12)), lang) for i in range(400)]
+    # texts of two languages, so that the temperature and the limits matter
+    data += [(400 + i, f"{text(draw, 'aa', 3)} {text(draw, 'bb', 3)}", draw.choice(["aa", "bb"])) for i in range(60)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(4)
+    one, many = ({r.doc_id: r for r in identify_languages(frame, block_grams=n, reject=0.1).collect()} for n in (4_000_000, 10))
+    assert len({r.lang_pred for r in one.values()}) == 3 and any(r.rejected for r in one.values())
+    for key, row in one.items():
+        assert (many[key].lang_pred, many[key].rejected) == (row.lang_pred, row.rejected)
+        assert many[key].score == pytest.approx(row.score, abs=1e-6)
