@@ -24,7 +24,8 @@ from millrace.operators.sampling import kfold, stratified_split
 
 FEATURES, LABEL = "features", "label_index"
 RBF_COMPONENTS = 64
-ROWS_PER_PARTITION = 250_000
+# Each partition answers each step of a solver, with some kilobytes to the driver.
+ROWS_PER_PARTITION = 500_000
 LEAST_PARTITIONS = 4
 # Relative improvement below which a solver stops.
 TOLERANCE = 1e-4

@@ -184,3 +184,9 @@ def test_queries_grow_whole_forests(spark, monkeypatch, query):
     with pytest.raises(Grown) as found:
         query(spark, "/root/testdata/sf0.001")
     assert found.value.args == ({},)
+
+
+def test_steps_of_a_solver_have_few_tasks(spark, ring):
+    # 9 M rows: each task of each step sends some kilobytes to the driver
+    assert training.training_rows(ring, NAMES, training.LABEL, 9_000_000).rdd.getNumPartitions() == 32
+    assert training.training_rows(ring, NAMES, training.LABEL, 1_000_000).rdd.getNumPartitions() == 4
