@@ -141,8 +141,17 @@ def train_rbf_svm(
     rows = training_rows(df, names, label, found.rows)
     if n_classes != 2:
         last = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label, parallelism=CLASS_PARALLELISM)
-        return Pipeline(stages=[mapped, cells, last]).fit(rows)
-    return Pipeline(stages=[mapped, cells, *_calibrated(svc, label)]).fit(rows)
+        return _fit(Pipeline(stages=[mapped, cells, last]), rows)
+    return _fit(Pipeline(stages=[mapped, cells, *_calibrated(svc, label)]), rows)
+
+
+def _fit(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """The stages summarise, store and number the rows one after the other: only the first reads and places them."""
+    rows = rows.persist()
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def _calibrated(svc: LinearSVC, label: str) -> list[Estimator]:
@@ -158,7 +167,7 @@ def train_linear_svm(
     """Binary linear SVM whose margin is turned into a probability by a one-feature logistic fit."""
     n = df.count()
     svc = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (c * max(n, 1)), maxIter=max_iter, tol=TOLERANCE)
-    return Pipeline(stages=[assembler(names), *_calibrated(svc, label)]).fit(training_rows(df, names, label, n))
+    return _fit(Pipeline(stages=[assembler(names), *_calibrated(svc, label)]), training_rows(df, names, label, n))
 
 
 def train_forest(

@@ -190,3 +190,12 @@ def test_steps_of_a_solver_have_few_tasks(spark, ring):
     # 9 M rows: each task of each step sends some kilobytes to the driver
     assert training.training_rows(ring, NAMES, training.LABEL, 9_000_000).rdd.getNumPartitions() == 32
     assert training.training_rows(ring, NAMES, training.LABEL, 1_000_000).rdd.getNumPartitions() == 4
+
+
+@pytest.mark.parametrize("train", [training.train_rbf_svm, training.train_linear_svm])
+def test_svm_rows_are_placed_once(spark, ring, monkeypatch, train):
+    fit, held = training.Pipeline.fit, []
+    monkeypatch.setattr(training.Pipeline, "fit", lambda self, rows: (held.append((rows, rows.is_cached)), fit(self, rows))[1])
+    assert train(ring, NAMES, max_iter=2) is not None
+    (rows_held, cached), = held
+    assert cached and not rows_held.is_cached
