@@ -9,15 +9,16 @@ a(g) counts g itself if it is of the highest order or begins a word, else the di
 the sum of a(hc), D = n1 / (n1 + 2 n2) from the numbers of grams with a = 1 and 2, and g(h) what the first
 terms leave. Below single characters lies an even share for each character and an unknown one.
 
-1. `count_grams` reads all labelled documents. A task counts words, then the longest grams of its different words; sums
-   over the tasks, and over the ends of these grams, are a table of (language, gram).
+1. `count_grams` reads all labelled documents. A task takes words out of many texts at once, as one Arrow array, and counts
+   the longest grams of the different ones; sums over the tasks, and over the ends of these grams, are a table of
+   (language, gram).
 2. `fit_models` works the formula out by aggregates and joins on that table. A gram is written to the model
    if its share of the language's characters is at least `SHARE`, whatever the size of the corpus. So a language has at
    most ORDER / SHARE grams, and what is left out counts through g(h). Rarer grams still count in a, A and D.
 3. A model is a pair of arrays sorted by the hash of the gram. Blocks of languages with at most `BLOCK_GRAMS` grams, counted
    before, go to all tasks.
 4. The language with the lowest cross-entropy per character is chosen. A task sums up each different word once, and
-   looks up each different gram of its new words once.
+   looks up each different gram of its new words once. Repeated words stay numbers: they never become Python strings.
 5. Calibration. Models of all but one part of the labelled documents score that part. Its cross-entropies give, for each
    language, mean and variance (a part that falls with the length of the text and one that does not) and the
    standardised value that a share `REJECT` of them exceeds; texts beyond it are rejected. The
@@ -36,6 +37,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,27 +57,113 @@ BLOCK_GRAMS = 4_000_000
 REJECT = 0.005
 WORD_LETTERS = 48
 UNKNOWN = "und"
-# Different words a task holds while counting, and cells (words x languages) it remembers while scoring.
-_HELD_WORDS = 200_000
+# Characters that are read at once, unless one text has more.
+_HELD_CHARS = 2_000_000
+# Different grams a task holds while counting, and cells (words x languages) it remembers while scoring.
+_HELD_GRAMS = 400_000
 _CELLS = 2_000_000
 _TEMPERATURES = 2.0 ** np.arange(-6, 8)
-_RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
+_SPACE = 32
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                      0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """1 for each code point that is a letter, 2 for a mark, else 0."""
+    every, kinds = "".join(map(chr, range(0x110000))), np.zeros(0x110000, np.uint8)
+    for kind, name in enumerate("LM", 1):
+        for run in regex.finditer(rf"\p{{{name}}}+", every):
+            kinds[run.start():run.end()] = kind
+    return kinds
+
+
+def word_array(texts: list[str | None]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The words of all texts, each with a space after it, and their number in each text.
+
+    A word is a letter and the letters and marks after it, lower-cased; long ones come in parts.
+    """
+    lowered = [t.lower() if t else "" for t in texts]
+    points = _points("\n".join([*lowered, ""]))
+    kinds = _kinds()[points]
+    inside = kinds > 0
+    if (kinds == 2).any():
+        # marks count as what stands before them
+        last = np.maximum.accumulate(np.where(kinds == 2, 0, np.arange(len(kinds))))
+        inside = kinds[last] == 1
+    after = np.zeros(len(inside), bool)
+    after[1:] = inside[:-1] & ~inside[1:]
+    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
+    n_words = np.diff(np.searchsorted(np.flatnonzero(after), np.cumsum(sizes)), prepend=0)
+    kept = inside | after
+    points = points[kept]
+    points[after[kept]] = _SPACE
+    ends = np.flatnonzero(points == _SPACE)
+    lengths = np.diff(ends, prepend=-1) - 1
+    if lengths.max(initial=0) > WORD_LETTERS:
+        place = np.arange(len(points)) - np.repeat(ends - lengths, lengths + 1)
+        cuts = np.flatnonzero((place > 0) & (place % WORD_LETTERS == 0) & (points != _SPACE))
+        parts = np.searchsorted(cuts, ends)  # cuts up to the end of each word
+        n_words = np.diff(np.concatenate([[0], np.arange(1, len(ends) + 1) + parts])[np.cumsum(n_words)], prepend=0)
+        points = np.insert(points, cuts, _SPACE)
+    return _spaced(points), n_words
+
+
+def _spaced(points: np.ndarray) -> pa.LargeStringArray:
+    """The strings of code points that end in a space each."""
+    data = points.tobytes().decode("utf-32-le").encode()
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == _SPACE) + 1
+    return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data))
+
+
+def _strings(spaced: pa.LargeStringArray) -> list[str]:
+    """The strings of a whole array, without the space that ends each."""
+    return spaced.buffers()[2].to_pybytes().decode().split(" ")[:-1] if len(spaced) else []
+
+
 def words(text: str) -> list[str]:
     """The words of a text: lower-cased runs of letters, long ones in parts."""
-    found = _RUN.findall(text.lower())
-    if max(map(len, found), default=0) <= WORD_LETTERS:
-        return found
-    return [w[at:at + WORD_LETTERS] for w in found for at in range(0, len(w), WORD_LETTERS)]
+    return _strings(word_array([text])[0])
+
+
+def _places(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of words with one space before the first and after each: every character's place in its word, from 1 for the first
+    letter to the space after it (0: the first space), and where words start."""
+    ends = np.flatnonzero(points == _SPACE)
+    starts = ends[:-1] + 1
+    return np.concatenate([[0], np.arange(1, len(points)) - np.repeat(ends[:-1], np.diff(ends))]), starts
+
+
+def gram_array(some: list[str], order: int = ORDER) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The longest gram that ends at each letter and at the end of each word, one after another, and their number of each word."""
+    points = _points(" ".join(["", *some, ""]) if some else " ")
+    place, starts = _places(points)
+    ends = np.arange(1, len(points))
+    sizes = np.minimum(place[1:] + 1, order)
+    offsets = np.cumsum(sizes) - sizes
+    at = np.arange(int(sizes.sum())) + np.repeat(ends - sizes + 1 - offsets, sizes)
+    data = points[at]
+    # bytes of the code points give the places of the grams among the encoded ones
+    widths = 1 + (data > 0x7F) + (data > 0x7FF) + (data > 0xFFFF)
+    cuts = np.concatenate([[0], np.cumsum(widths)])[np.concatenate([offsets, [len(data)]])].astype(np.int64)
+    encoded = data.tobytes().decode("utf-32-le").encode()
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(cuts), pa.py_buffer(encoded)), np.diff(starts, append=len(points))
 
 
 def grams(word: str, order: int = ORDER) -> list[str]:
     """The longest gram that ends at each letter of the word and at its end."""
-    whole = f" {word} "
-    return [whole[max(0, end - order):end] for end in range(2, len(whole) + 1)]
+    return gram_array([word], order)[0].to_pylist()
+
+
+def _held(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of a column in lists of bounded size, each with the row of its first."""
+    start, size, texts = 0, 0, []
+    for at, text in enumerate(column, 1):
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
+        if size > _HELD_CHARS or at == len(column):
+            yield start, texts
+            start, size, texts = at, 0, []
 
 
 # ------------------------------------------------------------------ counting and fitting
@@ -86,6 +174,17 @@ def remainder(id_column: Column) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % 5
 
 
+def _count(texts: list[str], order: int) -> Iterator[tuple[str, int]]:
+    """The different longest grams of texts, and how often each occurs."""
+    coded = word_array(texts)[0].dictionary_encode()
+    found, n_grams = gram_array(_strings(coded.dictionary), order)
+    each = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+    different = found.dictionary_encode()
+    # doubles are whole below 2 ** 53
+    total = np.bincount(different.indices.to_numpy(), np.repeat(each, n_grams), len(different.dictionary)).astype(np.int64)
+    return zip(different.dictionary.to_pylist(), total.tolist(), strict=True)
+
+
 def count_grams(labelled: DataFrame, order: int = ORDER) -> DataFrame:
     """lang, gram, n and n_rest (occurrences outside the part for calibration) of documents (lang, part, text).
 
@@ -96,12 +195,7 @@ def count_grams(labelled: DataFrame, order: int = ORDER) -> DataFrame:
         held: dict[tuple[str, bool], Counter[str]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, part), counted in held.items():
-                total: Counter[str] = Counter()
-                for word, n in counted.items():
-                    for gram in grams(word, order):
-                        total[gram] += n
-                counted.clear()
+            for (lang, part), total in held.items():
                 n = len(total)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang] * n, pa.string()), pa.array([part] * n, pa.bool_()), pa.array(list(total), pa.string()),
@@ -109,10 +203,17 @@ def count_grams(labelled: DataFrame, order: int = ORDER) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for lang, part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault((lang, part), Counter()).update(words(text))
-            if sum(map(len, held.values())) > _HELD_WORDS:
-                yield from flush()
+            langs, parts = (c.to_pylist() for c in batch.columns[:2])
+            for at, texts in _held(batch.column(2)):
+                groups: dict[tuple[str, bool], list[str]] = {}
+                for lang, part, text in zip(langs[at:at + len(texts)], parts[at:at + len(texts)], texts, strict=True):
+                    groups.setdefault((lang, part), []).append(text)
+                for group, own in groups.items():
+                    total = held.setdefault(group, Counter())
+                    for gram, n in _count(own, order):
+                        total[gram] += n
+                if sum(map(len, held.values())) > _HELD_GRAMS:
+                    yield from flush()
         yield from flush()
 
     found = labelled.select("lang", "part", "text").mapInArrow(run, "lang string, part boolean, gram string, n bigint")
@@ -237,24 +338,24 @@ class Scorer:
         self.gram_keys, self.gram_logs = np.empty(0, np.uint64), np.empty((0, len(models)))
 
     def score_words(self, new: list[str]) -> np.ndarray:
-        text = "".join([f" {w} " for w in new])
-        sizes = np.array([len(w) + 2 for w in new], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        place = np.arange(len(text)) - np.repeat(starts, sizes)
-        hashes = gram_hashes(_points(text), self.order)
+        points = _points(" ".join(["", *new, ""]))
+        place, starts = _places(points)
+        hashes = gram_hashes(points, self.order)
         # a character's probability depends on the longest gram that ends at it: each different one is looked up once
         longest = np.choose(np.minimum(place, self.order - 1), hashes) + place.clip(max=self.order).astype(np.uint64)
-        longest[place == 0] = 0
-        keys, first, which = np.unique(longest, return_index=True, return_inverse=True)
+        coded = pa.array(longest[1:]).dictionary_encode()
+        keys, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        first = np.empty(len(keys), np.int64)
+        first[which[::-1]] = np.arange(len(longest) - 1, 0, -1)
         logs = self._gram_logs(keys, first, hashes, place)
-        return np.add.reduceat(logs[which], starts, axis=0)
+        return np.add.reduceat(logs[which], starts - 1, axis=0)
 
     def _gram_logs(self, keys: np.ndarray, first: np.ndarray, hashes: list[np.ndarray], place: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.gram_keys, keys), max(len(self.gram_keys) - 1, 0))
         new = self.gram_keys[at] != keys if len(self.gram_keys) else np.ones(len(keys), bool)
         if new.any():
             own = first[new]
-            found = np.stack([np.where(place[own] > 0, m.logs(hashes, place, own), 0.0) for m in self.models], axis=1)
+            found = np.stack([m.logs(hashes, place, own) for m in self.models], axis=1)
             if (len(self.gram_keys) + len(own)) * max(1, len(self.models)) > _CELLS and len(self.gram_keys):
                 self.gram_keys, self.gram_logs = self.gram_keys[:0], self.gram_logs[:0]
                 return self._gram_logs(keys, first, hashes, place)
@@ -266,23 +367,26 @@ class Scorer:
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Characters of each text, and its cross-entropy per character under each model."""
-        found = [words(t) if t else [] for t in texts]
+        found, n_words = word_array(texts)
+        coded = found.dictionary_encode()
+        different = _strings(coded.dictionary)
         if len(self.known) * max(1, len(self.models)) > _CELLS:
             self.known, self.values = {}, self.values[:0]
-        new = [w for w in dict.fromkeys(w for f in found for w in f) if w not in self.known]
+        new = [w for w in different if w not in self.known]
         parts = [self.values]
         for at in range(0, len(new), 100_000):
             some = new[at:at + 100_000]
             self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
             parts.append(self.score_words(some))
         self.values = np.concatenate(parts) if len(parts) > 1 else self.values
-        n_words = np.array([len(f) for f in found], np.int64)
-        chars = np.array([sum(map(len, f)) + len(f) for f in found], np.int64)
-        sums = np.zeros((len(texts), len(self.models)))
+        sums, chars = np.zeros((len(texts), len(self.models))), np.zeros(len(texts), np.int64)
         some = np.flatnonzero(n_words)
         if len(some):
-            at = np.fromiter(map(self.known.__getitem__, (w for f in found for w in f)), np.int64, int(n_words.sum()))
-            sums[some] = np.add.reduceat(self.values[at], (np.cumsum(n_words) - n_words)[some], axis=0)
+            own = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
+            which, starts = coded.indices.to_numpy(), (np.cumsum(n_words) - n_words)[some]
+            sums[some] = np.add.reduceat(self.values[own][which], starts, axis=0)
+            # each word counts with the space after it
+            chars[some] = np.add.reduceat(np.fromiter(map(len, different), np.int64, len(different))[which] + 1, starts)
         return chars, -sums / np.maximum(chars, 1)[:, None]
 
 
@@ -324,17 +428,11 @@ def _entropies(texts: DataFrame, models: list[Model], order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(known.value, order)
         for batch in batches:
-            column, start, size = batch.column(batch.num_columns - 1), 0, 0
-            texts_held = []
-            for at, text in enumerate(column):
-                texts_held.append(text.as_py())
-                size += len(texts_held[-1] or "")
-                if size > 4_000_000 or at == len(column) - 1:
-                    chars, found = scorer.entropies(texts_held)
-                    lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(known.value)).cast(pa.list_(pa.float64()))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(c.slice(start, len(texts_held)) for c in batch.columns[:-1]), pa.array(chars), lists], names=names)
-                    texts_held, start, size = [], at + 1, 0
+            for at, held in _held(batch.column(batch.num_columns - 1)):
+                chars, found = scorer.entropies(held)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(known.value)).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(at, len(held)) for c in batch.columns[:-1]), pa.array(chars), lists], names=names)
 
     return texts.select(*kept, "text").mapInArrow(run, f"{schema}, chars bigint, entropies array<double>")
 

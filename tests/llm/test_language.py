@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 
 from millrace.llm.language import (
     Model, Scorer, count_grams, fit_models, gram_hashes, grams, identify_languages, words, WORD_LETTERS, _load, _points)
@@ -162,3 +164,46 @@ def test_languages_of_all_blocks_are_calibrated(spark):
     for key, row in one.items():
         assert (many[key].lang_pred, many[key].rejected) == (row.lang_pred, row.rejected)
         assert many[key].score == pytest.approx(row.score, abs=1e-6)
+
+
+# a word by its definition
+RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
+
+
+def slow_words(t):
+    return [w[at:at + WORD_LETTERS] for w in RUN.findall(t.lower()) for at in range(0, len(w), WORD_LETTERS)]
+
+
+def test_words_equal_the_definition():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    draw = random.Random(5)
+    odd = ["a", "é", "Σ", "İ", "ß", "\u0301", "क", "ि", "ำ", "𐐀", "𝒜", "\U000e0100", "²", "Ⅷ", "_", "1", " ", "\u2028", "\n", "-", "東", "\0"]
+    found = ["".join(every), " ".join(every), "a" + "\u0301" * 100, "\u0301" * 3 + "a b", *("x" * n + " y" for n in (47, 48, 49, 96, 97))]
+    found += ["".join(draw.choice(odd) for _ in range(draw.choice([1, 5, 300]))) for _ in range(300)]
+    for t in found:
+        assert words(t) == slow_words(t)
+
+
+def test_entropies_of_texts_read_together():
+    draw = random.Random(6)
+    found = ["ka", " a", "mo", "o ", "schl", "ung", "ung "]
+    model = Model.of(found, -np.arange(1.0, 8), -np.arange(1.0, 8) / 9, 30)
+    texts = [None, "", "12", text(draw, "aa", 9), text(draw, "bb", 40), "x" * 100, "-", text(draw, "aa", 1), "कि ka\u0301", None]
+    chars, together = Scorer([model, model]).entropies(texts)
+    assert chars.tolist() == [sum(len(w) + 1 for w in slow_words(t or "")) for t in texts]
+    for t, n, h in zip(texts, chars.tolist(), together, strict=True):
+        want = -sum(float(Scorer([model]).score_words([w])[0, 0]) for w in slow_words(t or "")) / max(n, 1)
+        assert h.tolist() == pytest.approx([want, want])
+
+
+def test_words_are_read_in_bulk():
+    """Reading words takes less than half the time of one match of a pattern for each."""
+    draw = random.Random(7)
+    long = text(draw, "bb", 100_000)
+    assert words(long) == slow_words(long)
+    took = {}
+    for read in (slow_words, words) * 3:
+        start = time.process_time()
+        read(long)
+        took[read] = min(took.get(read, math.inf), time.process_time() - start)
+    assert took[words] < took[slow_words] / 2, took
